@@ -1,4 +1,4 @@
 """Registered queries, one module per part of the library."""
 
-from queries import columns, scans  # noqa: F401
+from queries import columns, joins, prepare, scans, statistics  # noqa: F401
 from queries.registry import ORACLES, QUERIES  # noqa: F401
