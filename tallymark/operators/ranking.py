@@ -28,6 +28,8 @@ def unit_bucket(draw: Column, buckets: int) -> Column:
 
 def with_range_bucket(df: DataFrame, column: str, name: str, buckets: int) -> DataFrame:
     """Add a bucket number that never decreases with ``column``; cuts are approximate quantiles, so buckets are even."""
+    if buckets <= 1:
+        return df.withColumn(name, F.lit(0))
     probabilities = [i / buckets for i in range(1, buckets)]
     cuts = df.select(F.col(column).cast("double").alias("v")).approxQuantile("v", probabilities, 1.0 / (4 * buckets))
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]

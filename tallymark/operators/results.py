@@ -118,3 +118,21 @@ def compare_models(frames: dict[str, DataFrame], metrics: list[str]) -> DataFram
         have = [F.coalesce(F.col(m), F.lit(0.0)).alias(m) if m in frame.columns else F.lit(0.0).alias(m) for m in metrics]
         parts.append(frame.select(F.lit(name).alias("model"), *have))
     return append(parts)
+
+
+def metric_ranks(df: DataFrame, metrics: list[str]) -> DataFrame:
+    """Rank of every row by each metric, 1 for the highest. Meant for result tables: one row per model."""
+    return df.withColumns({f"{m}_rank": F.rank().over(Window.orderBy(F.desc(m))) for m in metrics})
+
+
+def flatten_config(df: DataFrame, model: str, config: str, common: dict[str, str], own: dict[str, dict[str, str]]) -> DataFrame:
+    """Nested configuration to columns: ``common`` for every model, ``own`` only for its model and null elsewhere.
+
+    Both map an output column to a path inside ``config``; several models may share an output column.
+    """
+    columns = {name: F.col(f"{config}.{path}") for name, path in common.items()}
+    names = dict.fromkeys(name for fields in own.values() for name in fields)
+    for name in names:
+        choices = [F.when(F.col(model) == m, F.col(f"{config}.{fields[name]}")) for m, fields in own.items() if name in fields]
+        columns[name] = F.coalesce(*choices)
+    return df.withColumns(columns)

@@ -70,3 +70,14 @@ def small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     if len(rows) > limit:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def settled(df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
+    """Evaluate a reduced table once: held as local rows when proven small, else written to the shared folder.
+
+    Returns the table and whether it is small.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) <= limit:
+        return df.sparkSession.createDataFrame(rows, df.schema), True
+    return checkpointed(df), False

@@ -34,7 +34,7 @@ def main() -> None:
             else:
                 state, detail = "rows", str(df.count())
         except Exception as error:  # noqa: BLE001 - report and go on with the next query
-            state, detail = "ERROR", str(error).split("\n\nJVM")[0][:1500]
+            state, detail = "ERROR", str(error)[:600]
         if state != "exact" or wanted:
             print(f"{state:8s} {name:28s} {time.time() - start:6.2f}s {detail[:900]}", flush=True)
         else:
