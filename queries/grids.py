@@ -18,8 +18,10 @@ def _kernel(cells: list[tuple[int, int, float]], names: str = "w") -> str:
 
 
 def _convolved(kernel: str, source: str = "v_grid", weights: str = "sum(w * i.v) AS s") -> str:
-    return f"""SELECT o.grid, o.x, o.y, any_value(o.v) AS v, {weights} FROM {source} o, {kernel}
-  JOIN {source} i ON i.grid = o.grid AND i.x = {_reflect('o.x + dx', '30')} AND i.y = {_reflect('o.y + dy', '24')} GROUP BY 1, 2, 3"""
+    return f"""WITH q AS MATERIALIZED (
+    SELECT o.*, k.*, {_reflect('o.x + dx', '30')} AS rx, {_reflect('o.y + dy', '24')} AS ry FROM {source} o, {kernel})
+  SELECT q.grid, q.x, q.y, any_value(q.v) AS v, {weights}
+  FROM q JOIN {source} i ON i.grid = q.grid AND i.x = rx AND i.y = ry GROUP BY 1, 2, 3"""
 
 
 BINOMIAL = [1, 4, 6, 4, 1]

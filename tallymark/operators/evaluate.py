@@ -63,36 +63,37 @@ def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return per_class.unionByName(macro).unionByName(weighted)
 
 
-def score_counts(df: DataFrame, score: str, label: str) -> tuple[DataFrame, bool]:
-    """Positives and negatives per distinct score, evaluated once."""
-    counts = df.groupBy(F.col(score).alias("threshold")).agg(
-        F.sum((F.col(label) == 1).cast("bigint")).alias("pos"), F.sum((F.col(label) == 0).cast("bigint")).alias("neg")
-    )
-    return settled(counts)
-
-
-def roc_points(df: DataFrame, score: str, label: str) -> DataFrame:
-    """``threshold, pos, neg, tp, fp, tpr, fpr`` in descending score order, ties collapsed.
+def roc_points(df: DataFrame, score: str, label: str, by: list[str] | None = None) -> DataFrame:
+    """``[by..], threshold, pos, neg, tp, fp, tpr, fpr`` in descending score order, ties collapsed.
 
-    Running totals of many distinct scores go through range buckets.
+    Positives and negatives are counted per distinct score once; running totals of many distinct scores go through
+    range buckets.
     """
-    counts, is_small = score_counts(df, score, label)
+    by = list(by or [])
+    counts, is_small = settled(df.groupBy(*by, F.col(score).alias("threshold")).agg(
+        F.sum((F.col(label) == 1).cast("bigint")).alias("pos"), F.sum((F.col(label) == 0).cast("bigint")).alias("neg")
+    ))
     running = with_running_totals(
-        counts, "threshold", {"tp": "pos", "fp": "neg"}, descending=True, buckets=1 if is_small else None
+        counts, "threshold", {"tp": "pos", "fp": "neg"}, within=by, descending=True, buckets=1 if is_small else None
     )
-    total = counts.agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
-    return attach(running, total).withColumns({
+    total = counts.groupBy(*by).agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
+    return attach(running, total, by).withColumns({
         "tpr": ratio_or_zero(F.col("tp"), F.col("positives")), "fpr": ratio_or_zero(F.col("fp"), F.col("negatives")),
     })
 
 
-def roc_auc(df: DataFrame, score: str, label: str, undefined: float = 0.5) -> DataFrame:
-    """One row ``auc``: the chance that a positive outranks a negative, ties counting half; ``undefined`` with one class."""
-    points = roc_points(df, score, label)
+def roc_auc(df: DataFrame, score: str, label: str, by: list[str] | None = None, undefined: float = 0.5) -> DataFrame:
+    """``[by..], auc``: the chance that a positive outranks a negative, ties counting half; ``undefined`` with one class."""
+    points = roc_points(df, score, label, by)
     wins = F.col("pos") * (F.col("negatives") - F.col("fp") + F.col("neg") / 2)
     auc = F.sum(wins.cast("double")) / (F.max("positives").cast("double") * F.max("negatives"))
     one_class = (F.max("positives") == 0) | (F.max("negatives") == 0)
-    return points.agg(F.when(one_class, F.lit(undefined)).otherwise(auc).alias("auc"))
+    return points.groupBy(*(by or [])).agg(F.when(one_class, F.lit(undefined)).otherwise(auc).alias("auc"))
+
+
+def scored_metrics(df: DataFrame, score: str, label: str, prediction: str, by: list[str]) -> DataFrame:
+    """All metrics of each group: counts, accuracy, precision, recall, F1 and AUC."""
+    return binary_metrics(df, label, prediction, by).join(roc_auc(df, score, label, by), by)
 
 
 def youden_threshold(df: DataFrame, score: str, label: str) -> DataFrame:
