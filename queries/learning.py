@@ -100,13 +100,14 @@ NB_TERMS = " + ".join(
 
 
 @query("clf_gnb", f"""
-WITH {V_ORD}, f AS (SELECT o_orderkey, target, o_totalprice, c_acctbal, n_lines FROM v_ord WHERE n_lines IS NOT NULL),
+WITH {V_ORD}, f AS (SELECT o_orderkey, target, o_totalprice, c_acctbal, coalesce(n_lines, (SELECT avg(n_lines) FROM v_ord)) AS n_lines FROM v_ord),
 s AS (SELECT target AS k, count(*) / (SELECT count(*) FROM f) AS prior, {NB_STATS}, {NB_FLOOR} AS floor FROM f GROUP BY 1),
 j AS (SELECT o_orderkey, any_value(target) AS label, max(CASE WHEN k = 1 THEN ln(prior) + {NB_TERMS} END) AS l1,
              max(CASE WHEN k = 0 THEN ln(prior) + {NB_TERMS} END) AS l0 FROM f, s GROUP BY 1)
 SELECT o_orderkey, label, round(1 / (1 + exp(l0 - l1)), 6) AS score, CAST(l1 > l0 AS INTEGER) AS prediction FROM j""")
 def clf_gnb(spark, sf_dir):
-    frame = orders_view(spark, sf_dir).filter("n_lines is not null").select(
+    orders = orders_view(spark, sf_dir)
+    frame = impute.fill_with(orders, impute.fit_mean(orders, ["n_lines"])).select(
         F.col("o_orderkey").alias("key"), F.col("target").alias("label"), F.array(*NB).alias("vec")
     )
     scored = models.fit("bayes", frame)(frame)

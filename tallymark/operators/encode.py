@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.operators.ranking import bucket_count, with_range_bucket, with_row_number
-from tallymark.session import SMALL_ROWS, attach
+from tallymark.session import attach, few_rows
 
 MAX_ONE_HOT_LEVELS = 1_000
 
@@ -31,20 +31,29 @@ def fit_dictionaries(df: DataFrame, columns: list[str], missing_level: str | Non
     All columns are read in one pass. When their levels together are few they are sorted at once; otherwise each
     column is ranked on the cluster.
     """
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("column"), fill_missing_level(F.col(c), missing_level).alias("level")) for c in columns
-    ])
-    pairs = df.select(F.explode(entries).alias("e")).select("e.*").filter("level is not null").distinct()
-    rows = pairs.limit(SMALL_ROWS + 1).collect()
-    if len(rows) > SMALL_ROWS:
+    pairs = _level_pairs(df, columns, missing_level)
+    rows = few_rows(pairs)
+    if rows is None:
         return {c: _rank_levels(pairs.filter(F.col("column") == c).select("level")) for c in columns}
     fitted = {}
     for c in columns:
-        levels = sorted((r["level"] for r in rows if r["column"] == c), key=str.encode)
+        levels = _sorted_levels(rows, c)
         fitted[c] = df.sparkSession.createDataFrame(list(zip(levels, range(len(levels)))), "level string, code int")
     return fitted
 
 
+def _level_pairs(df: DataFrame, columns: list[str], missing_level: str | None) -> DataFrame:
+    """Distinct ``column, level`` of all columns from one pass."""
+    entries = F.array(*[
+        F.struct(F.lit(c).alias("column"), fill_missing_level(F.col(c), missing_level).alias("level")) for c in columns
+    ])
+    return df.select(F.explode(entries).alias("e")).select("e.*").filter("level is not null").distinct()
+
+
+def _sorted_levels(rows: list, column: str) -> list[str]:
+    return sorted((level for name, level in rows if name == column), key=str.encode)
+
+
 def fit_dictionary(df: DataFrame, column: str, missing_level: str | None = None) -> DataFrame:
     return fit_dictionaries(df, [column], missing_level)[column]
 
@@ -88,11 +97,11 @@ def decode(df: DataFrame, column: str, dictionary: DataFrame, output: str) -> Da
 
 def one_hot(df: DataFrame, columns: list[str], drop_first: bool = True) -> DataFrame:
     """One 0/1 column ``column_level`` per level, the first level in text order left out."""
+    rows = few_rows(_level_pairs(df, columns, None))
     for column in columns:
-        found = df.select(F.col(column).cast("string").alias("v")).filter("v is not null").distinct()
-        levels = sorted((r["v"] for r in found.limit(MAX_ONE_HOT_LEVELS + 1).collect()), key=str.encode)
-        if len(levels) > MAX_ONE_HOT_LEVELS:
-            raise ValueError(f"{column} has more than {MAX_ONE_HOT_LEVELS} levels; use label_encode")
+        levels = None if rows is None else _sorted_levels(rows, column)
+        if levels is None or len(levels) > MAX_ONE_HOT_LEVELS:
+            raise ValueError(f"{column} has too many levels for columns of their own; use label_encode")
         text = F.col(column).cast("string")
         wide = {f"{column}_{v}": F.coalesce((text == v).cast("int"), F.lit(0)) for v in levels[1 if drop_first else 0:]}
         df = df.withColumns(wide).drop(column) if wide else df.drop(column)

@@ -9,7 +9,7 @@ from tallymark.functions.rng import gauss, u
 from tallymark.functions.vectors import distance
 from tallymark.operators.neighbours import knn_join
 from tallymark.operators.ranking import bucket_count, with_range_bucket, with_row_number
-from tallymark.session import checkpointed
+from tallymark.session import attach, checkpointed
 
 # Noise multipliers of the three parts; fixed values of the workload.
 NOISE_STEPS = [0.5, 1.0, 2.0]
@@ -43,7 +43,9 @@ def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5) -> DataFram
         (F.floor(u("id", "nn") * neighbours) + 1).cast("int").alias("nn"), u("id", "gap").alias("gap"),
     )
     others = few.select(F.col("key").alias("other"), F.col("v").alias("w"))
-    joined = draws.join(ranked, "rank").join(near, ["key", "nn"]).join(others, "other")
+    # A small minority class is broadcast, because its few rows would be hot keys; a large one has no hot rows.
+    joined = attach(attach(draws, ranked, ["rank"], "inner"), near, ["key", "nn"], "inner")
+    joined = attach(joined, others, ["other"], "inner")
     between = F.zip_with("v", "w", lambda a, b: a + F.col("gap") * (b - a))
     made = joined.select(
         (-1 - F.col("id")).alias(key), F.lit(minority).cast(df.schema[label].dataType).alias(label), between.alias(vec),

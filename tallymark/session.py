@@ -8,9 +8,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # A fitted table with at most this many rows is collected once and broadcast; a larger one is joined by shuffle.
 SMALL_ROWS = 20_000
+# Longest value, in bytes, of such a table.
+SMALL_VALUE = 4_096
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,8 +54,8 @@ def parallelism(spark: SparkSession) -> int:
 def attach(df: DataFrame, fitted: DataFrame, on: list[str] | tuple[str, ...] = (), how: str = "left") -> DataFrame:
     """Add the columns of a fitted table to every matching row.
 
-    ``fitted`` holds one row per key (one row in all when ``on`` is empty). It is evaluated once. Up to ``SMALL_ROWS``
-    rows it is broadcast, so the data is not shuffled; beyond that the join is left to Spark, which splits hot keys.
+    ``fitted`` holds one row per key (one row in all when ``on`` is empty). It is evaluated once. A small one is
+    broadcast, so the data is not shuffled; beyond that the join is left to Spark, which splits hot keys.
     Null keys match null keys.
     """
     if not on:
@@ -64,12 +67,35 @@ def attach(df: DataFrame, fitted: DataFrame, on: list[str] | tuple[str, ...] = (
     return df.join(side, match, how).drop(*[f"__{c}" for c in on])
 
 
+def few_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
+    """The rows of ``df`` when it is proven small, else None.
+
+    Small means at most ``limit`` rows and no value above ``SMALL_VALUE`` bytes. Longer values are cut before they are
+    collected and only reported, so what reaches the driver is bounded either way.
+    """
+    cut, wide = [], F.lit(False)
+    for field in df.schema.fields:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, StringType):
+            too_long, value = F.octet_length(c) > SMALL_VALUE, F.substring(c, 1, SMALL_VALUE)
+        elif isinstance(field.dataType, ArrayType):
+            too_long = F.size(c) > SMALL_VALUE // 8
+            value = F.when(~too_long, c)
+        else:
+            cut.append(c)
+            continue
+        cut.append(value.alias(field.name))
+        wide = wide | F.coalesce(too_long, F.lit(False))
+    rows = df.select(*cut, wide.alias("__wide")).limit(limit + 1).collect()
+    if len(rows) > limit or any(r["__wide"] for r in rows):
+        return None
+    return [tuple(r)[:-1] for r in rows]
+
+
 def small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast side if ``df`` is proven to have at most ``limit`` rows, else ``df`` unchanged."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    """Broadcast side if ``df`` is proven small, else ``df`` unchanged."""
+    rows = few_rows(df, limit)
+    return df if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def settled(df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
@@ -77,7 +103,7 @@ def settled(df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
 
     Returns the table and whether it is small.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) <= limit:
+    rows = few_rows(df, limit)
+    if rows is not None:
         return df.sparkSession.createDataFrame(rows, df.schema), True
     return checkpointed(df), False
