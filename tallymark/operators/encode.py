@@ -63,7 +63,7 @@ def _rank_levels(levels: DataFrame) -> DataFrame:
     low, high = levels.agg(F.min("level"), F.max("level")).first()
     shared = len(os.path.commonprefix([(low or "").encode(), (high or "").encode()]))
     positioned = levels.withColumn("__position", _text_position(F.col("level"), shared))
-    bucketed = with_range_bucket(positioned, "__position", "__range", bucket_count(df))
+    bucketed = with_range_bucket(positioned, "__position", "__range", bucket_count(levels))
     numbered = with_row_number(bucketed, "rank", [F.col("level")], F.col("__range"))
     return numbered.select("level", (F.col("rank") - 1).cast("int").alias("code"))
 

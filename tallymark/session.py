@@ -67,12 +67,13 @@ def attach(df: DataFrame, fitted: DataFrame, on: list[str] | tuple[str, ...] = (
     return df.join(side, match, how).drop(*[f"__{c}" for c in on])
 
 
-def few_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
+def few_rows(df: DataFrame, limit: int | None = None) -> list | None:
     """The rows of ``df`` when it is proven small, else None.
 
     Small means at most ``limit`` rows and no value above ``SMALL_VALUE`` bytes. Longer values are cut before they are
     collected and only reported, so what reaches the driver is bounded either way.
     """
+    limit = SMALL_ROWS if limit is None else limit
     cut, wide = [], F.lit(False)
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
@@ -92,13 +93,13 @@ def few_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
     return [tuple(r)[:-1] for r in rows]
 
 
-def small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+def small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Broadcast side if ``df`` is proven small, else ``df`` unchanged."""
     rows = few_rows(df, limit)
     return df if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def settled(df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
+def settled(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:
     """Evaluate a reduced table once: held as local rows when proven small, else written to the shared folder.
 
     Returns the table and whether it is small.
