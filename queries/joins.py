@@ -53,7 +53,7 @@ FROM p CROSS JOIN s CROSS JOIN t LEFT JOIN n ON n.o_orderpriority = p.o_orderpri
      AND n.target = t.target""")
 def param_grid(spark, sf_dir):
     """All combinations of the category values found in the orders, with the number of orders in each."""
-    orders = orders_view(spark, sf_dir)
+    orders = orders_view(spark, sf_dir, lines=False)
     names = ["o_orderpriority", "c_mktsegment", "target"]
     found = orders.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in names]).first()
     grid = results.param_grid(spark, {c: found[c] for c in names})

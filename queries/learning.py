@@ -5,21 +5,21 @@ from pyspark.sql import functions as F
 from queries.joins import L2
 from queries.registry import query
 from queries.views import (
-    LINE_FEATURES, ORD_NUMERIC, V_EMB, V_ORD, V_SCORE, documents_view, embeddings_view, orders_view, rounded,
+    LINE_FEATURES, ORD_NUMERIC, V_EMB, V_ORD, V_SCORE, documents_view, embeddings_view, orders_table, orders_view, rounded,
     scores_view, u_sql,
 )
 from tallymark.functions.rng import u
 from tallymark.operators import encode, explain, impute, models, profile, results, scale, search, split
 from tallymark.plans import scenario
-from tallymark.session import checkpointed
+from tallymark.session import written
 
 
 def order_frame(spark, sf_dir):
     """Orders as ``key, label, vec``: gaps filled by the mean, standardised."""
-    orders = orders_view(spark, sf_dir)
+    orders = orders_table(spark, sf_dir)
     filled = impute.fill_with(orders, impute.fit_mean(orders, LINE_FEATURES))
     scaled = scale.transform(filled, scale.fit_standard(filled, ORD_NUMERIC), ORD_NUMERIC)
-    return checkpointed(scaled.select(
+    return written(scaled.select(
         F.col("o_orderkey").alias("key"), F.col("target").alias("label"), F.array(*ORD_NUMERIC).alias("vec")
     ))
 
@@ -106,7 +106,7 @@ j AS (SELECT o_orderkey, any_value(target) AS label, max(CASE WHEN k = 1 THEN ln
              max(CASE WHEN k = 0 THEN ln(prior) + {NB_TERMS} END) AS l0 FROM f, s GROUP BY 1)
 SELECT o_orderkey, label, round(1 / (1 + exp(l0 - l1)), 6) AS score, CAST(l1 > l0 AS INTEGER) AS prediction FROM j""")
 def clf_gnb(spark, sf_dir):
-    orders = orders_view(spark, sf_dir)
+    orders = orders_table(spark, sf_dir)
     frame = impute.fill_with(orders, impute.fit_mean(orders, ["n_lines"])).select(
         F.col("o_orderkey").alias("key"), F.col("target").alias("label"), F.array(*NB).alias("vec")
     )
@@ -236,7 +236,7 @@ ATTRIBUTION = " UNION ALL ".join(
 def linear_attribution(spark, sf_dir):
     """Contributions under the weights of a diagonal linear discriminant."""
     names = ["o_totalprice", "c_acctbal"]
-    orders = orders_view(spark, sf_dir)
+    orders = orders_view(spark, sf_dir, lines=False)
     one, zero = F.col("target") == 1, F.col("target") == 0
     fitted = orders.agg(*[
         ((F.avg(F.when(one, F.col(c))) - F.avg(F.when(zero, F.col(c)))) / F.var_pop(c)).alias(c) for c in names

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from queries.registry import query
 from queries.views import (
     LINE_FEATURES, ORD_NUMERIC, V_DOC, V_EMB, V_EVT, V_ORD, V_SCORE, documents_view, embeddings_view, events_view,
-    orders_view, rounded, scores_view, u_sql,
+    orders_table, orders_view, rounded, scores_view, u_sql,
 )
 from tallymark.functions.rng import u
 from tallymark.functions.vectors import unit
@@ -39,7 +39,7 @@ def label_encode_apply(spark, sf_dir):
 WITH {V_ORD}
 SELECT o_orderkey, {CODE.format(c='o_orderstatus')} AS code, o_orderstatus AS decoded FROM v_ord""")
 def target_encode(spark, sf_dir):
-    orders = orders_view(spark, sf_dir)
+    orders = orders_view(spark, sf_dir, lines=False)
     dictionary = encode.fit_dictionary(orders, "o_orderstatus")
     coded = encode.apply_dictionary(orders, "o_orderstatus", dictionary, output="code").select("o_orderkey", "code")
     return encode.decode(coded, "code", dictionary, "decoded")
@@ -62,14 +62,14 @@ def _filled_sql(expression: str) -> str:
 
 @query("impute_mean", _filled_sql("(SELECT avg({c}) FROM v_ord)"))
 def impute_mean(spark, sf_dir):
-    orders = orders_view(spark, sf_dir)
+    orders = orders_table(spark, sf_dir)
     filled = impute.fill_with(orders, impute.fit_mean(orders, LINE_FEATURES))
     return filled.select("o_orderkey", *rounded(*LINE_FEATURES))
 
 
 @query("impute_median", _filled_sql("(SELECT quantile_cont({c}, 0.5) FROM v_ord)"))
 def impute_median(spark, sf_dir):
-    orders = orders_view(spark, sf_dir)
+    orders = orders_table(spark, sf_dir)
     filled = impute.fill_with(orders, impute.fit_median(orders, LINE_FEATURES))
     return filled.select("o_orderkey", *rounded(*LINE_FEATURES))
 
@@ -103,7 +103,7 @@ SELECT o_orderkey, round(coalesce(s.n_lines, f.n_lines), 6) AS n_lines, round(co
        round(coalesce(s.sum_price, f.sum_price), 4) AS sum_price, round(coalesce(s.avg_disc, f.avg_disc), 6) AS avg_disc
 FROM s LEFT JOIN f ON o_orderkey = qk""")
 def impute_knn(spark, sf_dir):
-    filled = impute.impute_knn(orders_view(spark, sf_dir), "o_orderkey", ORD_NUMERIC, k=5)
+    filled = impute.impute_knn(orders_table(spark, sf_dir), "o_orderkey", ORD_NUMERIC, k=5)
     return filled.select(
         "o_orderkey", *rounded("n_lines", "sum_qty", "avg_disc"), *rounded("sum_price", digits=4)
     )
@@ -118,7 +118,7 @@ def _standard_sql(where: str, fit_where: str) -> str:
 
 @query("scale_standard", _standard_sql("", ""))
 def scale_standard(spark, sf_dir):
-    orders = orders_view(spark, sf_dir)
+    orders = orders_table(spark, sf_dir)
     columns = ["o_totalprice", "c_acctbal", "n_lines"]
     return scale.transform(orders, scale.fit_standard(orders, columns), columns).select("o_orderkey", *rounded(*columns))
 
@@ -128,7 +128,7 @@ SPLIT = u_sql("o_orderkey", "'split'")
 
 @query("scale_fit_apply", _standard_sql(f"WHERE {SPLIT} < 0.3", f"WHERE {SPLIT} >= 0.3"))
 def scale_fit_apply(spark, sf_dir):
-    orders = orders_view(spark, sf_dir)
+    orders = orders_table(spark, sf_dir)
     columns = ["o_totalprice", "c_acctbal", "n_lines"]
     test = u("o_orderkey", "split") < 0.3
     fitted = scale.fit_standard(orders.filter(~test), columns)
@@ -142,7 +142,7 @@ SELECT o_orderkey, round((o_totalprice - a[2]) / (a[3] - a[1]), 6) AS o_totalpri
        round((n_lines - b[2]) / (b[3] - b[1]), 6) AS n_lines, round((avg_disc - c[2]) / (c[3] - c[1]), 6) AS avg_disc
 FROM v_ord, s""")
 def scale_robust(spark, sf_dir):
-    orders = orders_view(spark, sf_dir)
+    orders = orders_table(spark, sf_dir)
     columns = ["o_totalprice", "n_lines", "avg_disc"]
     return scale.transform(orders, scale.fit_robust(orders, columns), columns).select("o_orderkey", *rounded(*columns))
 
@@ -209,7 +209,7 @@ SELECT o_orderkey,
 FROM r, c""")
 def winsorize(spark, sf_dir):
     columns = ["o_totalprice", "sum_qty"]
-    return features.winsorize(orders_view(spark, sf_dir), columns).select("o_orderkey", *rounded(*columns))
+    return features.winsorize(orders_table(spark, sf_dir), columns).select("o_orderkey", *rounded(*columns))
 
 
 @query("bin_right_closed", f"""

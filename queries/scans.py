@@ -90,7 +90,7 @@ WITH {V_ORD}, s AS (SELECT avg(o_totalprice) AS m1, stddev_pop(o_totalprice) AS
 SELECT o_orderkey, round((o_totalprice - m1) / s1, 6) AS o_totalprice, round((c_acctbal - m2) / s2, 6) AS c_acctbal
 FROM v_ord, s""")
 def fitted_roundtrip(spark, sf_dir):
-    orders = orders_view(spark, sf_dir)
+    orders = orders_view(spark, sf_dir, lines=False)
     columns = ["o_totalprice", "c_acctbal"]
     path = scratch_path(spark, "fitted")
     tables.write_table(scale.fit_standard(orders, columns), path)

@@ -104,7 +104,7 @@ def welch_pvalue(spark, sf_dir):
 WITH {V_ORD} SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS "F", count(*) FILTER (o_orderstatus = 'O') AS "O",
        count(*) FILTER (o_orderstatus = 'P') AS "P" FROM v_ord GROUP BY 1""")
 def crosstab(spark, sf_dir):
-    return profile.crosstab(orders_view(spark, sf_dir), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
+    return profile.crosstab(orders_view(spark, sf_dir, lines=False), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
 
 
 PRIORITIES = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -128,7 +128,7 @@ def chi2_yates(spark, sf_dir):
 
 
 def _binary_tests(spark, sf_dir):
-    orders = orders_view(spark, sf_dir).select("o_orderpriority", "c_mktsegment", "target")
+    orders = orders_view(spark, sf_dir, lines=False).select("o_orderpriority", "c_mktsegment", "target")
     wide = encode.one_hot(orders, ["o_orderpriority", "c_mktsegment"])
     names = columns.feature_names(wide, ["target"])
     return hypothesis.chi2_binary(wide, names, "target")
@@ -139,7 +139,7 @@ WITH {V_ORD}, o AS (SELECT o_orderpriority AS a, o_orderstatus AS b, count(*) AS
 m AS (SELECT o, sum(o) OVER (PARTITION BY a) * sum(o) OVER (PARTITION BY b) / sum(o) OVER () AS e FROM o)
 SELECT round(sum((o - e) * (o - e) / e), 6) AS chi2, 8 AS dof, CAST(sum(o) AS BIGINT) AS n FROM m""")
 def chi2_general(spark, sf_dir):
-    return hypothesis.chi2_general(orders_view(spark, sf_dir), "o_orderpriority", "o_orderstatus").select(*rounded("chi2"), "dof", "n")
+    return hypothesis.chi2_general(orders_view(spark, sf_dir, lines=False), "o_orderpriority", "o_orderstatus").select(*rounded("chi2"), "dof", "n")
 
 
 # With one degree of freedom chi is half-normal; the oracle integrates the normal density from 0 to sqrt(chi2).

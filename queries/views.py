@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.rng import u
 from tallymark.functions.vectors import doubles
+from tallymark.session import written
 
 ORD_NUMERIC = ["o_totalprice", "c_acctbal", "n_lines", "sum_qty", "sum_price", "avg_disc"]
 ORD_FULL = ["o_totalprice", "c_acctbal"]
@@ -20,27 +21,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with customer and line features; orders without lines have null line features."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).cast("double").alias("n_lines"),
-        F.sum("l_quantity").alias("sum_qty"),
-        F.sum("l_extendedprice").alias("sum_price"),
-        F.avg("l_discount").alias("avg_disc"),
-    )
+def orders_view(spark: SparkSession, sf_dir: str, lines: bool = True) -> DataFrame:
+    """One row per order with customer and line features; orders without lines have null line features.
+
+    ``lines=False`` leaves the line features out for queries that do not use them.
+    """
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
-    return (
-        orders.join(customers, orders.o_custkey == customers.c_custkey)
-        .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-        .select(
-            "o_orderkey", "o_totalprice", "c_acctbal", "n_lines", "sum_qty", "sum_price", "avg_disc",
-            "o_orderpriority", "c_mktsegment", "o_orderstatus",
-            (F.col("o_orderstatus") == "F").cast("int").alias("target"),
+    joined = orders.join(customers, orders.o_custkey == customers.c_custkey)
+    features = []
+    if lines:
+        per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+            F.count(F.lit(1)).cast("double").alias("n_lines"),
+            F.sum("l_quantity").alias("sum_qty"),
+            F.sum("l_extendedprice").alias("sum_price"),
+            F.avg("l_discount").alias("avg_disc"),
         )
+        joined = joined.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
+        features = ["n_lines", "sum_qty", "sum_price", "avg_disc"]
+    return joined.select(
+        "o_orderkey", "o_totalprice", "c_acctbal", *features, "o_orderpriority", "c_mktsegment", "o_orderstatus",
+        (F.col("o_orderstatus") == "F").cast("int").alias("target"),
     )
 
 
+def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders view written once, for operators that read their input several times."""
+    return written(orders_view(spark, sf_dir))
+
+
 V_ORD = """v_ord AS (
   SELECT o_orderkey, o_totalprice, c_acctbal, n_lines, sum_qty, sum_price, avg_disc, o_orderpriority, c_mktsegment,
          o_orderstatus, CAST(o_orderstatus = 'F' AS INTEGER) AS target

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.rng import u
 from tallymark.operators import evaluate, models
 from tallymark.operators.ranking import bucket_count, unit_bucket, with_row_number
-from tallymark.session import checkpointed
+from tallymark.session import written
 
 
 def forest_importance(frame: DataFrame, names: list[str], params: dict | None = None) -> DataFrame:
@@ -36,10 +36,10 @@ def permutation_importance(frame: DataFrame, names: list[str], predict: models.P
     """
     drawn = frame.withColumn("__u", u("key", salt))
     buckets = unit_bucket(F.col("__u"), bucket_count(frame))
-    ranked = checkpointed(with_row_number(drawn, "__r", [F.col("__u"), F.col("key")], buckets).drop("__u"))
+    ranked = written(with_row_number(drawn, "__r", [F.col("__u"), F.col("key")], buckets).drop("__u"))
     n = ranked.count()
     lender = ranked.select((F.col("__r") % n + 1).alias("__r"), F.col("vec").alias("other"))
-    paired = checkpointed(ranked.join(lender, "__r"))
+    paired = written(ranked.join(lender, "__r"))
 
     def swapped(i: int) -> DataFrame:
         vec = F.transform(F.col("vec"), lambda x, j: F.when(j == i, F.element_at("other", i + 1)).otherwise(x))
@@ -47,6 +47,6 @@ def permutation_importance(frame: DataFrame, names: list[str], predict: models.P
 
     full = predict(paired.select("key", "label", "vec")).withColumn("feature", F.lit("(none)"))
     scored = reduce(DataFrame.unionByName, [swapped(i) for i in range(len(names))], full)
-    metrics = checkpointed(evaluate.binary_metrics(scored, "label", "prediction", ["feature"]).select("feature", "f1"))
+    metrics = written(evaluate.binary_metrics(scored, "label", "prediction", ["feature"]).select("feature", "f1"))
     base = metrics.filter("feature = '(none)'").first()["f1"]
     return metrics.filter("feature != '(none)'").withColumn("drop", F.lit(base) - F.col("f1"))

@@ -22,11 +22,11 @@ def winsorize(df: DataFrame, columns: list[str], low: float = 0.05, high: float
         "lo": (low, lambda n: F.floor(F.lit(low) * n) + 1),
         "hi": (1.0 - high, lambda n: n - F.floor(F.lit(high) * n)),
     }
-    cuts = {(r["column"], r["label"]): r["value"] for r in values_at_ranks(df, columns, ranks).collect()}
+    cuts = {r["column"]: r for r in values_at_ranks(df, columns, ranks).collect()}
     return df.withColumns({
         c: F.when(
             F.col(c).isNotNull(),
-            F.greatest(F.lit(cuts[c, "lo"]), F.least(F.lit(cuts[c, "hi"]), F.col(c).cast("double"))),
+            F.greatest(F.lit(cuts[c]["lo"]), F.least(F.lit(cuts[c]["hi"]), F.col(c).cast("double"))),
         )
         for c in columns
     })

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.operators.neighbours import block_join
+from tallymark.operators.neighbours import MATRIX_CELLS, block_join, smallest
 from tallymark.operators.ranking import quantile_row
 from tallymark.session import attach
 
@@ -56,22 +56,30 @@ def impute_knn(df: DataFrame, key: str, columns: list[str], k: int = 5) -> DataF
     def nearest(left_keys, left, right_keys, right):
         present = ~np.isnan(right)
         filled = np.where(present, right, 0.0)
-        for i in range(len(left)):
-            mine = ~np.isnan(left[i])
-            shared = present & mine
-            count = shared.sum(axis=1)
-            gap = np.where(shared, filled - np.where(mine, left[i], 0.0), 0.0)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                dist = np.sqrt(width / count * (gap * gap).sum(axis=1))
-            usable = count > 0
+        patterns, member = np.unique(~np.isnan(left), axis=0, return_inverse=True)
+        for number, mine in enumerate(patterns):
+            rows = np.flatnonzero(member.ravel() == number)
+            # How many coordinates are shared depends on the pattern and the donor only.
+            shared = present[:, mine].sum(axis=1)
+            targets: dict[bytes, list[int]] = {}
             for j in np.flatnonzero(~mine):
-                rows = np.flatnonzero(usable & present[:, j])
-                if len(rows) > k:
-                    limit = np.partition(dist[rows], k - 1)[k - 1]
-                    rows = rows[dist[rows] <= limit]
-                rows = rows[np.lexsort((right_keys[rows], dist[rows]))][:k]
-                for r in rows:
-                    yield left_keys[i], int(j), right_keys[r], float(dist[r]), float(right[r, j])
+                targets.setdefault((present[:, j] & (shared > 0)).tobytes(), []).append(int(j))
+            for allowed, columns_of in targets.items():
+                donor = np.flatnonzero(np.frombuffer(allowed, dtype=bool))
+                if not len(donor):
+                    continue
+                step = max(1, MATRIX_CELLS // len(donor))
+                for part in (rows[i:i + step] for i in range(0, len(rows), step)):
+                    dist = np.zeros((len(part), len(donor)))
+                    for j in np.flatnonzero(mine):
+                        gap = (left[part, j, None] - filled[None, donor, j]) * present[donor, j]
+                        dist += gap * gap
+                    dist = np.sqrt(width / shared[donor] * dist)
+                    for i, row in enumerate(part):
+                        best = smallest(dist[i], right_keys[donor], k)
+                        for j in columns_of:
+                            for b in best:
+                                yield left_keys[row], j, right_keys[donor[b]], float(dist[i, b]), float(right[donor[b], j])
 
     schema = "left_key bigint, j int, right_key bigint, distance double, value double"
     found = block_join(gaps.select(F.col(key).alias("key"), "v"), donors.select(F.col(key).alias("key"), "v"), nearest, schema)

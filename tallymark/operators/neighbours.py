@@ -67,6 +67,14 @@ def distances(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
     return out if p == 1 else np.sqrt(out) if p == 2 else out ** (1.0 / p)
 
 
+def smallest(dist: np.ndarray, keys: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k smallest distances in order, ties by key."""
+    near = np.arange(len(dist))
+    if len(dist) > k:
+        near = np.flatnonzero(dist <= np.partition(dist, k - 1)[k - 1])
+    return near[np.lexsort((keys[near], dist[near]))][:k]
+
+
 def candidate_mask(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
     """Rows of ``b`` that can be among the k Euclidean neighbours, from one matrix product with a safe error margin."""
     aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
@@ -94,21 +102,16 @@ def knn_join(
             mask = candidate_mask(part, b, want) if p == 2 and few else None
             full = None if mask is not None else distances(part, b, p)
             for i in range(len(part)):
+                mine = left_keys[start + i]
                 if mask is not None:
                     rows = np.flatnonzero(mask[i])
                     dist = distances(part[i:i + 1], b[rows], p)[0]
                 else:
                     rows, dist = np.arange(len(b)), full[i]
-                    if len(rows) > want:
-                        limit = np.partition(dist, want - 1)[want - 1]
-                        rows = np.flatnonzero(dist <= limit)
-                        dist = dist[rows]
-                mine = left_keys[start + i]
                 if exclude_self:
                     other = right_keys[rows] != mine
                     rows, dist = rows[other], dist[other]
-                order = np.lexsort((right_keys[rows], dist))[:k]
-                for o in order:
+                for o in smallest(dist, right_keys[rows], k):
                     yield mine, right_keys[rows[o]], float(dist[o])
 
     found = block_join(

@@ -98,64 +98,57 @@ def values_at_ranks(df: DataFrame, columns: list[str], ranks: dict, by: list[str
     """Exact values at given 1-based ranks of each column, nulls left out.
 
     ``ranks`` maps a label to ``(share, rank)``: ``rank`` is a function of the non-null count column, ``share`` the
-    fraction of rows it sits at. Result: ``by.., column, label, n, value``.
+    fraction of rows it sits at. Result: ``by.., column, n`` and one column per label.
 
-    A mergeable quantile sketch brackets each rank, one pass counts the rows below the bracket, and only the few
-    values inside the bracket are ranked. Sketch bounds are proven by the counts: a miss raises, it never returns a
-    wrong value.
+    One mergeable quantile sketch per column brackets all ranks, one pass counts the rows below each bracket, and only
+    the few values inside a bracket are ranked. Sketch bounds are proven by the counts: a miss raises, it never returns
+    a wrong value. Groups of at most ``SKETCH_ROWS`` rows have a single bracket, the whole group.
     """
     by = list(by or [])
     margin = 4.0 / SKETCH_ROWS
-    brackets = []
+    shares = sorted({share for share, _ in ranks.values()})
+    ends = [p for share in shares for p in (max(share - margin, 0.0), min(share + margin, 1.0))]
+    stats = []
     for c in columns:
         v = F.col(c).cast("double")
-        brackets.append(F.count(v).alias(f"__n_{c}"))
-        brackets += [F.min(v).alias(f"__min_{c}"), F.max(v).alias(f"__max_{c}")]
-        for label, (share, _) in ranks.items():
-            for side, p in (("lo", max(share - margin, 0.0)), ("hi", min(share + margin, 1.0))):
-                brackets.append(F.percentile_approx(v, p, F.lit(SKETCH_ROWS)).alias(f"__{side}_{label}_{c}"))
-    sketch = df.groupBy(*by).agg(*brackets)
-    tidy = list(by)
-    for c in columns:
-        tidy.append(f"__n_{c}")
-        few = F.col(f"__n_{c}") <= SKETCH_ROWS
-        for label, (share, _) in ranks.items():
-            low = few | F.lit(share <= margin)
-            high = few | F.lit(share >= 1.0 - margin)
-            tidy.append(F.when(low, F.col(f"__min_{c}")).otherwise(F.col(f"__lo_{label}_{c}")).alias(f"__lo_{label}_{c}"))
-            tidy.append(F.when(high, F.col(f"__max_{c}")).otherwise(F.col(f"__hi_{label}_{c}")).alias(f"__hi_{label}_{c}"))
-    sketch = sketch.select(*tidy)
+        stats += [
+            F.count(v).alias(f"__n_{c}"), F.min(v).alias(f"__min_{c}"), F.max(v).alias(f"__max_{c}"),
+            F.percentile_approx(v, ends, F.lit(SKETCH_ROWS)).alias(f"__cuts_{c}"),
+        ]
+    sketch = df.groupBy(*by).agg(*stats)
     slim = attach(df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]), sketch, by, how="inner")
 
-    pairs = [(c, label) for c in columns for label in ranks]
-
-    def entry(c: str, label: str) -> Column:
-        v = F.col(c)
-        position = F.when(v < F.col(f"__lo_{label}_{c}"), F.lit(0)).when(v <= F.col(f"__hi_{label}_{c}"), F.lit(1))
+    def entry(c: str, i: int) -> Column:
+        v, few = F.col(c), F.col(f"__n_{c}") <= SKETCH_ROWS
+        low = F.col(f"__min_{c}") if shares[i] <= margin else F.when(few, F.col(f"__min_{c}")).otherwise(F.col(f"__cuts_{c}")[2 * i])
+        high = F.col(f"__max_{c}") if shares[i] >= 1.0 - margin else F.when(few, F.col(f"__max_{c}")).otherwise(F.col(f"__cuts_{c}")[2 * i + 1])
+        position = F.when(v < low, F.lit(0)).when(v <= high, F.lit(1))
+        if i > 0:
+            position = F.when(~few, position)
         return F.struct(
-            F.lit(c).alias("column"), F.lit(label).alias("label"), F.col(f"__n_{c}").alias("n"),
-            position.alias("position"), F.when(position == 1, v).alias("value"),
+            F.lit(c).alias("column"), F.lit(i).alias("bracket"), F.col(f"__n_{c}").alias("n"), position.alias("position"),
+            F.when(position == 1, v).alias("value"),
         )
 
-    # Rows below a bracket share one key per (column, label), so map-side combine reduces them to single counts.
-    marked = slim.select(*by, F.explode(F.filter(F.array(*[entry(*p) for p in pairs]), lambda e: e["position"].isNotNull())).alias("e"))
-    counted = marked.groupBy(
-        *by, F.col("e.column").alias("column"), F.col("e.label").alias("label"), F.col("e.n").alias("n"),
-        F.col("e.position").alias("position"), F.col("e.value").alias("value"),
-    ).agg(F.count(F.lit(1)).alias("rows"))
-    keys = [*by, "column", "label"]
-    order = Window.partitionBy(*keys).orderBy("position", "value").rowsBetween(Window.unboundedPreceding, 0)
-    target = F.lit(None).cast("bigint")
-    for label, (_, rank) in ranks.items():
-        target = F.when(F.col("label") == label, rank(F.col("n"))).otherwise(target)
-    ranked = counted.withColumn("upto", F.sum("rows").over(order)).withColumn("target", target.cast("bigint"))
-    hit = (F.col("upto") >= F.col("target")) & (F.col("upto") - F.col("rows") < F.col("target"))
-    found = ranked.groupBy(*keys, "n", "target").agg(
-        F.max(F.when(hit & (F.col("position") == 1), F.col("value"))).alias("value")
-    )
-    missed = F.col("value").isNull() & F.col("target").between(1, F.col("n"))
-    checked = F.when(missed, F.raise_error(F.lit("quantile sketch missed the rank")).cast("double")).otherwise(F.col("value"))
-    return found.select(*keys, "n", checked.alias("value"))
+    # Rows below a bracket share one key per column and bracket, so map-side combine reduces them to single counts.
+    entries = F.array(*[entry(c, i) for c in columns for i in range(len(shares))])
+    marked = slim.select(*by, F.inline(F.filter(entries, lambda e: e["position"].isNotNull())))
+    counted = marked.groupBy(*by, "column", "bracket", "n", "position", "value").agg(F.count(F.lit(1)).alias("rows"))
+    order = Window.partitionBy(*by, "column", "bracket").orderBy("position", "value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("upto", F.sum("rows").over(order))
+
+    def at(label: str) -> Column:
+        share, rank = ranks[label]
+        bracket = F.when(F.col("n") <= SKETCH_ROWS, F.lit(0)).otherwise(F.lit(shares.index(share)))
+        hit = (F.col("bracket") == bracket) & (F.col("upto") >= rank(F.col("n"))) & (F.col("upto") - F.col("rows") < rank(F.col("n")))
+        return F.max(F.when(hit & (F.col("position") == 1), F.col("value")))
+
+    found = ranked.groupBy(*by, "column", "n").agg(*[at(label).alias(label) for label in ranks])
+    missed = F.raise_error(F.lit("quantile sketch missed the rank")).cast("double")
+    return found.select(*by, "column", "n", *[
+        F.when(F.col(label).isNull() & rank(F.col("n")).between(1, F.col("n")), missed).otherwise(F.col(label)).alias(label)
+        for label, (_, rank) in ranks.items()
+    ])
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: dict[str, float], by: list[str] | None = None) -> DataFrame:
@@ -166,17 +159,13 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: dict[str,
         ranks[f"{label}__a"] = (p, lambda n, p=p: F.floor(F.lit(p) * (n - 1)) + 1)
         ranks[f"{label}__b"] = (p, lambda n, p=p: F.ceil(F.lit(p) * (n - 1)) + 1)
     found = values_at_ranks(df, columns, ranks, by)
-    keys = [*by, "column"]
-    wide = found.groupBy(*keys).agg(
-        F.max("n").alias("n"), *[F.max(F.when(F.col("label") == label, F.col("value"))).alias(label) for label in ranks]
-    )
 
     def interpolated(label: str, p: float) -> Column:
         position = F.lit(p) * (F.col("n") - 1)
         low, high = F.col(f"{label}__a"), F.col(f"{label}__b")
         return (low + (high - low) * (position - F.floor(position))).alias(label)
 
-    return wide.select(*keys, "n", *[interpolated(label, p) for label, p in probabilities.items()])
+    return found.select(*by, "column", "n", *[interpolated(label, p) for label, p in probabilities.items()])
 
 
 def quantile_row(df: DataFrame, columns: list[str], probabilities: dict[str, float]) -> dict[str, dict[str, float]]:

@@ -9,7 +9,7 @@ from tallymark.functions.rng import gauss, u
 from tallymark.functions.vectors import distance
 from tallymark.operators.neighbours import knn_join
 from tallymark.operators.ranking import bucket_count, with_range_bucket, with_row_number
-from tallymark.session import attach, checkpointed
+from tallymark.session import attach, written
 
 # Noise multipliers of the three parts; fixed values of the workload.
 NOISE_STEPS = [0.5, 1.0, 2.0]
@@ -33,7 +33,7 @@ def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5) -> DataFram
     if neighbours == 0:
         raise ValueError("smote needs two minority rows")
     # Used by the ranking and twice by the joins, so it is written once.
-    few = checkpointed(real.filter(F.col(label) == minority).select(F.col(key).alias("key"), F.col(vec).alias("v")))
+    few = written(real.filter(F.col(label) == minority).select(F.col(key).alias("key"), F.col(vec).alias("v")))
     ranged = with_range_bucket(few, "key", "__range", bucket_count(few))
     ranked = with_row_number(ranged, "rank", [F.col("key")], F.col("__range")).select("rank", "key", "v")
     near = knn_join(few, few, neighbours, "key", "key", "v", "v", exclude_self=True)
@@ -73,24 +73,24 @@ def noised(df: DataFrame, key: str, vec: str, sigma: float, thirds: bool = True,
     return df.withColumn(output, shaken).drop("__sd")
 
 
-def coreset_greedy(df: DataFrame, key: str, vec: str, k: int, rounds_per_checkpoint: int = 8) -> DataFrame:
+def coreset_greedy(df: DataFrame, key: str, vec: str, k: int, rounds_per_table: int = 8) -> DataFrame:
     """Greedy farthest-point selection: ``key, vec, round, gap`` from the smallest key on, ties by key.
 
     Every round updates the distance to the nearest chosen row in place and finds the farthest row with one aggregate;
-    one row per round reaches the driver. The distances are checkpointed every few rounds, so lineage stays short.
+    one row per round reaches the driver. The distances are written every few rounds, so lineage stays short.
     ``k = -1``, or k not below the row count, selects all rows. The cost is k passes, so k should stay in the thousands.
     """
     rows = df.select(key, F.col(vec).cast("array<double>").alias(vec))
     if k == -1 or k >= rows.count():
         return rows.select(key, vec, F.lit(None).cast("int").alias("round"), F.lit(None).cast("double").alias("gap"))
-    state = checkpointed(rows.withColumn("near", F.lit(float("inf"))))
+    state = written(rows.withColumn("near", F.lit(float("inf"))))
     chosen = [(*state.agg(F.min_by(F.struct(key, vec), key).alias("r")).first()["r"], 0, None)]
     for number in range(1, k):
         centre = F.lit([float(x) for x in chosen[-1][1]])
         nearer = F.least(F.col("near"), distance(F.col(vec), centre))
         state = state.withColumn("near", F.when(F.col(key) == chosen[-1][0], F.lit(-1.0)).otherwise(nearer))
-        if number % rounds_per_checkpoint == 0:
-            state = checkpointed(state)
+        if number % rounds_per_table == 0:
+            state = written(state)
         best = state.agg(F.min_by(F.struct(key, vec, "near"), F.struct(-F.col("near"), F.col(key))).alias("r")).first()["r"]
         chosen.append((best[key], best[vec], number, best["near"]))
     kind = rows.schema[key].dataType.simpleString()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tallymark.operators import (
     evaluate, explain, features, hypothesis, impute, models, projection, resample, results, scale, search, split,
 )
-from tallymark.session import checkpointed
+from tallymark.session import written
 
 
 @dataclass(frozen=True)
@@ -111,7 +111,7 @@ def prepare(train: Frame, others: list[Frame], steps: tuple) -> tuple[Frame, lis
         else:
             apply = STEPS[name](train, **options)
             train, others = apply(train), [apply(frame) for frame in others]
-    return replace(train, df=checkpointed(train.df)), others
+    return replace(train, df=written(train.df)), others
 
 
 def _tuned(train: Frame, name: str, trials: int, k: int) -> tuple[str, dict]:
@@ -137,12 +137,12 @@ def compare(
     share: float = 0.3, leak_safe: bool = True, trials: int = 3, tuning_folds: int = 2,
 ) -> DataFrame:
     """``scenario, model, fold`` and metrics: k folds, or one stratified split (fold 0) with ``folds=None``."""
-    base = replace(frame, df=checkpointed(frame.df))
+    base = replace(frame, df=written(frame.df))
     if folds is None:
         marked = split.stratified_split(base.df, "key", "label", share)
         sides = [(marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test"))]
     else:
-        dealt = checkpointed(split.stratified_folds(base.df, "key", "label", folds))
+        dealt = written(split.stratified_folds(base.df, "key", "label", folds))
         sides = [(dealt.filter(F.col("fold") != i).drop("fold"), dealt.filter(F.col("fold") == i).drop("fold")) for i in range(folds)]
     scored = []
     for name, scenario in scenarios.items():
@@ -156,7 +156,7 @@ def compare(
             train, (test,) = prepare(replace(base, df=train_df), [replace(base, df=test_df)], scenario.steps)
             chosen = {m: _tuned(train, c[0], trials, tuning_folds) for m, c in candidates.items()} if scenario.tuned else candidates
             scored += _predict(train, test, chosen, {"scenario": name, "fold": fold})
-    predictions = checkpointed(reduce(DataFrame.unionByName, scored))
+    predictions = written(reduce(DataFrame.unionByName, scored))
     return evaluate.scored_metrics(predictions, "score", "label", "prediction", ["scenario", "model", "fold"])
 
 

@@ -41,10 +41,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: cuts the lineage and survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    Cuts the lineage, survives lost executors, and later passes read only the columns they need. The tables stay until
+    the folder is cleared.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def parallelism(spark: SparkSession) -> int:
@@ -107,4 +112,4 @@ def settled(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:
     rows = few_rows(df, limit)
     if rows is not None:
         return df.sparkSession.createDataFrame(rows, df.schema), True
-    return checkpointed(df), False
+    return written(df), False
