@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from queries.registry import query
 from queries.views import (
-    V_EMB, V_ORD, V_RES, embeddings_view, orders_view, results_view, rounded, table,
+    V_EMB, V_ORD, V_RES, embeddings_view, orders_table, orders_view, results_view, rounded, table,
 )
 from tallymark.operators import neighbours, results
 
@@ -19,10 +19,10 @@ L1 = "list_sum(list_transform(list_zip(a.vec, b.vec), lambda x: abs(x[1] - x[2])
 L3 = "pow(list_sum(list_transform(list_zip(a.vec, b.vec), lambda x: pow(abs(x[1] - x[2]), 3))), 1.0 / 3)"
 
 
-def _knn(spark, sf_dir, p, **options):
+def _knn(spark, sf_dir, p):
     vectors = embeddings_view(spark, sf_dir)
     test, train = vectors.filter("part = 'test'"), vectors.filter("part = 'train'")
-    pairs = neighbours.knn_join(test, train, 5, "vec_id", "vec_id", p=p, **options)
+    pairs = neighbours.knn_join(test, train, 5, "vec_id", "vec_id", p=p)
     return pairs.select("left_key", "right_key", *rounded("distance"), "rank")
 
 
@@ -41,6 +41,26 @@ def knn_join_lp(spark, sf_dir):
     return _knn(spark, sf_dir, 3)
 
 
+SCALED = """o AS (SELECT o_orderkey, o_totalprice / 1000 AS a, c_acctbal / 100 AS b, n_lines FROM v_ord)"""
+
+
+@query("knn_join_pivots", f"""
+WITH {V_ORD}, {SCALED},
+r AS (SELECT l.o_orderkey AS left_key, r.o_orderkey AS right_key, sqrt((l.a - r.a) * (l.a - r.a) + (l.b - r.b) * (l.b - r.b)) AS distance
+      FROM o l JOIN o r ON l.n_lines IS NULL AND r.n_lines IS NOT NULL),
+k AS (SELECT *, row_number() OVER (PARTITION BY left_key ORDER BY distance, right_key) AS "rank" FROM r)
+SELECT left_key, right_key, round(distance, 6) AS distance, CAST("rank" AS INTEGER) AS "rank" FROM k WHERE "rank" <= 5""")
+def knn_join_pivots(spark, sf_dir):
+    """The orders with lines that are nearest to each order without, comparing only pairs within reach."""
+    orders = orders_table(spark, sf_dir).select(
+        "o_orderkey", "n_lines", F.array(F.col("o_totalprice") / 1000, F.col("c_acctbal") / 100).alias("vec")
+    )
+    pairs = neighbours.knn_join(
+        orders.filter("n_lines is null"), orders.filter("n_lines is not null"), 5, "o_orderkey", "o_orderkey", pivots=64
+    )
+    return pairs.select("left_key", "right_key", *rounded("distance"), "rank")
+
+
 @query("param_grid", f"""
 WITH {V_ORD},
 p AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 1 AS i FROM (SELECT DISTINCT o_orderpriority FROM v_ord)),

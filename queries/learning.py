@@ -35,7 +35,7 @@ def document_frame(spark, sf_dir):
 
 def _classify(spark, sf_dir, model, params=None):
     """Fit on 70 % of the orders, score the rest."""
-    marked = split.stratified_split(order_frame(spark, sf_dir), "key", "label", 0.3)
+    marked = written(split.stratified_split(order_frame(spark, sf_dir), "key", "label", 0.3))
     predict = models.fit(model, marked.filter(~F.col("is_test")), params)
     scored = predict(marked.filter("is_test"))
     return scored.select("key", "label", *rounded("score"), "prediction")

@@ -1,9 +1,12 @@
-"""Array-column arithmetic inside the JVM."""
+"""Array-column arithmetic: inside the JVM, and one matrix product per Arrow batch where every row meets a matrix."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 
 def doubles(v: Column | str) -> Column:
@@ -44,3 +47,17 @@ def distance(a: Column, b: Column, p: float = 2.0) -> Column:
 
 def mean_of(v: Column) -> Column:
     return total(v) / F.size(v)
+
+
+def times_matrix(v: Column | str, matrix: np.ndarray, after=None) -> Column:
+    """Product of each vector with a small matrix (width x outputs); ``after`` maps the whole result matrix."""
+    matrix = np.asarray(matrix, dtype=float)
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def product(batch: pd.Series) -> pd.Series:
+        if not len(batch):
+            return pd.Series([], dtype=object)
+        out = np.stack(batch.to_numpy()) @ matrix
+        return pd.Series(list(out if after is None else after(out)))
+
+    return product(v)

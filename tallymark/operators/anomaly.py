@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallymark.operators import columns, evaluate, scale
 from tallymark.operators.neighbours import knn_join
 from tallymark.operators.resample import noised
+from tallymark.session import written
 
 
 def memory_bank_score(scored: DataFrame, bank: DataFrame, key: str, vec: str, k: int) -> DataFrame:
@@ -33,7 +34,8 @@ def noise_discriminator(normal: DataFrame, scored: DataFrame, key: str, vec: str
     features = lambda df: df.withColumn(
         "x", array_to_vector(F.concat(F.col(vec), F.transform(vec, lambda v: v * v)))
     )
-    model = LogisticRegression(featuresCol="x", labelCol="y", regParam=reg, maxIter=50).fit(features(training))
+    # Every iteration reads the training rows, so the draws are made once.
+    model = LogisticRegression(featuresCol="x", labelCol="y", regParam=reg, maxIter=50).fit(features(written(training)))
     return model.transform(features(scored)).select(key, vector_to_array("probability")[1].alias("score"))
 
 

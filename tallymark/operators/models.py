@@ -11,6 +11,7 @@ import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
     RandomForestClassifier,
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.rng import gauss, u
-from tallymark.functions.vectors import distance
+from tallymark.functions.vectors import distance, times_matrix
 from tallymark.operators.features import width_of
 from tallymark.operators.neighbours import knn_classify
 from tallymark.operators.split import class_weight
@@ -119,13 +120,8 @@ def fourier_features(df: DataFrame, gamma: float, features: int, width: int) ->
     for r in cells.select("o", "j", gauss(F.concat_ws("_", "o", "j"), "w").alias("g")).collect():
         waves[r["o"]][r["j"]] = r["g"] * math.sqrt(2.0 * gamma)
     shifts = [r["b"] for r in df.sparkSession.range(features).orderBy("id").select((u("id", "b") * 2 * math.pi).alias("b")).collect()]
-    table = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(b).alias("b")) for w, b in zip(waves, shifts)])
-
-    def wave(row: Column) -> Column:
-        product = F.aggregate(F.zip_with(row["w"], F.col("vec"), lambda a, x: a * x), F.lit(0.0), lambda s, x: s + x)
-        return F.lit(math.sqrt(2.0 / features)) * F.cos(product + row["b"])
-
-    return df.withColumn("vec", F.transform(table, wave))
+    shift, scale = np.array(shifts), math.sqrt(2.0 / features)
+    return df.withColumn("vec", times_matrix("vec", np.array(waves).T, lambda product: scale * np.cos(product + shift)))
 
 
 def fit_svm(train: DataFrame, params: dict) -> Predictor:

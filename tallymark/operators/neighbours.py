@@ -4,6 +4,10 @@ Both sides are hashed into blocks of bounded size and every pair of blocks is on
 that returns only the k best rows of each left row. No pair of rows is ever shuffled or stored, no side is broadcast
 or collected, and a hot key or cluster cannot make a block large because blocks are cut by a hash of the row key. The
 work is |left| x |right| distances, spread over all tasks; partial results are merged by a window over the left key.
+
+For large sides with structure ``knn_join(.., pivots=n)`` first groups rows around pivot rows. Distances to the pivots
+bound the k-th neighbour distance of each group, and by the triangle inequality only right rows within reach are sent
+to a group. The result stays exact.
 """
 
 from __future__ import annotations
@@ -16,7 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.session import parallelism
+from tallymark.functions.rng import u
+from tallymark.session import parallelism, written
 
 BLOCK_ROWS = 32_768
 # Cells of one distance matrix held in memory at a time.
@@ -28,25 +33,33 @@ def block_join(left: DataFrame, right: DataFrame, match: Callable, schema: str,
 
     Both frames have the columns ``key bigint, v array<double>``. ``match`` yields row tuples of ``schema``.
     """
-    n_left, n_right = left.count(), right.count()
-    right_blocks = max(1, math.ceil(n_right / block_rows))
-    left_blocks = max(1, math.ceil(n_left / block_rows))
-    if left_blocks * right_blocks < parallelism(left.sparkSession):
-        left_blocks = math.ceil(parallelism(left.sparkSession) / right_blocks)
-
-    def block(blocks: int, salt: str):
-        return F.pmod(F.xxhash64("key", F.lit(salt)), F.lit(blocks)).cast("int")
+    cell = F.lit(0).alias("cell")
+    return _join_cells(
+        left.select("key", "v", cell), right.select("key", "v", cell), [left.count()], [right.count()], match, schema, block_rows
+    )
 
-    def everywhere(blocks: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
+def _join_cells(
+    left: DataFrame, right: DataFrame, left_rows: list[int], right_rows: list[int], match: Callable, schema: str, block_rows: int
+) -> DataFrame:
+    """Match the rows of equal cells. A cell with many rows is cut into blocks on both sides by a hash of the row key."""
+    right_blocks = [max(1, math.ceil(n / block_rows)) for n in right_rows]
+    left_blocks = [max(1, math.ceil(n / block_rows)) for n in left_rows]
+    units = sum(a * b for a, b in zip(left_blocks, right_blocks))
+    if units < parallelism(left.sparkSession):
+        more = math.ceil(parallelism(left.sparkSession) / units)
+        left_blocks = [n * more for n in left_blocks]
+    blocks_of = lambda sizes: F.element_at(F.lit(sizes), F.col("cell") + 1)
+    block = lambda sizes, salt: F.pmod(F.xxhash64("key", F.lit(salt)), blocks_of(sizes)).cast("int")
+    everywhere = lambda sizes: F.explode(F.sequence(F.lit(0), blocks_of(sizes) - 1))
     lhs = left.select(
-        F.col("key").alias("lk"), F.col("v").alias("lv"), block(left_blocks, "l").alias("i"), everywhere(right_blocks).alias("j")
+        F.col("key").alias("lk"), F.col("v").alias("lv"), F.col("cell").alias("c"), block(left_blocks, "l").alias("i"),
+        everywhere(right_blocks).alias("j"),
     )
     rhs = right.select(
-        F.col("key").alias("rk"), F.col("v").alias("rv"), everywhere(left_blocks).alias("i"), block(right_blocks, "r").alias("j")
+        F.col("key").alias("rk"), F.col("v").alias("rv"), F.col("cell").alias("c"), everywhere(left_blocks).alias("i"),
+        block(right_blocks, "r").alias("j"),
     )
-
     names = [part.split()[0] for part in schema.split(",")]
 
     def pair(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -55,7 +68,63 @@ def block_join(left: DataFrame, right: DataFrame, match: Callable, schema: str,
         rows = match(a["lk"].to_numpy(), np.stack(a["lv"].to_numpy()), b["rk"].to_numpy(), np.stack(b["rv"].to_numpy()))
         return pd.DataFrame.from_records(list(rows), columns=names)
 
-    return lhs.groupBy("i", "j").cogroup(rhs.groupBy("i", "j")).applyInPandas(pair, schema)
+    return lhs.groupBy("c", "i", "j").cogroup(rhs.groupBy("c", "i", "j")).applyInPandas(pair, schema)
+
+
+def _pivot_join(
+    left: DataFrame, right: DataFrame, match: Callable, schema: str, want: int, p: float, pivots: int, block_rows: int
+) -> DataFrame:
+    """Match each left row with all right rows that can be among its ``want`` nearest, and few others.
+
+    With pivot distances: a left cell of radius U has a neighbour within U + |p_i y| for every right row y, so the
+    ``want``-th smallest of these, theta, bounds the neighbours of the whole cell. A right row farther than U + theta from
+    the pivot of the cell cannot be one.
+    """
+    centres = np.array([r["v"] for r in right.orderBy(u("key", "pivot"), "key").limit(pivots).collect()])
+    if not len(centres):
+        return block_join(left, right, match, schema, block_rows)
+    count = len(centres)
+
+    @F.pandas_udf("cell int, gap double")
+    def locate(v: pd.Series) -> pd.DataFrame:
+        if not len(v):
+            return pd.DataFrame({"cell": [], "gap": []})
+        dist = distances(np.stack(v.to_numpy()), centres, p)
+        return pd.DataFrame({"cell": dist.argmin(axis=1), "gap": dist.min(axis=1)})
+
+    def lowest(batches):
+        kept = np.empty((0, count))
+        for batch in batches:
+            if len(batch):
+                kept = np.sort(np.vstack([kept, distances(np.stack(batch["v"].to_numpy()), centres, p)]), axis=0)[:want]
+        rank, cell = np.divmod(np.arange(kept.size), count)
+        yield pd.DataFrame({"cell": cell, "gap": kept[rank, cell]})
+
+    left_side = written(left.withColumn("at", locate("v")).select("key", "v", "at.cell", "at.gap"))
+    left_rows, radius = [0] * count, [0.0] * count
+    for r in left_side.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("u")).collect():
+        left_rows[r["cell"]], radius[r["cell"]] = r["n"], r["u"]
+    # A task hands on its ``want`` smallest distances to every pivot, so the window sees a few rows per task and pivot.
+    order = Window.partitionBy("cell").orderBy("gap")
+    partial = right.select("v").mapInPandas(lowest, "cell int, gap double").withColumn("r", F.row_number().over(order))
+    theta = [float("inf")] * count
+    for r in partial.filter(F.col("r") == want).collect():
+        theta[r["cell"]] = radius[r["cell"]] + r["gap"]
+    # A little slack keeps rounding from cutting off a row on the boundary.
+    reach = [(radius[i] + theta[i]) * (1 + 1e-9) + 1e-9 if left_rows[i] else -1.0 for i in range(count)]
+
+    @F.pandas_udf("array<int>")
+    def within_reach(v: pd.Series) -> pd.Series:
+        if not len(v):
+            return pd.Series([], dtype=object)
+        near = distances(np.stack(v.to_numpy()), centres, p) <= np.array(reach)
+        return pd.Series([np.flatnonzero(row).astype(np.int32) for row in near])
+
+    sent = right.select("key", "v", F.explode(within_reach("v")).alias("cell"))
+    right_rows = [0] * count
+    for r in sent.groupBy("cell").count().collect():
+        right_rows[r["cell"]] = r["count"]
+    return _join_cells(left_side.select("key", "v", "cell"), sent, left_rows, right_rows, match, schema, block_rows)
 
 
 def distances(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
@@ -86,11 +155,12 @@ def candidate_mask(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
 
 def knn_join(
     left: DataFrame, right: DataFrame, k: int, left_key: str, right_key: str, left_vec: str = "vec",
-    right_vec: str = "vec", p: float = 2.0, exclude_self: bool = False, block_rows: int = BLOCK_ROWS,
+    right_vec: str = "vec", p: float = 2.0, exclude_self: bool = False, pivots: int = 0, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The k nearest right rows of every left row: ``left_key, right_key, distance, rank``; ties by right key.
 
-    ``p`` is 1 (Manhattan), 2 (Euclidean) or any Minkowski order. ``exclude_self`` skips equal keys.
+    ``p`` is 1 (Manhattan), 2 (Euclidean) or any Minkowski order from 1 on. ``exclude_self`` skips equal keys. ``pivots`` is
+    the number of pivot rows used to skip pairs that are too far apart; 0 compares all pairs.
     """
     want = k + 1 if exclude_self else k
 
@@ -114,11 +184,13 @@ def knn_join(
                 for o in smallest(dist, right_keys[rows], k):
                     yield mine, right_keys[rows[o]], float(dist[o])
 
-    found = block_join(
-        left.select(F.col(left_key).alias("key"), F.col(left_vec).cast("array<double>").alias("v")),
-        right.select(F.col(right_key).alias("key"), F.col(right_vec).cast("array<double>").alias("v")),
-        nearest, "l bigint, r bigint, distance double", block_rows,
-    )
+    lhs = left.select(F.col(left_key).alias("key"), F.col(left_vec).cast("array<double>").alias("v"))
+    rhs = right.select(F.col(right_key).alias("key"), F.col(right_vec).cast("array<double>").alias("v"))
+    schema = "l bigint, r bigint, distance double"
+    if pivots:
+        found = _pivot_join(lhs, rhs, nearest, schema, want, p, pivots, block_rows)
+    else:
+        found = block_join(lhs, rhs, nearest, schema, block_rows)
     best = Window.partitionBy("l").orderBy("distance", "r")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select(F.col("l").alias("left_key"), F.col("r").alias("right_key"), "distance", "rank")

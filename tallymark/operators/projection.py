@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.vectors import total
+from tallymark.functions.vectors import times_matrix
 from tallymark.operators.features import covariance_long, mean_vector
 
 
@@ -38,15 +38,10 @@ def fit_pca(df: DataFrame, vec: str, components: int | None = None, variance: fl
     return Components(mean, axes[:components], ratio[:components])
 
 
-def _dot(weights: np.ndarray, vec: Column) -> Column:
-    return total(F.zip_with(F.lit([float(w) for w in weights]), vec, lambda w, x: w * x))
-
-
 def project(df: DataFrame, fitted: Components, vec: str, output: str) -> DataFrame:
     """Coordinates along the kept axes, centred on the fitted mean."""
-    centred = F.zip_with(F.col(vec), F.lit([float(m) for m in fitted.mean]), lambda x, m: x - m)
-    staged = df.withColumn("__c", centred)
-    return staged.withColumn(output, F.array(*[_dot(axis, F.col("__c")) for axis in fitted.axes])).drop("__c")
+    offset = fitted.axes @ fitted.mean
+    return df.withColumn(output, times_matrix(vec, fitted.axes.T, lambda product: product - offset))
 
 
 def reconstruction_error(df: DataFrame, fitted: Components, vec: str, output: str) -> DataFrame:

@@ -139,7 +139,7 @@ def compare(
     """``scenario, model, fold`` and metrics: k folds, or one stratified split (fold 0) with ``folds=None``."""
     base = replace(frame, df=written(frame.df))
     if folds is None:
-        marked = split.stratified_split(base.df, "key", "label", share)
+        marked = written(split.stratified_split(base.df, "key", "label", share))
         sides = [(marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test"))]
     else:
         dealt = written(split.stratified_folds(base.df, "key", "label", folds))

@@ -18,11 +18,10 @@ def clouds(spark):
     return points, spark.createDataFrame(rows, "id bigint, vec array<double>")
 
 
-@pytest.mark.parametrize("p", [1, 2, 3])
-@pytest.mark.parametrize("block_rows", [17, 1000])
-def test_neighbours_against_brute_force(clouds, p, block_rows):
+@pytest.mark.parametrize("p, block_rows, pivots", [(1, 17, 0), (2, 17, 0), (3, 1000, 0), (2, 1000, 0), (1, 1000, 9), (2, 17, 9), (2, 1000, 400)])
+def test_neighbours_against_brute_force(clouds, p, block_rows, pivots):
     points, df = clouds
-    found = neighbours.knn_join(df, df, 4, "id", "id", p=p, exclude_self=True, block_rows=block_rows)
+    found = neighbours.knn_join(df, df, 4, "id", "id", p=p, exclude_self=True, pivots=pivots, block_rows=block_rows)
     got = {(r["left_key"], r["rank"]): r["right_key"] for r in found.collect()}
     for i, point in enumerate(points):
         dist = (np.abs(points - point) ** p).sum(axis=1) ** (1 / p)
