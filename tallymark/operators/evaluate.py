@@ -74,7 +74,7 @@ def roc_points(df: DataFrame, score: str, label: str, by: list[str] | None = Non
         F.sum((F.col(label) == 1).cast("bigint")).alias("pos"), F.sum((F.col(label) == 0).cast("bigint")).alias("neg")
     ))
     running = with_running_totals(
-        counts, "threshold", {"tp": "pos", "fp": "neg"}, within=by, descending=True, buckets=1 if is_small else None
+        counts, "threshold", {"tp": "pos", "fp": "neg"}, within=by, descending=True, small=is_small
     )
     total = counts.groupBy(*by).agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
     return attach(running, total, by).withColumns({

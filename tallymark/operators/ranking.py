@@ -7,8 +7,6 @@ results equal those of the plain window, whatever the number of buckets.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,66 +26,61 @@ def unit_bucket(draw: Column, buckets: int) -> Column:
 
 def with_range_bucket(df: DataFrame, column: str, name: str, buckets: int) -> DataFrame:
     """Add a bucket number that never decreases with ``column``; cuts are approximate quantiles, so buckets are even."""
-    if buckets <= 1:
-        return df.withColumn(name, F.lit(0))
     probabilities = [i / buckets for i in range(1, buckets)]
     cuts = df.select(F.col(column).cast("double").alias("v")).approxQuantile("v", probabilities, 1.0 / (4 * buckets))
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     prepared = df.withColumn("__v", F.col(column).cast("double"))
     if len(splits) == 2:
-        return prepared.withColumn(name, F.lit(0)).drop("__v")
+        # No rows to cut. Written so that it is not folded to a constant, which would make later joins lose their key.
+        return prepared.withColumn(name, F.pmod(F.hash("__v"), F.lit(1))).drop("__v")
     cutter = Bucketizer(splits=splits, inputCol="__v", outputCol="__b", handleInvalid="keep")
     return cutter.transform(prepared).withColumn(name, F.col("__b").cast("int")).drop("__v", "__b")
 
 
-def _offsets(totals: DataFrame, within: list[str], bucket: str, sums: list[str]) -> DataFrame:
+def _offsets(totals: DataFrame, within: list[str], sums: list[str]) -> DataFrame:
     """Total of all earlier buckets; one row per bucket, so this window is bounded by the bucket count per group."""
-    keys = [F.col(c) for c in within] or [F.lit(0)]
-    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(
-        *within, bucket, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"__off_{c}") for c in sums]
-    )
-
-
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    match = reduce(Column.__and__, [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in keys])
-    return left.join(renamed, match).drop(*[f"__r_{k}" for k in keys])
+    keys = [F.col(f"__k.{c}") for c in within] or [F.lit(0)]
+    before = Window.partitionBy(*keys).orderBy("__k.__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("__k", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"__off_{c}") for c in sums])
 
 
 def with_row_number(df: DataFrame, name: str, order: list, bucket: Column, within: list[str] | None = None) -> DataFrame:
-    """Exact ``row_number`` over ``order`` inside ``within``; ``bucket`` must not decrease along ``order``."""
+    """Exact ``row_number`` over ``order`` inside ``within``; ``bucket`` must not decrease along ``order``.
+
+    Group and bucket form one key, never null, that the counts, the window and the join share: the rows are shuffled
+    once.
+    """
     within = list(within or [])
-    keyed = df.withColumn("__bucket", bucket)
-    totals = keyed.groupBy(*within, "__bucket").agg(F.count(F.lit(1)).alias("n"))
-    offsets = _offsets(totals, within, "__bucket", ["n"])
-    local = F.row_number().over(Window.partitionBy(*within, "__bucket").orderBy(*order))
-    ranked = keyed.withColumn("__local", local)
-    joined = _null_safe(ranked, offsets, [*within, "__bucket"])
-    return joined.withColumn(name, F.col("__local") + F.col("__off_n")).drop("__bucket", "__local", "__off_n")
+    keyed = df.withColumn("__k", F.struct(*within, bucket.alias("__bucket")))
+    totals = keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("n"))
+    local = F.row_number().over(Window.partitionBy("__k").orderBy(*order))
+    joined = keyed.withColumn("__local", local).join(_offsets(totals, within, ["n"]), "__k")
+    return joined.withColumn(name, F.col("__local") + F.col("__off_n")).drop("__k", "__local", "__off_n")
 
 
 def with_running_totals(
     df: DataFrame, order: str, sums: dict[str, str], within: list[str] | None = None, descending: bool = False,
-    buckets: int | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Running totals ``new name -> column`` along distinct values of ``order``.
 
-    Each value of ``order`` must occur once per group: group by the value first, which also collapses ties.
+    Each value of ``order`` must occur once per group: group by the value first, which also collapses ties. A table
+    proven ``small`` needs no buckets.
     """
     within = list(within or [])
-    buckets = buckets or bucket_count(df)
-    bucketed = with_range_bucket(df, order, "__bucket", buckets)
-    direction = -1 if descending else 1
-    bucketed = bucketed.withColumn("__bucket", F.col("__bucket") * direction)
-    totals = bucketed.groupBy(*within, "__bucket").agg(*[F.sum(c).alias(c) for c in sums.values()])
-    offsets = _offsets(totals, within, "__bucket", list(sums.values()))
     ordering = F.col(order).desc() if descending else F.col(order).asc()
-    running = Window.partitionBy(*within, "__bucket").orderBy(ordering).rowsBetween(Window.unboundedPreceding, 0)
-    local = bucketed.withColumns({f"__run_{n}": F.sum(c).over(running) for n, c in sums.items()})
-    joined = _null_safe(local, offsets, [*within, "__bucket"])
+    if small:
+        plain = Window.partitionBy(*(within or [F.lit(0)])).orderBy(ordering).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({n: F.sum(c).over(plain) for n, c in sums.items()})
+    ranged = with_range_bucket(df, order, "__bucket", bucket_count(df))
+    number = F.col("__bucket") * (-1 if descending else 1)
+    keyed = ranged.withColumn("__k", F.struct(*within, number.alias("__bucket"))).drop("__bucket")
+    totals = keyed.groupBy("__k").agg(*[F.sum(c).alias(c) for c in sums.values()])
+    running = Window.partitionBy("__k").orderBy(ordering).rowsBetween(Window.unboundedPreceding, 0)
+    local = keyed.withColumns({f"__run_{n}": F.sum(c).over(running) for n, c in sums.items()})
+    joined = local.join(_offsets(totals, within, list(sums.values())), "__k")
     out = joined.withColumns({n: F.col(f"__run_{n}") + F.col(f"__off_{c}") for n, c in sums.items()})
-    return out.drop("__bucket", *[f"__run_{n}" for n in sums], *[f"__off_{c}" for c in sums.values()])
+    return out.drop("__k", *[f"__run_{n}" for n in sums], *[f"__off_{c}" for c in sums.values()])
 
 
 # Relative rank error asked of the quantile sketch; groups up to this many rows are ranked whole.
