@@ -24,6 +24,15 @@ def order_frame(spark, sf_dir):
     ))
 
 
+# The same frame in SQL, one row per order and feature j, and Gaussian naive Bayes terms on it.
+FRAME_FILL = ", ".join(f"coalesce({c}, avg({c}) OVER ()) AS {c}" for c in ORD_NUMERIC)
+FRAME_LONG = " UNION ALL ".join(
+    f"SELECT key, label, '{c}' AS j, ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS v FROM filled" for c in ORD_NUMERIC
+)
+V_FRAME = f"""{V_ORD}, filled AS (SELECT o_orderkey AS key, target AS label, {FRAME_FILL} FROM v_ord), x AS ({FRAME_LONG})"""
+BAYES_TERM = "(-0.5 * ln(2 * pi() * (s + floor)) - ({v} - m) * ({v} - m) / (2 * (s + floor)))"
+
+
 def document_frame(spark, sf_dir):
     """Labelled documents with numeric and coded features."""
     docs = documents_view(spark, sf_dir).filter(F.col("quality").isNotNull())
@@ -161,9 +170,20 @@ def cv_scores(spark, sf_dir):
     return folds.select("model", "fold", "tn", "fp", "fn", "tp", *rounded("accuracy", "precision", "recall", "f1", "auc"))
 
 
-@query("oof_predictions")
+@query("oof_predictions", f"""
+WITH {V_FRAME},
+d AS (SELECT key, (row_number() OVER (PARTITION BY label ORDER BY {u_sql('key', "'fold'")}, key) - 1) % 5 AS fold FROM filled),
+y AS (SELECT x.*, fold FROM x JOIN d ON d.key = x.key), f AS (SELECT unnest(range(5)) AS f),
+w AS (SELECT f, 1e-9 * max(s) AS floor FROM (SELECT f, j, var_pop(v) AS s FROM y JOIN f ON fold <> f GROUP BY 1, 2) GROUP BY 1),
+s AS (SELECT f, label AS k, j, avg(v) AS m, var_pop(v) AS s, count(*) AS n FROM y JOIN f ON fold <> f GROUP BY 1, 2, 3),
+p AS (SELECT f, k, ln(any_value(n) / sum(any_value(n)) OVER (PARTITION BY f)) AS prior FROM s GROUP BY 1, 2),
+l AS (SELECT y.key, any_value(y.label) AS label, any_value(y.fold) AS fold, s.k,
+             any_value(prior) + sum({BAYES_TERM.format(v='v')}) AS l
+      FROM y JOIN s ON s.f = y.fold AND s.j = y.j JOIN w ON w.f = y.fold JOIN p ON p.f = y.fold AND p.k = s.k GROUP BY y.key, s.k),
+o AS (SELECT key, any_value(fold) AS fold, any_value(label) AS label, max(l) FILTER (k = 1) AS l1, max(l) FILTER (k = 0) AS l0 FROM l GROUP BY 1)
+SELECT key, CAST(fold AS INTEGER) AS fold, label, round(1 / (1 + exp(l0 - l1)), 6) AS score, CAST(l1 > l0 AS INTEGER) AS prediction FROM o""")
 def oof_predictions(spark, sf_dir):
-    found = search.held_out_predictions(order_frame(spark, sf_dir), {"logistic": ("logistic", {})}, 5)
+    found = search.held_out_predictions(order_frame(spark, sf_dir), {"bayes": ("bayes", {})}, 5)
     return found.select("key", "fold", "label", *rounded("score"), "prediction")
 
 
@@ -245,10 +265,25 @@ def linear_attribution(spark, sf_dir):
     return explain.linear_attribution(frame, names, list(fitted)).select("feature", *rounded("contribution"))
 
 
-@query("permutation_importance")
+@query("permutation_importance", f"""
+WITH {V_FRAME},
+r AS (SELECT key, row_number() OVER (ORDER BY {u_sql('key', "'permute'")}, key) AS r, count(*) OVER () AS n FROM filled),
+lent AS (SELECT a.key, b.key AS lender FROM r a JOIN r b ON b.r % b.n + 1 = a.r),
+w AS (SELECT 1e-9 * max(s) AS floor FROM (SELECT j, var_pop(v) AS s FROM x GROUP BY 1)),
+s AS (SELECT label AS k, j, avg(v) AS m, var_pop(v) AS s, count(*) AS n FROM x GROUP BY 1, 2),
+p AS (SELECT k, ln(any_value(n) / sum(any_value(n)) OVER ()) AS prior FROM s GROUP BY 1),
+c AS (SELECT x.key, x.label, x.j, s.k, {BAYES_TERM.format(v='x.v')} AS own, {BAYES_TERM.format(v='o.v')} AS other
+      FROM x JOIN lent ON lent.key = x.key JOIN x o ON o.key = lent.lender AND o.j = x.j JOIN s ON s.j = x.j, w),
+t AS (SELECT key, k, sum(own) AS total FROM c GROUP BY 1, 2),
+l AS (SELECT c.key, c.label, c.j AS feature, c.k, prior + total - own + other AS l FROM c JOIN t ON t.key = c.key AND t.k = c.k JOIN p ON p.k = c.k
+      UNION ALL SELECT DISTINCT c.key, c.label, '(none)', c.k, prior + total FROM c JOIN t ON t.key = c.key AND t.k = c.k JOIN p ON p.k = c.k),
+q AS (SELECT feature, key, any_value(label) AS label, max(l) FILTER (k = 1) > max(l) FILTER (k = 0) AS hit FROM l GROUP BY 1, 2),
+f AS (SELECT feature, CASE WHEN count(*) FILTER (hit OR label = 1) = 0 THEN 0 ELSE 2 * count(*) FILTER (hit AND label = 1)
+             / (count(*) FILTER (hit) + count(*) FILTER (label = 1)) END AS f1 FROM q GROUP BY 1)
+SELECT feature, round(f1, 6) AS f1, round((SELECT f1 FROM f WHERE feature = '(none)') - f1, 6) AS "drop" FROM f WHERE feature <> '(none)'""")
 def permutation_importance(spark, sf_dir):
     frame = order_frame(spark, sf_dir)
-    predict = models.fit("tree", frame, {"max_depth": 5})
+    predict = models.fit("bayes", frame)
     return explain.permutation_importance(frame, ORD_NUMERIC, predict).select("feature", *rounded("f1", "drop"))
 
 

@@ -63,7 +63,15 @@ def sample_n(spark, sf_dir):
     return split.sample_n(table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), "doc_id", 200)
 
 
-@query("coreset_greedy")
+@query("coreset_greedy", f"""
+WITH RECURSIVE {V_EMB},
+s(round, vec_id, vec, near, chosen, chosen_vec) AS (
+  SELECT 0, vec_id, vec, 'inf'::DOUBLE, min(vec_id) OVER (), first_value(vec) OVER (ORDER BY vec_id) FROM v_emb
+  UNION ALL
+  SELECT round + 1, vec_id, vec, near, first_value(vec_id) OVER (ORDER BY near DESC, vec_id), first_value(vec) OVER (ORDER BY near DESC, vec_id)
+  FROM (SELECT round, vec_id, vec, CASE WHEN vec_id = chosen THEN -1 ELSE least(near,
+          sqrt(list_sum(list_transform(list_zip(vec, chosen_vec), lambda x: (x[1] - x[2]) * (x[1] - x[2]))))) END AS near FROM s WHERE round < 11))
+SELECT vec_id, CAST(round AS INTEGER) AS round, CASE WHEN round > 0 THEN round(near, 6) END AS gap FROM s WHERE vec_id = chosen""")
 def coreset_greedy(spark, sf_dir):
     chosen = resample.coreset_greedy(embeddings_view(spark, sf_dir), "vec_id", "vec", 12)
     return chosen.select("vec_id", "round", *rounded("gap"))
