@@ -144,18 +144,26 @@ def compare(
     else:
         dealt = written(split.stratified_folds(base.df, "key", "label", folds))
         sides = [(dealt.filter(F.col("fold") != i).drop("fold"), dealt.filter(F.col("fold") == i).drop("fold")) for i in range(folds)]
-    scored = []
-    for name, scenario in scenarios.items():
+
+    def choose(scenario: Scenario, train: Frame) -> dict:
+        if not scenario.tuned:
+            return candidates
+        tuned = models.in_parallel([lambda c=c: _tuned(train, c[0], trials, tuning_folds) for c in candidates.values()])
+        return dict(zip(candidates, tuned))
+
+    def run(name: str, scenario: Scenario) -> list[DataFrame]:
         if not leak_safe and folds is not None:
             whole, _ = prepare(base, [], scenario.steps)
-            chosen = {m: _tuned(whole, c[0], trials, tuning_folds) for m, c in candidates.items()} if scenario.tuned else candidates
-            found = search.held_out_predictions(whole.vectors(), chosen, folds)
-            scored.append(found.select(F.lit(name).alias("scenario"), "fold", "model", "key", "label", "score", "prediction"))
-            continue
+            found = search.held_out_predictions(whole.vectors(), choose(scenario, whole), folds)
+            return [found.select(F.lit(name).alias("scenario"), "fold", "model", "key", "label", "score", "prediction")]
+        scored = []
         for fold, (train_df, test_df) in enumerate(sides):
             train, (test,) = prepare(replace(base, df=train_df), [replace(base, df=test_df)], scenario.steps)
-            chosen = {m: _tuned(train, c[0], trials, tuning_folds) for m, c in candidates.items()} if scenario.tuned else candidates
-            scored += _predict(train, test, chosen, {"scenario": name, "fold": fold})
+            scored += _predict(train, test, choose(scenario, train), {"scenario": name, "fold": fold})
+        return scored
+
+    # Scenarios do not depend on each other; their jobs share the cluster.
+    scored = sum(models.in_parallel([lambda n=n, s=s: run(n, s) for n, s in scenarios.items()]), [])
     predictions = written(reduce(DataFrame.unionByName, scored))
     return evaluate.scored_metrics(predictions, "score", "label", "prediction", ["scenario", "model", "fold"])
 
