@@ -111,4 +111,5 @@ def best_config(spark, sf_dir):
     best = results.best_per_group(results_view(spark, sf_dir), ["model"], "f1", ["scenario"])
     ranked = results.metric_ranks(best, ["f1", "accuracy"])
     config = F.to_json(F.struct("model", F.struct("scenario").alias("base")))
-    return ranked.select("model", "scenario", *rounded("f1"), "f1_rank", "accuracy_rank", config.alias("config"))
+    ranks = [F.col(c).cast("bigint").alias(c) for c in ("f1_rank", "accuracy_rank")]
+    return ranked.select("model", "scenario", *rounded("f1"), *ranks, config.alias("config"))

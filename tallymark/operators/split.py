@@ -9,6 +9,9 @@ from tallymark.functions.rng import u
 from tallymark.operators.ranking import bucket_count, unit_bucket, with_range_bucket, with_row_number
 from tallymark.session import attach
 
+# Range buckets of a split. Only one bucket per class is ranked, so many narrow ones keep that work small at any size.
+CUT_BUCKETS = 16_384
+
 
 def stratified_split(df: DataFrame, key: str, label: str, share: float, salt: str = "split", output: str = "is_test") -> DataFrame:
     """Mark round(n * share) rows of each class as test: the rows with the smallest draws, ties by key.
@@ -16,7 +19,7 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float, salt: st
     Only the draw at the cut is looked up: one count per range bucket finds the bucket of the cut, only the rows of
     that bucket are ranked, and the flag is then a comparison on every row without a shuffle.
     """
-    buckets = bucket_count(df)
+    buckets = max(bucket_count(df), CUT_BUCKETS)
     keyed = df.select(F.col(label).alias("__label"), F.col(key).alias("__key"), u(key, salt).alias("__u"))
     keyed = keyed.withColumn("__b", unit_bucket(F.col("__u"), buckets))
     counts = keyed.groupBy("__label", "__b").agg(F.count(F.lit(1)).alias("n"))
