@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallymark.llm import decontaminate, minmax, perplexity
+from tallymark.llm import decontaminate, minmax, packing, perplexity, secrets
 from tallymark.llm.common import table
 from tallymark.session import written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie inside their language's perplexity band."""
-    return perplexity.quality_rules(docs, carry=docs.columns).filter("kept").select(*docs.columns)
+    names = [f"c{i}" for i in range(len(docs.columns))]  # so that no column clashes with the measures
+    at = dict(zip(docs.columns, names))
+    kept = perplexity.quality_rules(docs.toDF(*names), at["text"], at["lang"], names).filter("kept")
+    return kept.select(*[F.col(own).alias(name) for name, own in at.items()])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +29,19 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality rules", quality), ("near duplicates", near_dedup), ("decontamination", benchmark_free)]
+def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with secrets masked; n_chars is that of the new text."""
+    return secrets.redact(docs).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in training sequences."""
+    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality rules", quality), ("near duplicates", near_dedup), ("decontamination", benchmark_free), ("secret scans", secret_free), ("best-fit packing", packed),
+]
 
 #: Token ids and perplexity are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

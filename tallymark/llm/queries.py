@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontaminate, minmax, perplexity
+from tallymark.llm import chat, decontaminate, extraction, minmax, packing, perplexity, secrets, sharding, warc
 from tallymark.llm.common import table
 from tallymark.llm.token_counts import token_counts
 from tallymark.session import scratch_path
@@ -27,6 +27,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_sharding")
+def op1_sharding(spark, sf_dir):
+    path = scratch_path(spark, "shards")
+    sharding.write_shards(sharding.assigned(table(spark, sf_dir, "documents")), path)
+    text = F.coalesce("text", F.lit(""))
+    return spark.read.parquet(path).select(
+        "doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"),
+        F.col("shard").cast("int").alias("shard"), "slot", "grown_shard",
+    )
+
+
 @query("op2_token_counts")
 def op2_token_counts(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,6 +51,23 @@ def op3_quality_rules(spark, sf_dir):
     return rules.select("doc_id", *perplexity.BASE, "base_failed", "kept", "perplexity")
 
 
+@query("op4_secret_scan")
+def op4_secret_scan(spark, sf_dir):
+    found = secrets.secret_scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    base = F.sha2(secrets.joined(F.col("base_spans")), 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", base, secrets.joined(F.col("spans")).alias("spans"))
+
+
+@query("op5_html_extraction")
+def op5_html_extraction(spark, sf_dir):
+    return extraction.main_text(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+
+
+@query("op6_best_fit_packing")
+def op6_best_fit_packing(spark, sf_dir):
+    return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op7_minmax_near_dedup")
 def op7_minmax_near_dedup(spark, sf_dir):
     return minmax.near_duplicates(table(spark, sf_dir, "documents"))
@@ -68,3 +96,28 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 def op8_decontamination(spark, sf_dir):
     found = decontaminate.found(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op9_warc_chunks", """
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest, CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN revisit THEN first END AS refers_to
+FROM (SELECT *, bytes >= 100 AND page_id <> first AS revisit
+      FROM (SELECT page_id, strlen(COALESCE(html, ''))::BIGINT AS bytes, sha256(COALESCE(html, '')) AS digest, min(page_id) OVER (PARTITION BY COALESCE(html, '')) AS first
+            FROM pages))
+""")
+def op9_warc_chunks(spark, sf_dir):
+    done = warc.round_trip(table(spark, sf_dir, "pages"))
+    return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_chat_formatting", """
+WITH turns AS (SELECT DISTINCT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations),
+c AS (SELECT conv_id, list(role || chr(31) || text ORDER BY turn NULLS FIRST, role, text) AS l,
+             string_agg('<|im_start|>' || role || chr(10) || trim(text, ' ') || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS chat
+      FROM turns GROUP BY conv_id),
+inner_ AS (SELECT DISTINCT md5(array_to_string(l[1:k], chr(30))) AS h FROM (SELECT l, unnest(range(1, len(l))) AS k FROM c)),
+ranked AS (SELECT *, md5(array_to_string(l, chr(30))) AS h, row_number() OVER (PARTITION BY l ORDER BY conv_id) AS r FROM c)
+SELECT conv_id, len(l)::BIGINT AS n_turns, chat FROM ranked WHERE r = 1 AND h NOT IN (SELECT h FROM inner_)
+""")
+def op10_chat_formatting(spark, sf_dir):
+    return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
