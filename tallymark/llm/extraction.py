@@ -181,7 +181,7 @@ def container(path):
     """Path of the outermost article, else of main, else of the parent of the leaf."""
     article = F.regexp_extract(path, r"^((?:.*?/)?article)(?:/|$)", 1)
     main = F.regexp_extract(path, r"^((?:.*?/)?main)(?:/|$)", 1)
-    return F.when(article != "", article).when(main != "", main).otherwise(F.regexp_replace(path, "/[^/]*$", ""))
+    return F.when(article != "", article).when(main != "", main).otherwise(F.regexp_replace(path, "(^|/)[^/]*$", ""))
 
 
 def main_text(pages: DataFrame, html: str = "html", carry: list[str] | None = None, share: float = SHARE) -> DataFrame:
