@@ -6,8 +6,9 @@ together and every link is confirmed on the full sets.
 
 Equal sets are one class first, and only class representatives (smallest id) are banded. In each band's bucket the
 members are compared with the bucket's smallest id. Members of a bucket that are not connected after that are compared
-with each other, unless the number of shingles that they share with any such member is too small for a link. So no
-link between documents that share a band is lost, while large groups of copies cost one comparison a member.
+with each other, unless what they can have in common is too little for a link: shingles that no other such member has
+don't count, nor do those whose places in a bitmap of the other set are empty. So no link between documents that share
+a band is lost, while large groups of copies cost one comparison a member.
 
 Defined cases: null, empty and wordless texts have no shingles and are linked with nothing; null ids too; rows that
 repeat an id are one document when their texts are equal, else each row is compared and they share the id; an empty
@@ -30,6 +31,8 @@ WORDS = 4
 PERCENT = 80
 #: Shingles of one range in the count of shared shingles.
 RANGE_SHINGLES = 2_000_000
+#: 64-bit words of the bitmap of a set's shared shingles.
+MAP_WORDS = 16
 
 _MULTIPLIERS = np.random.Generator(np.random.PCG64(77)).integers(0, 2**31, BANDS * ROWS // 2, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
@@ -136,10 +139,11 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def shared_counts(sets: DataFrame) -> DataFrame:
-    """For each set, how many of its members are in at least one other set.
+    """For each set, how many of its members are in at least one other set, and a bitmap of those (m0, m1, ..).
 
     The sets are cut into ranges of the hash; each range is counted as packed arrays.
     """
+    names = [f"m{i}" for i in range(MAP_WORDS)]
     total = sets.agg(F.sum(F.octet_length("members"))).first()[0] or 0
     ranges = max(1, -(-total // 8 // RANGE_SHINGLES))
 
@@ -160,11 +164,17 @@ def shared_counts(sets: DataFrame) -> DataFrame:
         sizes = np.array([len(x) // 8 for x in table.column("part").to_pylist()])
         h = np.frombuffer(b"".join(table.column("part").to_pylist()), np.uint64)
         _, inverse, times = np.unique(h, return_inverse=True, return_counts=True)
-        often = np.add.reduceat((times[inverse] > 1).astype(np.int64), np.cumsum(sizes) - sizes)
-        return pa.table({"node": table.column("node"), "shared": pa.array(often)})
+        often = times[inverse] > 1
+        row = np.repeat(np.arange(len(sizes)), sizes)[often]
+        bit = (h[often] >> np.uint64(8)) % np.uint64(64 * MAP_WORDS)
+        maps = np.zeros((len(sizes), MAP_WORDS), np.uint64)
+        np.bitwise_or.at(maps, (row, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+        out = {"node": table.column("node"), "shared": pa.array(np.bincount(row, minlength=len(sizes)).astype(np.int64))}
+        return pa.table(out | {m: pa.array(np.ascontiguousarray(maps[:, i]).view(np.int64)) for i, m in enumerate(names)})
 
     parts = sets.mapInArrow(cut, "node bigint, place bigint, part binary")
-    return parts.groupBy("place").applyInArrow(count, "node bigint, shared bigint").groupBy("node").agg(F.sum("shared").alias("shared"))
+    counted = parts.groupBy("place").applyInArrow(count, "node bigint, shared bigint, " + ", ".join(f"{m} bigint" for m in names))
+    return counted.groupBy("node").agg(F.sum("shared").alias("shared"), *[F.bit_or(m).alias(m) for m in names])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -202,12 +212,11 @@ def near_duplicates(
     source = base.filter(F.col("id").isNotNull()).withColumnRenamed("id", "node").join(wanted, "node", "left_semi")
     sets = written(packed_sets(source, words).filter(F.octet_length("members") > 0))
 
-    def possible(n, m, c, d):
-        """Could sets of n and m members, of which at most c and d are shared with others, be linked?"""
-        both = F.least(c, d)
+    def possible(n, m, both):
+        """Could sets of n and m members with at most ``both`` in common be linked?"""
         return 100 * both >= percent * (n + m - both)
 
-    star = members.filter((F.col("node") != F.col("hub")) & possible(F.col("hub_n"), F.col("n_shingles"), F.col("hub_n"), F.col("n_shingles")))
+    star = members.filter((F.col("node") != F.col("hub")) & possible(F.col("hub_n"), F.col("n_shingles"), F.least("hub_n", "n_shingles")))
     star = written(linked(star.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), sets, percent))
     groups = components(star)
 
@@ -215,14 +224,14 @@ def near_duplicates(
     mixed_up = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
     rest = written(placed.join(mixed_up, "bucket"))
     shared = shared_counts(sets.join(rest.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
-    rest = rest.join(shared, "node").filter(possible(F.col("n_shingles"), F.col("shared"), F.col("shared"), F.col("shared")))
-    rest = written(rest)
+    rest = written(rest.join(shared, "node").filter(possible(F.col("n_shingles"), F.col("shared"), F.col("shared"))))
     other = rest.select(*[F.col(c).alias(f"{c}_") for c in rest.columns])
+    only = [sum((F.bit_count(F.col(f"m{i}{x}").bitwiseAND(F.bitwise_not(f"m{i}{y}"))) for i in range(1, MAP_WORDS)), F.bit_count(F.col(f"m0{x}").bitwiseAND(F.bitwise_not(f"m0{y}")))) for x, y in (("", "_"), ("_", ""))]
+    both = F.least(F.col("shared") - only[0], F.col("shared_") - only[1])
     cross = rest.join(
-        other, (F.col("bucket") == F.col("bucket_")) & (F.col("label") != F.col("label_")) & (F.col("node") < F.col("node_"))
-        & possible(F.col("n_shingles"), F.col("n_shingles_"), F.col("shared"), F.col("shared_"))
+        other, (F.col("bucket") == F.col("bucket_")) & (F.col("label") != F.col("label_")) & (F.col("node") < F.col("node_")) & possible(F.col("n_shingles"), F.col("n_shingles_"), both)
     ).select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct()
-    groups = components(star.unionByName(linked(cross, sets, percent)))
+    groups = components(star.unionByName(written(linked(cross, sets, percent))))
 
     final = classes.join(groups, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("component_id"))
     out = marks.select("id", "n_shingles", "d1", "d2").join(final, ["d1", "d2"], "left")
