@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that the array code below handles at once; a longer document is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _RANDOM = np.random.Generator(np.random.PCG64(20_240_601))
 BYTE_CODE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -56,8 +56,8 @@ class Texts:
         self.n = len(offsets) - 1
 
     @staticmethod
-    def slices(column: pa.Array) -> Iterator[Texts]:
-        """``column`` in runs of documents of about SLICE_BYTES; null counts as empty."""
+    def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[Texts]:
+        """``column`` in runs of documents of about ``most`` bytes; null counts as empty."""
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
         column = column.cast(pa.large_string()).fill_null("")
@@ -68,7 +68,7 @@ class Texts:
         data = np.frombuffer(values, np.uint8) if values else np.zeros(0, np.uint8)
         at = 0
         while at < len(column):
-            to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
+            to = int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1
             to = min(max(to, at + 1), len(column))
             part = offsets[at : to + 1]
             yield Texts(data[part[0] : part[-1]], part - part[0], at)

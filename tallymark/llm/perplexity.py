@@ -16,20 +16,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymark.llm.common import STEP, Texts, fresh, mixed, runs
-from tallymark.session import written
+from tallymark.session import attach, written
 
-ORDER = 5
+ORDER = 4
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Width of the band above and below the median, in quartile ranges, and its least width as a share of the median.
-UPPER, LOWER, LEAST = 4.5, 6.5, 0.1
-#: Model rows that one broadcast holds (12 bytes each); a larger model is scored in several passes.
-SHARD_ROWS = 4_000_000
+UPPER, LOWER, LEAST = 5.0, 6.5, 0.08
+#: Model rows that the driver gathers (52 bytes each) and one broadcast holds (24 bytes each); a larger model is scored in several passes.
+SHARD_ROWS = 2_000_000
 #: Distinct n-grams that a counting task gathers before it hands them on.
 GATHER = 1_000_000
 #: Log probability of a character in a language that the model has never seen.
@@ -177,64 +177,63 @@ def gram_counts(docs: DataFrame, text: str = "text", lang: str = "lang", order:
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def kneser_ney(counts: DataFrame, order: int = ORDER) -> list[tuple[int, bool, DataFrame]]:
-    """Modified Kneser-Ney tables from counts of the highest order: (order, is_backoff, rows of lang, gram, value).
+def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """Modified Kneser-Ney terms of all orders from counts of the highest: lang, k, gram, own, gamma.
 
-    Lower orders count in how many different longer n-grams an n-gram ends. Values are natural logarithms.
+    The probability of a gram is ``own`` + ``gamma`` x that of the gram without its first character. Lower orders count in
+    how many different longer n-grams an n-gram ends. A context has no more continuations than there are characters, so the
+    windows over contexts stay small.
+    """
+    counts = written(counts)
+    longer = F.explode(F.transform(F.sequence(F.lit(2), F.lit(order)), lambda k: F.struct(k.alias("k"), F.substring(F.col("gram"), order + 1 - k, k).alias("longer"))))
+    ends = counts.select("lang", longer.alias("s")).select("lang", "s.k", "s.longer").distinct()
+    lower = ends.groupBy("lang", (F.col("k") - 1).alias("k"), F.expr("substring(longer, 2)").alias("gram")).agg(F.count("*").alias("n"))
+    levels = written(counts.select("lang", F.lit(order).alias("k"), "gram", "n").unionByName(lower))
+    seen = [F.count_if(F.col("n") == j).cast("double").alias(f"n{j}") for j in (1, 2, 3, 4)]
+    y = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.5))
+    discounts = [
+        F.when(F.col(f"n{j}") > 0, F.greatest(F.lit(0.05 * j), F.least(F.lit(0.95 * j), j - (j + 1) * y * F.col(f"n{j + 1}") / F.col(f"n{j}")))).otherwise(F.lit(0.5 * j)).alias(f"d{j}")
+        for j in (1, 2, 3)
+    ]
+    rows = attach(levels, levels.groupBy("lang", "k").agg(*seen).select("lang", "k", *discounts), ["lang", "k"])
+    rows = rows.withColumn("d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
+    around = Window.partitionBy("lang", "k", F.expr("substring(gram, 1, k - 1)"))
+    total = F.sum("n").over(around)
+    return rows.select("lang", "k", "gram", ((F.col("n") - F.col("d")) / total).alias("own"), (F.sum("d").over(around) / total).alias("gamma"))
+
+
+ROW = "k int, key bigint, suffix bigint, context bigint, own double, gamma double, cut bigint"
+
+
+def hashed(rows: DataFrame, order: int) -> DataFrame:
+    """The rows by hash: of the gram, of what it backs off to and of its context; ``cut`` tells the shard (-1: every one).
+
+    A shard holds what belongs to some characters before the last, so that backing off never leaves it.
     """
-    levels = {order: written(counts)}
-    for k in range(order - 1, 0, -1):
-        levels[k] = written(levels[k + 1].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("n")))
-    size = levels[1].groupBy("lang").agg((1.0 / (F.count("*") + 1)).alias("p"))
-    lower = size.select("lang", F.lit("").alias("gram"), "p")
-    tables = [(0, False, lower)]
-    for k in range(1, order + 1):
-        c = levels[k]
-        seen = [F.count_if(F.col("n") == j).cast("double") for j in (1, 2, 3, 4)]
-        d = c.groupBy("lang").agg(*[x.alias(f"n{j}") for j, x in enumerate(seen, 1)])
-        y = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.5))
-        discount = [
-            F.when(F.col(f"n{j}") > 0, F.greatest(F.lit(0.05 * j), F.least(F.lit(0.95 * j), j - (j + 1) * y * F.col(f"n{j + 1}") / F.col(f"n{j}")))).otherwise(F.lit(0.5 * j))
-            for j in (1, 2, 3)
-        ]
-        d = d.select("lang", *[x.alias(f"d{j}") for j, x in enumerate(discount, 1)])
-        c = c.join(d, "lang").select(
-            "lang", "gram", "n", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")).alias("d"),
-            F.substring("gram", 1, k - 1).alias("context") if k > 1 else F.lit("").alias("context"),
-            F.substring("gram", 2, k - 1).alias("suffix") if k > 1 else F.lit("").alias("suffix"),
-        )
-        around = c.groupBy("lang", "context").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("gamma"))
-        p = c.join(around, ["lang", "context"]).join(lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("q")), ["lang", "suffix"])
-        lower = written(p.select("lang", "gram", ((F.col("n") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("q")).alias("p")))
-        tables += [(k, False, lower), (k - 1, True, around.select("lang", F.col("context").alias("gram"), F.col("gamma").alias("p")))]
-    return [(k, b, t.select("lang", "gram", F.log("p").alias("value"))) for k, b, t in tables]
-
-
-def hashed(rows: DataFrame, k: int, backoff: bool) -> DataFrame:
-    """Key of each model row, its value, and the hash of the character before the last that says which shard it belongs to."""
-    seed = kind_seed(k, backoff)
-    pivot = 0 if backoff else 1  # for a context the character that would come next is not part of it
 
     def keys(batches):
         for batch in batches:
             index, names = languages_of(batch, "lang")
             seeds = np.array([language_seed(x) for x in names] or [0], np.uint64)[index]
-            if k:
-                codes = np.array(batch.column("gram").to_pylist(), f"<U{k}").view(np.uint32).reshape(-1, k)
-                h = np.zeros(len(codes), np.uint64)
+            ks, out = np.asarray(batch.column("k")), np.zeros((4, batch.num_rows), np.uint64)
+            grams = np.array(batch.column("gram").to_pylist(), object)
+            for k in range(1, order + 1):
+                at = np.flatnonzero(ks == k)
+                if not len(at):
+                    continue
+                codes = np.array(grams[at].tolist(), f"<U{k}").view(np.uint32).reshape(-1, k)
                 c = char_hash(codes.ravel()).reshape(codes.shape)
-                for j in range(k):
-                    h += c[:, k - 1 - j] * _ORDER_STEP[j]
-                cut = c[:, k - 1 - pivot] if k > pivot else np.zeros(len(h), np.uint64)
-            else:
-                h, cut = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64)
-            key = mixed(h ^ seeds ^ seed)
+                whole, shorter, before = (sum((c[:, e - j] * _ORDER_STEP[j] for j in range(n)), np.zeros(len(at), np.uint64)) for e, n in ((k - 1, k), (k - 1, k - 1), (k - 2, k - 1)))
+                out[0, at] = mixed(whole ^ seeds[at] ^ kind_seed(k))
+                out[1, at] = mixed(shorter ^ seeds[at] ^ kind_seed(k - 1))
+                out[2, at] = mixed(before ^ seeds[at] ^ kind_seed(k - 1, True))
+                out[3, at] = c[:, k - 2] >> np.uint64(33) if k > 1 else np.uint64(2**64 - 1)
             yield pa.record_batch(
-                [pa.array(key.view(np.int64)), batch.column("value").cast(pa.float32()), pa.array((cut >> np.uint64(33)).astype(np.int64))], names=["key", "value", "cut"]
+                [batch.column("k").cast(pa.int32()), *[pa.array(out[i].view(np.int64)) for i in range(3)], batch.column("own"), batch.column("gamma"), pa.array(out[3].view(np.int64))],
+                names=["k", "key", "suffix", "context", "own", "gamma", "cut"],
             )
 
-    everywhere = k <= pivot
-    return rows.mapInArrow(keys, "key bigint, value float, cut bigint").withColumn("everywhere", F.lit(everywhere))
+    return rows.mapInArrow(keys, ROW)
 
 
 class HashArray:
@@ -285,20 +284,28 @@ class Perplexity:
 
     def __init__(self, rows: DataFrame, order: int, shard_rows: int):
         self.rows, self.order = rows, order
-        count = rows.agg(F.count_if(~F.col("everywhere")).alias("n")).first()["n"]
+        count = rows.filter("cut >= 0").count()
         self.shards = max(1, -(-count // shard_rows))
 
     @classmethod
     def fit(cls, docs: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, shard_rows: int = SHARD_ROWS) -> Perplexity:
-        tables = [hashed(t, k, b) for k, b, t in kneser_ney(gram_counts(docs, text, lang, order), order)]
-        rows = tables[0]
-        for t in tables[1:]:
-            rows = rows.unionByName(t)
-        return cls(written(rows.coalesce(8)), order, shard_rows)
+        return cls(written(hashed(kneser_ney(gram_counts(docs, text, lang, order), order), order)), order, shard_rows)
 
     def arrays(self, shard: int) -> HashArray:
-        rows = self.rows.filter(F.col("everywhere") | (F.col("cut") % self.shards == shard)).select("key", "value").toArrow()
-        return HashArray(rows.column("key").to_numpy().view(np.uint64), rows.column("value").to_numpy())
+        """The log probabilities and backoff weights of one shard."""
+        rows = self.rows.filter((F.col("cut") < 0) | (F.col("cut") % self.shards == shard)).toArrow()
+        k, key, suffix, context = (rows.column(c).to_numpy() for c in ("k", "key", "suffix", "context"))
+        own, gamma = rows.column("own").to_numpy(), rows.column("gamma").to_numpy()
+        empty, characters = np.unique(suffix[k == 1], return_counts=True)
+        keys, values = [empty], [1.0 / (characters + 1)]
+        for i in range(1, self.order + 1):
+            at = k == i
+            order = np.argsort(keys[-1])
+            shorter = values[-1][order][np.searchsorted(keys[-1], suffix[at], sorter=order)]
+            keys.append(key[at])
+            values.append(own[at] + gamma[at] * shorter)
+        known, first = np.unique(context, return_index=True)
+        return HashArray(np.concatenate([*keys, known]).view(np.uint64), np.log(np.concatenate([*values, gamma[first]])).astype(np.float32))
 
     def score(self, docs: DataFrame, text: str = "text", lang: str = "lang", carry: list[str] | None = None) -> DataFrame:
         """The columns in ``carry`` (all by default), the measures of BASE, and ``nats``: what the text costs per letter."""

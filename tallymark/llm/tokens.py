@@ -195,7 +195,7 @@ class Encoder:
         return ids, np.concatenate(([0], np.cumsum(sizes)))
 
     def batches(self, column: pa.Array) -> Iterator[tuple[Texts, np.ndarray, np.ndarray]]:
-        for texts in Texts.slices(column):
+        for texts in Texts.slices(column, 4 << 20):
             yield texts, *self.encode(texts)
 
 
