@@ -60,11 +60,15 @@ class Texts:
         """``column`` in runs of documents of about ``most`` bytes; null counts as empty."""
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
-        column = column.cast(pa.large_string()).fill_null("")
         if not len(column):
             return
+        if pa.types.is_null(column.type):
+            column = column.cast(pa.string())
+        if column.null_count:
+            column = column.fill_null("")
         _, places, values = column.buffers()
-        offsets = np.frombuffer(places, np.int64)[column.offset : column.offset + len(column) + 1]
+        width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+        offsets = np.frombuffer(places, width)[column.offset : column.offset + len(column) + 1].astype(np.int64)
         data = np.frombuffer(values, np.uint8) if values else np.zeros(0, np.uint8)
         at = 0
         while at < len(column):

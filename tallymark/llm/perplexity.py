@@ -311,7 +311,9 @@ class Perplexity:
         """The columns in ``carry`` (all by default), the measures of BASE, and ``nats``: what the text costs per letter."""
         spark, order, shards = docs.sparkSession, self.order, self.shards
         carry = fresh(docs, *BASE, "nats").columns if carry is None else carry
-        df = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text).alias("__text"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("__lang"))
+        own = text if text in carry else "__text"  # a text that is carried anyway goes to the tasks once
+        extra = [] if text in carry else [F.col(text).alias("__text")]
+        df = docs.select(*[F.col(f"`{c}`") for c in carry], *extra, F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("__lang"))
         df = df.withColumn("__sum", F.lit(0.0))
         for shard in range(shards):
             held = spark.sparkContext.broadcast(self.arrays(shard))
@@ -319,14 +321,14 @@ class Perplexity:
             names = [*carry, *BASE, "nats"] if last else df.columns
             fields = {f.name: f for f in df.schema.fields}
             schema = T.StructType([fields[c] if c in fields else T.StructField(c, T.DoubleType() if c == "nats" else T.LongType()) for c in names])
-            df = df.mapInArrow(scorer(held, order, shard, shards, names if last else None), schema)
+            df = df.mapInArrow(scorer(held, own, order, shard, shards, names if last else None), schema)
             if not last:
                 df = written(df)
         return df
 
 
-def scorer(held, order: int, shard: int, shards: int, names: list[str] | None):
-    """names: the columns of the result after the last shard, else None."""
+def scorer(held, text: str, order: int, shard: int, shards: int, names: list[str] | None):
+    """text: the column with the text. names: the columns of the result after the last shard, else None."""
 
     def score(batches):
         model = held.value
@@ -334,7 +336,7 @@ def scorer(held, order: int, shard: int, shards: int, names: list[str] | None):
             index, langs = languages_of(batch, "__lang")
             seeds = np.array([language_seed(x) for x in langs] or [0], np.uint64)[index]
             total, letters, base = np.asarray(batch.column("__sum")).copy(), [], []
-            for texts in Texts.slices(batch.column("__text")):
+            for texts in Texts.slices(batch.column(text)):
                 chars, rows = Characters(texts, order), slice(texts.first, texts.first + texts.n)
                 total[rows] += log_likelihood(chars, seeds[rows], model, shard, shards)
                 letters.append(chars.letters)
@@ -382,6 +384,6 @@ def quality_rules(
     scored = scored.withColumnRenamed("__own_lang", "__lang")
     limits = bands(scored, upper, lower, least)
     kept = ~F.col("base_failed") & F.coalesce((F.col("nats") >= F.col("__low")) & (F.col("nats") <= F.col("__high")), F.lit(False))
-    return scored.join(limits, "__lang", "left").select(
+    return attach(scored, limits, ["__lang"]).select(
         *[F.col(f"`{c}`") for c in carry], *BASE, F.exp("nats").alias("perplexity"), "base_failed", kept.alias("kept")
     )
