@@ -41,7 +41,8 @@ def token_counts(
     content = F.unhex(F.sha2(text_or_empty(text), 256))
     known = cached(spark, cache_path, version)
     missing = docs.select(content.alias("content"), text_or_empty(text).alias("text"))
-    missing = missing.join(known.select("content"), "content", "left_anti").groupBy("content").agg(F.any_value("text").alias("text"))
+    missing = missing.groupBy("content").agg(F.any_value("text").alias("text"))  # copies meet in the tasks that read them
+    missing = missing.join(known.select("content"), "content", "left_anti")
 
     def count(batches):
         own = encoder(tokenizer_path, keeps_space)
