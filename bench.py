@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -19,7 +20,7 @@ HEADLINE = [
     "scan_project", "null_profile", "corr_matrix", "welch_ttest", "chi2_yates", "box_stats", "label_encode", "impute_median",
     "scale_robust", "winsorize", "scale_percentile_clip", "knn_join_l2", "impute_knn", "smote", "split_stratified",
     "fold_stratified", "roc_auc", "aupro_approx", "memory_bank_score", "covariance_long", "convolve_gaussian", "convolve_gabor",
-    "clf_logistic", "clf_gnb", "cv_scores",
+    "clf_logistic", "clf_gnb", "cv_scores", "knn_join_pivots", "coreset_greedy", "kmeans_assign", "variant_pipeline",
 ]
 
 
@@ -30,7 +31,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench").config("spark.sql.shuffle.partitions", cpus)
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.driver.memory", "16g").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-")).config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
     from queries import QUERIES

@@ -19,7 +19,7 @@ def _kernel(cells: list[tuple[int, int, float]], names: str = "w") -> str:
 
 def _convolved(kernel: str, source: str = "v_grid", weights: str = "sum(w * i.v) AS s") -> str:
     return f"""WITH q AS MATERIALIZED (
-    SELECT o.*, k.*, {_reflect('o.x + dx', '30')} AS rx, {_reflect('o.y + dy', '24')} AS ry FROM {source} o, {kernel})
+    SELECT o.*, k.*, {_reflect('o.x + dx', '(SELECT days FROM v_days)')} AS rx, {_reflect('o.y + dy', '24')} AS ry FROM {source} o, {kernel})
   SELECT q.grid, q.x, q.y, any_value(q.v) AS v, {weights}
   FROM q JOIN {source} i ON i.grid = q.grid AND i.x = rx AND i.y = ry GROUP BY 1, 2, 3"""
 
@@ -83,7 +83,7 @@ def convolve_gabor(spark, sf_dir):
 WITH {V_GRID}
 SELECT o.grid, o.x, o.y, CAST(median(i.v) AS DOUBLE) AS v
 FROM v_grid o, (SELECT unnest(range(-2, 3)) AS dx), (SELECT unnest(range(-2, 3)) AS dy)
-JOIN v_grid i ON i.grid = o.grid AND i.x = greatest(0, least(29, o.x + dx)) AND i.y = greatest(0, least(23, o.y + dy))
+JOIN v_grid i ON i.grid = o.grid AND i.x = greatest(0, least((SELECT days - 1 FROM v_days), o.x + dx)) AND i.y = greatest(0, least(23, o.y + dy))
 GROUP BY 1, 2, 3""")
 def median_filter(spark, sf_dir):
     return grid.median_filter(grid_view(spark, sf_dir))
@@ -102,7 +102,7 @@ def otsu_threshold(spark, sf_dir):
     return grid.otsu_threshold(grid_view(spark, sf_dir))
 
 
-# A small margin, because the grids are only 30 x 24 cells.
+# A small margin, because the grids are only some 30 x 24 cells.
 @query("crop_bbox", f"""
 WITH {V_GRID}, {BLUR}, {OTSU.format(source='blur')},
 box AS (SELECT blur.grid, min(x) - 2 AS x0, max(x) + 2 AS x1, min(y) - 2 AS y0, max(y) + 2 AS y1
@@ -180,3 +180,27 @@ def variant_runs(spark, sf_dir):
         "smooth": {"denoise": "gaussian", "normalize": "minmax"},
     }
     return run_variants(grid_view(spark, sf_dir), variants)
+
+
+@query("variant_pipeline", f"""
+WITH {V_GRID}, {BLUR},
+z AS (SELECT grid, x, y, (v - avg(v) OVER w) / (stddev_pop(v) OVER w + 1e-8) AS z FROM v_grid WINDOW w AS (PARTITION BY grid)),
+q AS (SELECT grid, quantile_cont(v, 0.02) AS lo, quantile_cont(v, 0.98) AS hi FROM v_grid GROUP BY 1),
+curved AS (SELECT grid, x, y, CAST(floor(pow(v / 255.0::DOUBLE, 1.0::DOUBLE / 1.2) * 255) AS DOUBLE) AS v FROM v_grid)
+SELECT 'bright' AS variant, * FROM ({_equalized('curved')})
+UNION ALL
+SELECT 'smooth', grid, x, y, CAST(floor((v - min(v) OVER w) / (max(v) OVER w - min(v) OVER w + 1e-8) * 255) AS DOUBLE)
+FROM blur WINDOW w AS (PARTITION BY grid)
+UNION ALL
+SELECT 'zscore', grid, x, y, CAST(floor((z - min(z) OVER w) / (max(z) OVER w - min(z) OVER w + 1e-8) * 255) AS DOUBLE)
+FROM z WINDOW w AS (PARTITION BY grid)
+UNION ALL
+SELECT 'robust', v_grid.grid, x, y, CAST(floor(greatest(0, least(1, (v - lo) / (hi - lo + 1e-8))) * 255) AS DOUBLE) FROM v_grid JOIN q ON q.grid = v_grid.grid""")
+def variant_pipeline(spark, sf_dir):
+    variants = {
+        "bright": {"gamma": 1.2, "equalize": True},
+        "smooth": {"denoise": "gaussian", "normalize": "minmax"},
+        "zscore": {"normalize": "zscore"},
+        "robust": {"normalize": "robust"},
+    }
+    return run_variants(grid_view(spark, sf_dir), variants)

@@ -136,7 +136,7 @@ def kmeans_assign(spark, sf_dir):
 @query("kmeans_sizes")
 def kmeans_sizes(spark, sf_dir):
     frame = _cluster_frame(spark, sf_dir)
-    return profile.value_counts(models.kmeans_assign(frame, models.kmeans(frame, 4, restarts=3)), "cluster")
+    return profile.value_counts(models.kmeans_assign(frame, models.kmeans(frame, 4)), "cluster")
 
 
 @query("kmeans_elbow")
@@ -290,7 +290,7 @@ def permutation_importance(spark, sf_dir):
 @query("scenario_ablation")
 def scenario_ablation(spark, sf_dir):
     candidates = {"logistic": ("logistic", {}), "bayes": ("bayes", {}), "knn": ("knn", {})}
-    table = scenario.four_scenarios(document_frame(spark, sf_dir), candidates, trials=2)
+    table = scenario.four_scenarios(document_frame(spark, sf_dir), candidates, trials=2, tuning_folds=2)
     return table.select("scenario", "model", *rounded("accuracy", "precision", "recall", "f1", "auc"))
 
 
@@ -299,6 +299,6 @@ def scenario_folds(spark, sf_dir):
     candidates = {"logistic": ("logistic", {}), "bayes": ("bayes", {})}
     table = scenario.six_scenarios(
         document_frame(spark, sf_dir), candidates, products=[("n_chars", "n_lines")], ratios=[("n_chars", "n_words")], folds=3,
-        trials=2, leak_safe=False,
+        trials=2, tuning_folds=2, leak_safe=False,
     )
     return table.select("scenario", "model", "fold", *rounded("accuracy", "f1", "auc"))

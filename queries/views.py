@@ -100,7 +100,7 @@ def embeddings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def u_sql(key: str, salt: str) -> str:
     """The same hash draw in DuckDB; ``salt`` is a SQL expression."""
-    return f"(CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || '|' || CAST({salt} AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE)"
+    return f"(CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || '|' || CAST({salt} AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
 
 
 V_EMB = f"""v_emb AS (
@@ -111,15 +111,16 @@ V_EMB = f"""v_emb AS (
 
 
 def grid_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One grid per event type: x is the day, y the hour, v the summed value scaled to 0..255 (whole numbers)."""
+    """One grid per event type: x is the day from the first to the last one, y the hour, v the summed value scaled to 0..255."""
     events = table(spark, sf_dir, "events")
-    first = F.lit("2024-01-01").cast("date")
+    first, last = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    days, first = (last - first).days, F.lit(first)
     cells = events.groupBy(
         F.col("event_type").alias("grid"), F.datediff(F.to_date("ts"), first).alias("x"), F.hour("ts").alias("y"),
     ).agg(F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents"))
     dense = (
         events.select(F.col("event_type").alias("grid")).distinct()
-        .select("grid", F.explode(F.sequence(F.lit(0), F.lit(29))).alias("x"))
+        .select("grid", F.explode(F.sequence(F.lit(0), F.lit(days))).alias("x"))
         .select("grid", "x", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("y"))
     )
     full = dense.join(cells, ["grid", "x", "y"], "left").na.fill(0, ["cents"])
@@ -127,13 +128,14 @@ def grid_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.join(peak, "grid").select("grid", "x", "y", F.expr("cents * 255 div peak").cast("int").alias("v"))
 
 
-V_GRID = """v_cells AS (
-  SELECT event_type AS grid, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS x, hour(ts) AS y,
+V_GRID = """v_days AS (SELECT min(CAST(ts AS DATE)) AS first, CAST(date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) + 1 AS INTEGER) AS days FROM events),
+v_cells AS (
+  SELECT event_type AS grid, date_diff('day', first, CAST(ts AS DATE)) AS x, hour(ts) AS y,
          sum(CAST(round(value * 100) AS BIGINT)) AS cents
-  FROM events GROUP BY 1, 2, 3),
+  FROM events, v_days GROUP BY 1, 2, 3),
 v_full AS (
   SELECT g.grid, xs.x, ys.y, coalesce(c.cents, 0) AS cents
-  FROM (SELECT DISTINCT event_type AS grid FROM events) g CROSS JOIN (SELECT unnest(range(30)) AS x) xs
+  FROM (SELECT DISTINCT event_type AS grid FROM events) g CROSS JOIN (SELECT unnest(range(days)) AS x FROM v_days) xs
   CROSS JOIN (SELECT unnest(range(24)) AS y) ys
   LEFT JOIN v_cells c ON c.grid = g.grid AND c.x = xs.x AND c.y = ys.y),
 v_grid AS (
@@ -143,7 +145,7 @@ v_grid AS (
 
 
 def results_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tidy experiment results: event types as models, calendar weeks as scenarios; one cell is missing on purpose."""
+    """Tidy experiment results: event types as models, calendar weeks as scenarios."""
     value = F.col("value")
     share = lambda cut: F.avg((value > cut).cast("double"))
     return (
@@ -153,7 +155,6 @@ def results_view(spark: SparkSession, sf_dir: str) -> DataFrame:
             share(20).alias("accuracy"), share(40).alias("precision"), share(60).alias("recall"),
             share(30).alias("f1"), F.stddev_pop((value > 30).cast("double")).alias("f1_std"),
         )
-        .filter(~((F.col("model") == "error") & (F.col("scenario") == "W3")))
     )
 
 
@@ -161,7 +162,7 @@ V_RES = """v_res AS (
   SELECT event_type AS model, 'W' || weekofyear(ts) AS scenario, avg(CAST(value > 20 AS DOUBLE)) AS accuracy,
          avg(CAST(value > 40 AS DOUBLE)) AS "precision", avg(CAST(value > 60 AS DOUBLE)) AS recall,
          avg(CAST(value > 30 AS DOUBLE)) AS f1, stddev_pop(CAST(value > 30 AS DOUBLE)) AS f1_std
-  FROM events GROUP BY 1, 2 HAVING NOT (event_type = 'error' AND 'W' || weekofyear(ts) = 'W3'))"""
+  FROM events GROUP BY 1, 2)"""
 
 
 def scores_view(spark: SparkSession, sf_dir: str) -> DataFrame:

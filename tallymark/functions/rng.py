@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 
 def u(key: Column | str, salt: str | Column) -> Column:
-    """Uniform number in [0, 1): the first 32 bits of md5("key|salt")."""
+    """Uniform number in [0, 1): the first 52 bits of md5("key|salt")."""
     key = F.col(key) if isinstance(key, str) else key
     salt = F.lit(salt) if isinstance(salt, str) else salt
     digest = F.md5(F.concat_ws("|", key.cast("string"), salt.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
 def gauss(key: Column, tag: str = "n") -> Column:

@@ -13,9 +13,9 @@ from tallymark.operators.resample import noised
 from tallymark.session import written
 
 
-def memory_bank_score(scored: DataFrame, bank: DataFrame, key: str, vec: str, k: int) -> DataFrame:
-    """``key, score``: mean distance to the k nearest bank vectors."""
-    pairs = knn_join(scored, bank, k, key, key, vec, vec)
+def memory_bank_score(scored: DataFrame, bank: DataFrame, key: str, vec: str, k: int, pivots: int = 0) -> DataFrame:
+    """``key, score``: mean distance to the k nearest bank vectors; ``pivots`` as in ``knn_join``."""
+    pairs = knn_join(scored, bank, k, key, key, vec, vec, pivots=pivots)
     return pairs.groupBy(F.col("left_key").alias(key)).agg(F.avg("distance").alias("score"))
 
 
@@ -26,7 +26,7 @@ def patch_scores(scores: DataFrame, parts: DataFrame, key: str, item: str) -> Da
     return mapped.join(highest, item)
 
 
-def noise_discriminator(normal: DataFrame, scored: DataFrame, key: str, vec: str, sigma: float, reg: float = 0.001) -> DataFrame:
+def noise_discriminator(normal: DataFrame, scored: DataFrame, key: str, vec: str, sigma: float, reg: float = 0.001, max_iter: int = 1000) -> DataFrame:
     """``key, score``: probability of being a noised row, from a classifier of normal rows against noised copies."""
     shaken = noised(normal, key, vec, sigma).select(F.col("noised").alias(vec), F.lit(1.0).alias("y"))
     training = normal.select(vec, F.lit(0.0).alias("y")).unionByName(shaken)
@@ -35,7 +35,7 @@ def noise_discriminator(normal: DataFrame, scored: DataFrame, key: str, vec: str
         "x", array_to_vector(F.concat(F.col(vec), F.transform(vec, lambda v: v * v)))
     )
     # Every iteration reads the training rows, so the draws are made once.
-    model = LogisticRegression(featuresCol="x", labelCol="y", regParam=reg, maxIter=50).fit(features(written(training)))
+    model = LogisticRegression(featuresCol="x", labelCol="y", regParam=reg, maxIter=max_iter).fit(features(written(training)))
     return model.transform(features(scored)).select(key, vector_to_array("probability")[1].alias("score"))
 
 

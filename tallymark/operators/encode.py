@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.operators.ranking import bucket_count, with_range_bucket, with_row_number
-from tallymark.session import attach, few_rows
+from tallymark.operators.ranking import bucket_count, with_row_number
+from tallymark.session import attach, few_rows, written
 
 MAX_ONE_HOT_LEVELS = 1_000
 
@@ -19,12 +17,6 @@ def fill_missing_level(column: Column, level: str | None) -> Column:
     return text if level is None else F.coalesce(text, F.lit(level))
 
 
-def _text_position(level: Column, skip: int) -> Column:
-    """Number that never decreases in byte order: the six bytes after a shared prefix."""
-    head = F.hex(F.substring(F.encode(level, "UTF-8"), skip + 1, 6))
-    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("bigint")
-
-
 def fit_dictionaries(df: DataFrame, columns: list[str], missing_level: str | None = None) -> dict[str, DataFrame]:
     """A dictionary ``level, code`` per column; code 0 is the first level in text order.
 
@@ -59,11 +51,9 @@ def fit_dictionary(df: DataFrame, column: str, missing_level: str | None = None)
 
 
 def _rank_levels(levels: DataFrame) -> DataFrame:
-    """Rank any number of distinct levels in range buckets of their leading bytes."""
-    low, high = levels.agg(F.min("level"), F.max("level")).first()
-    shared = len(os.path.commonprefix([(low or "").encode(), (high or "").encode()]))
-    positioned = levels.withColumn("__position", _text_position(F.col("level"), shared))
-    bucketed = with_range_bucket(positioned, "__position", "__range", bucket_count(levels))
+    """Rank any number of distinct levels in range partitions of the text. They are written, so that their cuts are settled."""
+    ranged = levels.repartitionByRange(bucket_count(levels), "level")
+    bucketed = written(ranged.withColumn("__range", F.spark_partition_id()))
     numbered = with_row_number(bucketed, "rank", [F.col("level")], F.col("__range"))
     return numbered.select("level", (F.col("rank") - 1).cast("int").alias("code"))
 

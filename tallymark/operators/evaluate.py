@@ -64,13 +64,14 @@ def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def roc_points(df: DataFrame, score: str, label: str, by: list[str] | None = None) -> DataFrame:
-    """``[by..], threshold, pos, neg, tp, fp, tpr, fpr`` in descending score order, ties collapsed.
+    """``[by..], threshold, pos, neg, tp, fp, tpr, fpr`` in descending score order, ties collapsed; a null score is an error.
 
     Positives and negatives are counted per distinct score once; running totals of many distinct scores go through
     range buckets.
     """
     by = list(by or [])
-    counts, is_small = settled(df.groupBy(*by, F.col(score).alias("threshold")).agg(
+    known = F.coalesce(F.col(score), F.raise_error(F.lit("a row without a score cannot be ranked")).cast(df.schema[score].dataType))
+    counts, is_small = settled(df.groupBy(*by, known.alias("threshold")).agg(
         F.sum((F.col(label) == 1).cast("bigint")).alias("pos"), F.sum((F.col(label) == 0).cast("bigint")).alias("neg")
     ))
     running = with_running_totals(

@@ -48,14 +48,16 @@ def by_neighbourhood(df: DataFrame, radius: int, compute: Callable, border: str
     """Replace ``v`` by ``compute(padded)`` per tile; ``padded`` is a matrix [y, x] with ``radius`` cells around the tile.
 
     ``border`` fills the outside of a grid: mirrored without repeating the edge, or the edge repeated. Missing cells
-    count as 0; cells start at (0, 0).
+    count as 0; a grid reaches from its smallest to its largest x and y.
     """
     if radius >= TILE:
         raise ValueError(f"radius must stay below {TILE}")
-    extent = df.groupBy("grid").agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h"))
-    placed = df.select("grid", "x", "y", F.col("v").cast("double").alias("v"))
+    size = lambda c: (F.max(c) - F.min(c) + 1).cast("int")
+    extent = df.groupBy("grid").agg(F.min("x").alias("x_first"), F.min("y").alias("y_first"), size("x").alias("w"), size("y").alias("h"))
+    placed = attach(df.select("grid", "x", "y", F.col("v").cast("double").alias("v")), extent, ["grid"])
+    placed = placed.withColumns({"x": F.col("x") - F.col("x_first"), "y": F.col("y") - F.col("y_first")})
     placed = placed.select("*", _sides("x", radius).alias("tx")).select("*", _sides("y", radius).alias("ty"))
-    sized = attach(placed, extent, ["grid"]).filter("tx * {0} < w and ty * {0} < h".format(TILE))
+    sized = placed.filter("tx * {0} < w and ty * {0} < h".format(TILE))
     kind = df.schema["grid"].dataType.simpleString()
 
     def tile(cells: pd.DataFrame) -> pd.DataFrame:
@@ -69,6 +71,7 @@ def by_neighbourhood(df: DataFrame, radius: int, compute: Callable, border: str
         pad = [(radius - (y0 - top), radius - (bottom - y1)), (radius - (x0 - left), radius - (right - x1))]
         out = compute(np.pad(known, pad, mode=border))
         y, x = np.mgrid[y0:y1, x0:x1]
+        x, y = x + int(cells["x_first"].iloc[0]), y + int(cells["y_first"].iloc[0])
         return pd.DataFrame({"grid": cells["grid"].iloc[0], "x": x.ravel(), "y": y.ravel(), "v": out.ravel()})
 
     return sized.groupBy("grid", "tx", "ty").applyInPandas(tile, f"grid {kind}, x int, y int, v double")
@@ -148,8 +151,9 @@ def otsu_threshold(df: DataFrame) -> DataFrame:
         "grid", "v", F.sum("n").over(upto).alias("w0"), F.sum(mass).over(upto).alias("s0"), F.sum("n").over(whole).alias("w"),
         F.sum(mass).over(whole).alias("s"),
     )
-    gap = (F.col("s") * F.col("w0") - F.col("w") * F.col("s0")).cast("double")
-    between = F.when(F.col("w0") == F.col("w"), F.lit(0.0)).otherwise(gap * gap / (F.col("w0") * (F.col("w") - F.col("w0"))).cast("double"))
+    wide = lambda name: F.col(name).cast("decimal(19,0)")  # noqa: E731  products of sums outgrow bigint, ties need them exact
+    gap = (wide("s") * wide("w0") - wide("w") * wide("s0")).cast("double")
+    between = F.when(F.col("w0") == F.col("w"), F.lit(0.0)).otherwise(gap * gap / (wide("w0") * (wide("w") - wide("w0"))).cast("double"))
     return sums.groupBy("grid").agg(F.min_by("v", F.struct(-between, F.col("v"))).alias("threshold"))
 
 

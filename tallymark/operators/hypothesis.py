@@ -46,7 +46,7 @@ def chi2_binary(df: DataFrame, columns: list[str], label: str, yates: bool = Tru
     row = df.agg(*aggregates)
     structs = []
     for i, c in enumerate(columns):
-        n, y1, x, xy = F.col("n"), F.col("y1"), F.col(f"x{i}"), F.col(f"xy{i}")
+        n, y1, x, xy = (F.col(name).cast("double") for name in ("n", "y1", f"x{i}", f"xy{i}"))  # products of counts outgrow bigint
         cells = [(xy, x, y1), (x - xy, x, n - y1), (y1 - xy, n - x, y1), (n - x - y1 + xy, n - x, n - y1)]
         statistic = F.lit(0.0)
         for observed, row_total, column_total in cells:
@@ -67,7 +67,7 @@ def chi2_general(df: DataFrame, a: str, b: str) -> DataFrame:
     pairs = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("o"))
     with_a = attach(pairs, pairs.groupBy(a).agg(F.sum("o").alias("na")), [a])
     full = attach(with_a, pairs.groupBy(b).agg(F.sum("o").alias("nb")), [b])
-    observed = F.col("o") * F.col("o") / (F.col("na") * F.col("nb"))
+    observed = F.col("o").cast("double") / F.col("na") * F.col("o") / F.col("nb")
     summary = full.agg(
         F.sum(observed).alias("s"), F.sum("o").alias("n"), F.count_distinct(a).alias("ka"), F.count_distinct(b).alias("kb")
     )

@@ -39,8 +39,8 @@ BOOSTING = {
     "min_child_samples": "minInstancesPerNode", "min_samples_leaf": "minInstancesPerNode", "gamma": "minInfoGain",
 }
 USED = {
-    "logistic": {"C", "penalty"}, "tree": set(TREE), "forest": set(FOREST), "boosting": set(BOOSTING), "svm": {"C", "gamma", "class_weight", "features"},
-    "knn": {"n_neighbors", "weights", "metric", "p"}, "bayes": {"var_smoothing"}, "perceptron": {"layers", "epochs"},
+    "logistic": {"C", "penalty", "class_weight", "max_iter"}, "tree": {*TREE, "class_weight"}, "forest": {*FOREST, "class_weight"}, "boosting": set(BOOSTING), "svm": {"C", "gamma", "class_weight", "features", "kernel", "max_iter"},
+    "knn": {"n_neighbors", "weights", "metric", "p", "pivots"}, "bayes": {"var_smoothing"}, "perceptron": {"layers", "epochs"},
 }
 # Deepest tree the engine can hold.
 MAX_DEPTH = 30
@@ -69,7 +69,9 @@ def _predictor(fitted, score: Column) -> Predictor:
 def _settings(params: dict, names: dict) -> dict:
     chosen = {names[k]: v for k, v in params.items() if k in names}
     if "maxDepth" in chosen:
-        chosen["maxDepth"] = min(int(chosen["maxDepth"]), MAX_DEPTH)
+        chosen["maxDepth"] = int(chosen["maxDepth"])
+        if chosen["maxDepth"] > MAX_DEPTH:
+            raise ValueError(f"trees can be {MAX_DEPTH} deep at most, {chosen['maxDepth']} was asked for")
     if "minInstancesPerNode" in chosen:
         chosen["minInstancesPerNode"] = int(chosen["minInstancesPerNode"])
     if "featureSubsetStrategy" in chosen:
@@ -82,24 +84,32 @@ def positive_share() -> Column:
     return vector_to_array(F.col("probability"))[1]
 
 
+def weighted(train: DataFrame, params: dict) -> DataFrame:
+    """``train`` with a column ``weight``: n / (2 n_c) with ``class_weight="balanced"``, else 1."""
+    chosen = params.get("class_weight")
+    if chosen not in (None, "balanced"):
+        raise ValueError(f"class_weight is {chosen!r}, not None or 'balanced'")
+    return class_weight(train, "label") if chosen else train.withColumn("weight", F.lit(1.0))
+
+
 def fit_logistic(train: DataFrame, params: dict) -> Predictor:
     """Penalised by 1 / (C n), so that C means the same at every size."""
     n = train.count()
     estimator = LogisticRegression(
         regParam=1.0 / (params.get("C", 1.0) * n), elasticNetParam=1.0 if params.get("penalty") == "l1" else 0.0,
-        standardization=False, maxIter=100,
+        standardization=False, maxIter=params.get("max_iter", 1000), weightCol="weight",
     )
-    return _predictor(estimator.fit(as_vector(train)), positive_share())
+    return _predictor(estimator.fit(as_vector(weighted(train, params))), positive_share())
 
 
 def fit_tree(train: DataFrame, params: dict) -> Predictor:
-    estimator = DecisionTreeClassifier(seed=SEED, **_settings(params, TREE))
-    return _predictor(estimator.fit(as_vector(train)), positive_share())
+    estimator = DecisionTreeClassifier(seed=SEED, weightCol="weight", **_settings(params, TREE))
+    return _predictor(estimator.fit(as_vector(weighted(train, params))), positive_share())
 
 
 def forest_model(train: DataFrame, params: dict):
-    settings = {"numTrees": 20, **_settings(params, FOREST)}
-    return RandomForestClassifier(seed=SEED, **settings).fit(as_vector(train))
+    settings = {"numTrees": 100, **_settings(params, FOREST)}
+    return RandomForestClassifier(seed=SEED, weightCol="weight", **settings).fit(as_vector(weighted(train, params)))
 
 
 def fit_forest(train: DataFrame, params: dict) -> Predictor:
@@ -107,7 +117,7 @@ def fit_forest(train: DataFrame, params: dict) -> Predictor:
 
 
 def fit_boosting(train: DataFrame, params: dict) -> Predictor:
-    settings = {"maxIter": 10, "maxDepth": 3, **_settings(params, BOOSTING)}
+    settings = {"maxIter": 100, "maxDepth": 3, **_settings(params, BOOSTING)}
     return _predictor(GBTClassifier(seed=SEED, **settings).fit(as_vector(train)), positive_share())
 
 
@@ -129,6 +139,8 @@ def fit_svm(train: DataFrame, params: dict) -> Predictor:
 
     ``gamma`` is a number, ``auto`` (1 / width) or ``scale`` (1 / (width x mean variance)).
     """
+    if params.get("kernel", "rbf") != "rbf":
+        raise ValueError(f"kernel {params['kernel']!r} has no counterpart; features=0 is the linear one")
     width = width_of(train, "vec")
     gamma, features = params.get("gamma", "scale"), params.get("features", 64)
     if gamma == "auto":
@@ -137,9 +149,8 @@ def fit_svm(train: DataFrame, params: dict) -> Predictor:
         variances = train.agg(*[F.var_pop(F.col("vec")[i]).alias(f"v{i}") for i in range(width)]).first()
         gamma = 1.0 / max(sum(variances), 1e-12)
     lift = (lambda df: fourier_features(df, gamma, features, width)) if features else (lambda df: df)
-    weighted = class_weight(train, "label") if params.get("class_weight") == "balanced" else train.withColumn("weight", F.lit(1.0))
-    estimator = LinearSVC(regParam=1.0 / (params.get("C", 1.0) * train.count()), weightCol="weight", maxIter=30)
-    fitted = estimator.fit(as_vector(lift(weighted)))
+    estimator = LinearSVC(regParam=1.0 / (params.get("C", 1.0) * train.count()), weightCol="weight", maxIter=params.get("max_iter", 1000))
+    fitted = estimator.fit(as_vector(lift(weighted(train, params))))
     inner = _predictor(fitted, vector_to_array(F.col("rawPrediction"))[1])
     return lambda df: inner(lift(df))
 
@@ -148,7 +159,7 @@ def fit_knn(train: DataFrame, params: dict) -> Predictor:
     p = {"euclidean": 2.0, "manhattan": 1.0, "minkowski": float(params.get("p", 2))}[params.get("metric", "euclidean")]
 
     def predict(df: DataFrame) -> DataFrame:
-        votes = knn_classify(train, df, int(params.get("n_neighbors", 5)), "key", "label", p=p, weights=params.get("weights", "uniform"))
+        votes = knn_classify(train, df, int(params.get("n_neighbors", 5)), "key", "label", p=p, weights=params.get("weights", "uniform"), pivots=int(params.get("pivots", 0)))
         return df.select("key", "label").join(votes, "key").select("key", "label", "score", "prediction")
 
     return predict
@@ -208,11 +219,11 @@ def in_parallel(tasks: list[Callable], threads: int = 4) -> list:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
-def kmeans(df: DataFrame, k: int, restarts: int = 10):
+def kmeans(df: DataFrame, k: int, restarts: int = 10, max_iter: int = 300):
     """The model with the least inertia of several seeded starts (k-means||)."""
     vectors = as_vector(df).select("features").persist()
     try:
-        starts = [lambda s=s: KMeans(k=k, seed=SEED + s, maxIter=20).fit(vectors) for s in range(restarts)]
+        starts = [lambda s=s: KMeans(k=k, seed=SEED + s, maxIter=max_iter).fit(vectors) for s in range(restarts)]
         return min(in_parallel(starts), key=lambda m: m.summary.trainingCost)
     finally:
         vectors.unpersist()
@@ -222,19 +233,18 @@ def kmeans_assign(df: DataFrame, model) -> DataFrame:
     return model.transform(as_vector(df)).select("key", F.col("prediction").alias("cluster"))
 
 
-def elbow(df: DataFrame, ks: range) -> DataFrame:
-    """``k, inertia``; for k = 1 the inertia is the total spread around the mean."""
+def elbow(df: DataFrame, ks: range, restarts: int = 10, max_iter: int = 300) -> DataFrame:
+    """``k, inertia``, the least of several seeded starts; for k = 1 the inertia is the total spread around the mean."""
     width, spark = width_of(df, "vec"), df.sparkSession
     vectors = as_vector(df).select("features").persist()
     spread = df.agg(sum((F.var_pop(F.col("vec")[i]) for i in range(width)), F.lit(0.0)).alias("v"), F.count(F.lit(1)).alias("n")).first()
 
-    def inertia(k: int) -> tuple[int, float]:
-        if k == 1:
-            return 1, spread["v"] * spread["n"]
-        return k, KMeans(k=k, seed=SEED, maxIter=20).fit(vectors).summary.trainingCost
+    def inertia(k: int, start: int) -> tuple[int, float]:
+        return k, KMeans(k=k, seed=SEED + start, maxIter=max_iter).fit(vectors).summary.trainingCost
 
-    rows = in_parallel([lambda k=k: inertia(k) for k in ks])
+    costs = in_parallel([lambda k=k, s=s: inertia(k, s) for k in ks if k > 1 for s in range(restarts)])
     vectors.unpersist()
+    rows = [(k, spread["v"] * spread["n"] if k == 1 else min(c for j, c in costs if j == k)) for k in ks]
     return spark.createDataFrame(rows, "k int, inertia double")
 
 

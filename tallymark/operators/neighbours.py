@@ -165,6 +165,7 @@ def knn_join(
     want = k + 1 if exclude_self else k
 
     def nearest(left_keys, a, right_keys, b):
+        order = right_keys.astype(str) if right_keys.dtype == object else right_keys
         step = max(1, MATRIX_CELLS // len(b))
         for start in range(0, len(a), step):
             part = a[start:start + step]
@@ -181,12 +182,13 @@ def knn_join(
                 if exclude_self:
                     other = right_keys[rows] != mine
                     rows, dist = rows[other], dist[other]
-                for o in smallest(dist, right_keys[rows], k):
+                for o in smallest(dist, order[rows], k):
                     yield mine, right_keys[rows[o]], float(dist[o])
 
     lhs = left.select(F.col(left_key).alias("key"), F.col(left_vec).cast("array<double>").alias("v"))
     rhs = right.select(F.col(right_key).alias("key"), F.col(right_vec).cast("array<double>").alias("v"))
-    schema = "l bigint, r bigint, distance double"
+    kind = {side: frame.schema["key"].dataType.simpleString() for side, frame in (("l", lhs), ("r", rhs))}
+    schema = f"l {kind['l']}, r {kind['r']}, distance double"
     if pivots:
         found = _pivot_join(lhs, rhs, nearest, schema, want, p, pivots, block_rows)
     else:
@@ -198,14 +200,14 @@ def knn_join(
 
 def knn_classify(
     train: DataFrame, test: DataFrame, k: int, key: str, label: str, vec: str = "vec", p: float = 2.0,
-    weights: str = "uniform",
+    weights: str = "uniform", pivots: int = 0,
 ) -> DataFrame:
-    """Vote of the k nearest training rows: ``key, score, prediction`` for a 0/1 label.
+    """Vote of the k nearest training rows: ``key, score, prediction`` for a 0/1 label; ``pivots`` as in ``knn_join``.
 
     With ``weights="distance"`` a vote counts 1 / distance, and only exact matches count when there are any. Half of
     the vote is not enough for class 1.
     """
-    pairs = knn_join(test, train, k, key, key, vec, vec, p)
+    pairs = knn_join(test, train, k, key, key, vec, vec, p, pivots=pivots)
     labels = train.select(F.col(key).alias("right_key"), F.col(label).cast("double").alias("y"))
     voted = pairs.join(labels, "right_key")
     if weights == "distance":

@@ -84,8 +84,18 @@ def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     return row.select(F.inline(F.array(*structs)))
 
 
-def crosstab(df: DataFrame, row: str, column: str, levels: list) -> DataFrame:
-    """Contingency table, zero where a pair never occurs; column levels are declared."""
+def declared(df: DataFrame, column: str, levels: list) -> None:
+    """Raise if ``column`` holds a value other than the declared levels; null is one too."""
+    stray = df.filter(F.col(column).isNull() | ~F.col(column).isin(levels)).select(column).first()
+    if stray is not None:
+        raise ValueError(f"{column} holds {stray[0]!r}, which is not among the declared levels")
+
+
+def crosstab(df: DataFrame, row: str, column: str, levels: list | None = None) -> DataFrame:
+    """Contingency table, zero where a pair never occurs. A level that was not declared is an error; without ``levels`` they come from the data."""
+    if levels is None:
+        return df.groupBy(row).pivot(column).agg(F.count(F.lit(1))).na.fill(0)
+    declared(df, column, levels)
     return df.groupBy(row).pivot(column, levels).agg(F.count(F.lit(1))).na.fill(0)
 
 

@@ -11,7 +11,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.session import attach
+from tallymark.session import attach, settled
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -94,7 +94,7 @@ def values_at_ranks(df: DataFrame, columns: list[str], ranks: dict, by: list[str
     fraction of rows it sits at. Result: ``by.., column, n`` and one column per label.
 
     One mergeable quantile sketch per column brackets all ranks, one pass counts the rows below each bracket, and only
-    the few values inside a bracket are ranked. Sketch bounds are proven by the counts: a miss raises, it never returns
+    the few values inside a bracket are ranked, in range buckets if they are many. Sketch bounds are proven by the counts: a miss raises, it never returns
     a wrong value. Groups of at most ``SKETCH_ROWS`` rows have a single bracket, the whole group.
     """
     by = list(by or [])
@@ -127,8 +127,11 @@ def values_at_ranks(df: DataFrame, columns: list[str], ranks: dict, by: list[str
     entries = F.array(*[entry(c, i) for c in columns for i in range(len(shares))])
     marked = slim.select(*by, F.inline(F.filter(entries, lambda e: e["position"].isNotNull())))
     counted = marked.groupBy(*by, "column", "bracket", "n", "position", "value").agg(F.count(F.lit(1)).alias("rows"))
-    order = Window.partitionBy(*by, "column", "bracket").orderBy("position", "value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("upto", F.sum("rows").over(order))
+    counted, few = settled(counted)
+    key = [*by, "column", "bracket", "n"]
+    inside = with_running_totals(counted.filter("position = 1"), "value", {"upto": "rows"}, within=key, small=few)
+    below = counted.filter("position = 0").select(*key, F.col("rows").alias("below"))
+    ranked = attach(inside, below, key).withColumn("upto", F.col("upto") + F.coalesce("below", F.lit(0))).drop("below")
 
     def at(label: str) -> Column:
         share, rank = ranks[label]

@@ -15,12 +15,12 @@ from tallymark.session import attach, written
 NOISE_STEPS = [0.5, 1.0, 2.0]
 
 
-def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5) -> DataFrame:
+def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, pivots: int = 0) -> DataFrame:
     """Bring the smaller of two classes to parity with synthetic rows: ``key, label, vec, synthetic``.
 
     A synthetic row lies between a minority row and one of its k nearest minority rows. Which row, which neighbour and
     how far are draws keyed by the number of the synthetic row, so the work is three equi-joins on evenly drawn keys.
-    Synthetic keys count down from -1.
+    Synthetic keys count down from -1. ``pivots`` as in ``knn_join``.
     """
     real = df.select(key, label, F.col(vec).cast("array<double>").alias(vec), F.lit(False).alias("synthetic"))
     counts = {r[label]: r["count"] for r in real.groupBy(label).count().collect()}
@@ -36,7 +36,7 @@ def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5) -> DataFram
     few = written(real.filter(F.col(label) == minority).select(F.col(key).alias("key"), F.col(vec).alias("v")))
     ranged = with_range_bucket(few, "key", "__range", bucket_count(few))
     ranked = with_row_number(ranged, "rank", [F.col("key")], F.col("__range")).select("rank", "key", "v")
-    near = knn_join(few, few, neighbours, "key", "key", "v", "v", exclude_self=True)
+    near = knn_join(few, few, neighbours, "key", "key", "v", "v", exclude_self=True, pivots=pivots)
     near = near.select(F.col("left_key").alias("key"), F.col("rank").alias("nn"), F.col("right_key").alias("other"))
     draws = df.sparkSession.range(n_max - n_min).select(
         "id", (F.floor(u("id", "base") * n_min) + 1).alias("rank"),

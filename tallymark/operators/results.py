@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.operators.profile import declared
 from tallymark.session import attach
 
 
@@ -83,8 +84,11 @@ def melt(df: DataFrame, ids: list[str], metrics: list[str]) -> DataFrame:
     return df.unpivot(ids, metrics, "metric", "score")
 
 
-def pivot_metric(df: DataFrame, row: str, column: str, levels: list[str], metric: str) -> DataFrame:
-    """Row by column matrix of one metric with declared levels; an absent cell is null."""
+def pivot_metric(df: DataFrame, row: str, column: str, levels: list[str] | None, metric: str) -> DataFrame:
+    """Row by column matrix of one metric; an absent cell is null. A level that was not declared is an error; ``None`` takes them from the data."""
+    if levels is None:
+        return df.groupBy(row).pivot(column).agg(F.first(metric))
+    declared(df, column, levels)
     return df.groupBy(row).pivot(column, levels).agg(F.first(metric))
 
 

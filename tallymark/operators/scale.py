@@ -16,12 +16,17 @@ def _nonzero(scale: Column) -> Column:
     return F.when(scale == 0, F.lit(1.0)).otherwise(scale)
 
 
+def _evaluated(fitted: DataFrame) -> DataFrame:
+    """The single fitted row as a local table, so that applying it again reads no data again."""
+    return fitted.sparkSession.createDataFrame([tuple(fitted.first())], fitted.schema)
+
+
 def fit_standard(df: DataFrame, columns: list[str]) -> DataFrame:
     """Mean and population deviation; a constant column is divided by 1."""
     stats = []
     for c in columns:
         stats += [F.avg(c).alias(f"{c}__shift"), _nonzero(F.stddev_pop(c)).alias(f"{c}__scale")]
-    return df.agg(*stats)
+    return _evaluated(df.agg(*stats))
 
 
 def fit_robust(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -39,7 +44,7 @@ def fit_minmax(df: DataFrame, columns: list[str]) -> DataFrame:
     stats = []
     for c in columns:
         stats += [F.min(c).cast("double").alias(f"{c}__shift"), (F.max(c) - F.min(c) + F.lit(EPSILON)).alias(f"{c}__scale")]
-    return df.agg(*stats)
+    return _evaluated(df.agg(*stats))
 
 
 def transform(df: DataFrame, fitted: DataFrame, columns: list[str]) -> DataFrame:

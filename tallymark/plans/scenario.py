@@ -114,10 +114,15 @@ def prepare(train: Frame, others: list[Frame], steps: tuple) -> tuple[Frame, lis
     return replace(train, df=written(train.df)), others
 
 
-def _tuned(train: Frame, name: str, trials: int, k: int) -> tuple[str, dict]:
-    engine = search.engine_of(name)
-    searched = search.random_search(train.vectors(), engine, search.ABLATION_SPACES[engine], trials, k)
-    return engine, search.best_parameters(searched)
+def _tuned(train: Frame, name: str, candidate: tuple[str, dict], spaces: dict, trials: int, k: int) -> tuple[str, dict]:
+    """The candidate with the best drawn parameters of its space, found by its own name or by its engine; what is fixed stays."""
+    engine, fixed = candidate
+    space = spaces.get(name, spaces.get(engine))
+    if space is None:
+        raise ValueError(f"no parameter space for {name!r} ({engine}) among {sorted(spaces)}")
+    space = {p: draw for p, draw in space.items() if p not in fixed}
+    searched = search.random_search(train.vectors(), engine, space, trials, k, fixed)
+    return engine, {**search.best_parameters(searched), **fixed}
 
 
 def _predict(train: Frame, test: Frame, candidates: dict, tags: dict) -> list[DataFrame]:
@@ -134,9 +139,13 @@ def _predict(train: Frame, test: Frame, candidates: dict, tags: dict) -> list[Da
 
 def compare(
     frame: Frame, scenarios: dict[str, Scenario], candidates: dict[str, tuple[str, dict]], folds: int | None = None,
-    share: float = 0.3, leak_safe: bool = True, trials: int = 3, tuning_folds: int = 2,
+    share: float = 0.3, leak_safe: bool = True, trials: int = 30, tuning_folds: int = 10, spaces: dict | None = None,
 ) -> DataFrame:
-    """``scenario, model, fold`` and metrics: k folds, or one stratified split (fold 0) with ``folds=None``."""
+    """``scenario, model, fold`` and metrics: k folds, or one stratified split (fold 0) with ``folds=None``.
+
+    Tuned scenarios draw from ``spaces`` (those of the ablation study by default).
+    """
+    spaces = search.ABLATION_SPACES if spaces is None else spaces
     base = replace(frame, df=written(frame.df))
     if folds is None:
         marked = written(split.stratified_split(base.df, "key", "label", share))
@@ -148,7 +157,7 @@ def compare(
     def choose(scenario: Scenario, train: Frame) -> dict:
         if not scenario.tuned:
             return candidates
-        tuned = models.in_parallel([lambda c=c: _tuned(train, c[0], trials, tuning_folds) for c in candidates.values()])
+        tuned = models.in_parallel([lambda n=n, c=c: _tuned(train, n, c, spaces, trials, tuning_folds) for n, c in candidates.items()])
         return dict(zip(candidates, tuned))
 
     def run(name: str, scenario: Scenario) -> list[DataFrame]:

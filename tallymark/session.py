@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, NumericType, StringType, StructType
 
 # A fitted table with at most this many rows is collected once and broadcast; a larger one is joined by shuffle.
 SMALL_ROWS = 20_000
@@ -85,7 +85,13 @@ def few_rows(df: DataFrame, limit: int | None = None) -> list | None:
         if isinstance(field.dataType, StringType):
             too_long, value = F.octet_length(c) > SMALL_VALUE, F.substring(c, 1, SMALL_VALUE)
         elif isinstance(field.dataType, ArrayType):
-            too_long = F.size(c) > SMALL_VALUE // 8
+            flat = isinstance(field.dataType.elementType, NumericType)
+            too_long = F.size(c) > SMALL_VALUE // 8 if flat else F.length(F.to_json(F.struct(c))) > SMALL_VALUE
+            value = F.when(~too_long, c)
+        elif isinstance(field.dataType, BinaryType):
+            too_long, value = F.octet_length(c) > SMALL_VALUE, F.substring(c, 1, SMALL_VALUE)
+        elif isinstance(field.dataType, (StructType, MapType)):
+            too_long = F.length(F.to_json(F.struct(c))) > SMALL_VALUE
             value = F.when(~too_long, c)
         else:
             cut.append(c)
