@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import fresh, text_or_empty
+from tallymark.llm.common import fresh, row_digest, text_or_empty
 from tallymark.session import written
 
 #: Characters between a weak candidate and its complementary part.
@@ -133,7 +133,10 @@ def secret_scan(docs: DataFrame, text: str = "text", carry: list[str] | None = N
     carry = fresh(docs, *names).columns if carry is None else carry
     found = written(parts(docs, text, carry))
     weak = linked_weak(found, reach).groupBy("__digest").agg(F.collect_list(F.struct("kind", "start", "stop")).alias("more"))
-    out = found.join(weak.withColumnRenamed("__digest", "__weak_digest"), F.col("__digest") == F.col("__weak_digest"), "left")
+    # Texts without a candidate cannot match; a key of their own keeps their copies apart.
+    alone = F.concat(F.lit("-"), row_digest(found.select(*[f"`{c}`" for c in carry], "__digest")).cast("string"))
+    found = found.withColumn("__key", F.when(F.size("weak") > 0, F.col("__digest")).otherwise(alone))
+    out = found.join(weak.withColumnRenamed("__digest", "__weak_digest"), F.col("__key") == F.col("__weak_digest"), "left")
     count = lambda kind: F.size(F.filter("strong", lambda s: s["kind"] == kind)).cast("bigint")
     strong = F.transform("strong", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
     more = F.coalesce("more", F.array().cast("array<struct<kind:string,start:bigint,stop:bigint>>"))
