@@ -12,14 +12,12 @@ from __future__ import annotations
 
 import html as entities
 import re
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import fresh
-from tallymark.session import written
 
 #: A container stays if its fused score is at least this share of the page's best.
 SHARE = 0.5
@@ -144,37 +142,39 @@ def blocks(html: str) -> list[dict]:
 
 
 def page_blocks(pages: DataFrame, html: str, carry: list[str]) -> DataFrame:
-    """``carry``, a number of the row, and the blocks of each page."""
+    """``carry``, the digest of the html, and the blocks of each page."""
     kind = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string()), ("chars", pa.int64()), ("marks", pa.int64())]))
 
     def cut(batches):
-        seen, mine = 0, uuid.uuid4().hex
         for batch in batches:
             found = pa.array([blocks(h or "") for h in batch.column("__html").to_pylist()], kind)
-            rows = pa.array([f"{mine}-{seen + i}" for i in range(batch.num_rows)])
-            seen += batch.num_rows
-            yield pa.record_batch([*[batch.column(c) for c in carry], rows, found], names=[*carry, "__row", "__blocks"])
+            yield pa.record_batch([*[batch.column(c) for c in carry], batch.column("__page"), found], names=[*carry, "__page", "__blocks"])
 
-    df = pages.select(*[F.col(f"`{c}`") for c in carry], F.col(html).alias("__html"))
+    digest = F.sha2(F.coalesce(F.col(html), F.lit("")), 256)
+    df = pages.select(*[F.col(f"`{c}`") for c in carry], digest.alias("__page"), F.col(html).alias("__html"))
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != "__html")
-    return df.mapInArrow(cut, f"{own}{', ' if own else ''}__row string, __blocks array<struct<path:string,text:string,chars:bigint,marks:bigint>>")
+    return df.mapInArrow(cut, f"{own}, __blocks array<struct<path:string,text:string,chars:bigint,marks:bigint>>")
 
 
 def content_containers(cut: DataFrame, share: float = SHARE) -> DataFrame:
-    """Containers of each page (by __row) whose fused and smoothed score reaches ``share`` of the best."""
-    nodes = cut.select("__row", F.posexplode(F.transform("__blocks", lambda b: F.struct(b["path"].alias("path"), b["chars"].alias("chars"), b["marks"].alias("marks")))).alias("place", "b"))
-    paths = nodes.groupBy("__row", F.col("b.path").alias("path")).agg(
-        F.min("place").alias("place"), F.sum("b.chars").alias("chars"), F.sum("b.marks").alias("marks"), F.count("*").alias("nodes")
+    """Containers of each distinct page (by __page) whose fused and smoothed score reaches ``share`` of the best.
+
+    Copies of a page are summed together, and the sums divided by their number.
+    """
+    nodes = cut.select("__page", F.posexplode(F.transform("__blocks", lambda b: F.struct(b["path"].alias("path"), b["chars"].alias("chars"), b["marks"].alias("marks")))).alias("place", "b"))
+    paths = nodes.groupBy("__page", F.col("b.path").alias("path")).agg(
+        F.min("place").alias("place"), F.sum("b.chars").alias("chars"), F.sum("b.marks").alias("marks"), F.count("*").alias("nodes"), F.count_if(F.col("place") == 0).alias("firsts")
     )
-    along = Window.partitionBy("__row").orderBy("place")
+    paths = paths.withColumn("marks", F.col("marks") / F.sum("firsts").over(Window.partitionBy("__page")))
+    along = Window.partitionBy("__page").orderBy("place")
     ratio = F.col("chars") * (1 + F.col("marks")) / F.col("nodes")
     near = lambda f: F.coalesce(f("ratio").over(along), F.col("ratio"))
     paths = paths.withColumn("ratio", ratio).withColumn("smooth", 0.5 * F.col("ratio") + 0.25 * near(F.lag) + 0.25 * near(F.lead))
-    fused = paths.groupBy("__row", container(F.col("path")).alias("container")).agg(F.sum("smooth").alias("score"))
+    fused = paths.groupBy("__page", container(F.col("path")).alias("container")).agg(F.sum("smooth").alias("score"))
     weight = F.when(F.col("container").rlike("(^|/)article$"), 1e6).when(F.col("container").rlike("(^|/)main$"), 1e3).otherwise(1.0)
     fused = fused.withColumn("score", F.col("score") * weight)
-    best = fused.groupBy("__row").agg(F.max("score").alias("best"))
-    return fused.join(best, "__row").filter(F.col("score") >= share * F.col("best")).groupBy("__row").agg(F.collect_set("container").alias("containers"))
+    best = fused.groupBy("__page").agg(F.max("score").alias("best"))
+    return fused.join(best, "__page").filter(F.col("score") >= share * F.col("best")).groupBy("__page").agg(F.collect_set("container").alias("containers"))
 
 
 def container(path):
@@ -187,9 +187,9 @@ def container(path):
 def main_text(pages: DataFrame, html: str = "html", carry: list[str] | None = None, share: float = SHARE) -> DataFrame:
     """``carry`` (all columns but the html by default), text and n_chars."""
     carry = [c for c in fresh(pages, "text", "n_chars").columns if c != html] if carry is None else carry
-    cut = written(page_blocks(pages, html, carry))
-    kept = content_containers(cut, share)
-    out = cut.join(kept.withColumnRenamed("__row", "__kept_row"), F.col("__row") == F.col("__kept_row"), "left")
+    # Cut twice: once for the paths, once for the texts, which so need not be stored in between.
+    kept = content_containers(page_blocks(pages, html, []), share)
+    out = page_blocks(pages, html, carry).join(kept.withColumnRenamed("__page", "__kept_page"), F.col("__page") == F.col("__kept_page"), "left")
     inside = F.filter("__blocks", lambda b: F.array_contains(F.col("containers"), container(b["path"])))
     text = F.coalesce(F.array_join(F.transform(inside, lambda b: b["text"]), "\n"), F.lit(""))
     return out.select(*[F.col(f"`{c}`") for c in carry], text.alias("text")).withColumn("n_chars", F.char_length("text").cast("bigint"))
