@@ -29,7 +29,10 @@ HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "secret", "identifier", "endpoint")
 
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
-_SECRET = re.compile(r"(?<![A-Za-z0-9/+=_-])[A-Za-z0-9/+]{40}(?![A-Za-z0-9/+=_-])")
+# A run of base64 or base64url characters with its padding; what stands before "=" and more characters is a key, not a value.
+_SECRET = re.compile(r"(?<![A-Za-z0-9/+_-])[A-Za-z0-9/+_-]{20,}+(?:={1,2}(?![A-Za-z0-9/+=_-]))?+(?!=)")
+_PLAIN = re.compile(r"[A-Za-z0-9/+]{40}")
+_CHANGE = re.compile(r"[a-z](?=[A-Z0-9])|[A-Z](?=[a-z0-9])|[0-9](?=[A-Za-z])")
 _IDENTIFIER = re.compile(r"""(?ai:access_?key_?id|client_?id|account_?id|user_?name)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""")
 _ENDPOINT = re.compile(r"(?a:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9._~:/?#\[\]@!$&()*+,;=%-]+")
 _BLANK = re.compile(r"\n[ \t\r]*\n")
@@ -45,9 +48,16 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out + [("hex", m.start(), m.end()) for m in _LONG_HEX.finditer(text)]  # a run of 32 or more begins where the run does
 
 
+def secret_like(run: str) -> bool:
+    """Lower case, upper case and digits, changing at every fourth character or more; 40 characters of base64 need no changes."""
+    if not (re.search("[a-z]", run) and re.search("[A-Z]", run) and re.search("[0-9]", run)):
+        return False
+    return bool(_PLAIN.fullmatch(run)) or 4 * len(_CHANGE.findall(run)) >= len(run)
+
+
 def weak_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Weak candidates that do not touch a strong find; none if the text has no secret-like part at all."""
-    found = [("secret", m.start(), m.end()) for m in _SECRET.finditer(text) if re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[0-9]", m[0])]
+    found = [("secret", m.start(), m.end()) for m in _SECRET.finditer(text) if secret_like(m[0])]
     if not base and not found:
         return []
     found += [("identifier", m.start(), m.end()) for m in _IDENTIFIER.finditer(text)]

@@ -190,6 +190,20 @@ def test_weak_candidates_need_a_complementary_part(spark):
     }
 
 
+def test_secrets_of_env_files_and_other_lengths(spark):
+    rng = random.Random(3)
+    made = lambda n, more="": "aB3" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" + more) for _ in range(n - 3))
+    values = [made(40), made(32, "-_"), made(86, "+/") + "==", made(64), made(20), "abcdefghijklmnopqrstABCDEFGHIJKLMNOPQRS1"]
+    texts = [f"AWS_ACCESS_KEY_ID=AKIAABCDEFGHIJKL\nAWS_SECRET_ACCESS_KEY={v}\nAWS_REGION=eu" for v in values]
+    texts += ["AWS_ACCESS_KEY_ID=AKIAABCDEFGHIJKL\nexport SomeVeryLongSettingName1=on src/main/java8/SomeClassName"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in secrets.secret_scan(df).collect():
+        i, found = r["doc_id"], [r["text"][s["start"] : s["stop"]] for s in r["spans"] if s["kind"] == "secret"]
+        assert found == (values[i : i + 1])
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert all(masked[i] == "AWS_ACCESS_KEY_ID=[SECRET]\nAWS_SECRET_ACCESS_KEY=[SECRET]\nAWS_REGION=eu" for i in range(len(values)))
+
+
 def test_interval_join_equals_brute_force(spark):
     rng, rows = random.Random(5), []
     bits = ["https://e.org/x", "aB3" + "dEf9" * 9 + "x", "AKIAABCDEFGHIJKL", "client_id=abcd", "token=abcdefgh1", "\n\n", "0123456789abcdef" * 2]
