@@ -53,7 +53,7 @@ def op3_quality_rules(spark, sf_dir):
 
 @query("op4_secret_scan")
 def op4_secret_scan(spark, sf_dir):
-    found = secrets.secret_scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    found = secrets.secret_scan(table(spark, sf_dir, "documents"), carry=["doc_id"], reach=None)
     base = F.sha2(secrets.joined(F.col("base_spans")), 256).alias("base_sha256")
     return found.select("doc_id", "n_assign", "n_access", "n_hex", base, secrets.joined(F.col("spans")).alias("spans"))
 

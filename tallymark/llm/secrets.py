@@ -1,8 +1,9 @@
 """Secrets in text, and weak candidates that only count next to a complementary part.
 
 Strong finds (base kinds assign, access, hex) are reported as they are. Weak ones are secret-like strings, identifiers and
-endpoints; they are joined with the parts of the other roles by interval, within the scope (a run of text without blank
-lines), and reported when one lies near enough.
+endpoints; they are joined with the parts of the other roles within the scope (a run of text without blank lines) and
+reported when it holds one, or with a ``reach``, when one lies so near or overlaps. A secret-like value of an identifier is
+no complementary part of that identifier.
 
 Defined cases: null text is empty; texts without a find give zero counts and empty spans; repeated rows are reported each;
 an empty table gives an empty result; columns of the input named like an output are replaced. Places are code points.
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tallymark.llm.common import fresh, row_digest, text_or_empty
 from tallymark.session import written
 
-#: Characters between a weak candidate and its complementary part.
+#: Characters between a weak candidate and its complementary part, unless told otherwise; None: the whole scope, as in the query and the pipeline.
 REACH = 200
 
 # Fixed patterns of the base kinds.
@@ -39,7 +40,7 @@ _BLANK = re.compile(r"\n[ \t\r]*\n")
 
 #: What a weak kind needs nearby.
 NEEDS = {"secret": ("access", "identifier", "endpoint"), "identifier": ("assign", "hex", "secret"), "endpoint": ("assign", "secret")}
-SPAN = "struct<kind:string,start:bigint,stop:bigint,scope:bigint>"
+SPAN = "struct<kind:string,start:bigint,stop:bigint,scope:bigint,own:bigint,touched:boolean>"
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -72,6 +73,25 @@ def weak_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
     return free
 
 
+def overlaps(spans: list[tuple[str, int, int]]) -> list[tuple[int, bool]]:
+    """For each weak span: how many complementary parts are its own value or own identifier, and whether another one overlaps it."""
+    own, touched = [0] * len(spans), [False] * len(spans)
+    order = sorted(range(len(spans)), key=lambda i: spans[i][1])
+    open_: list[int] = []
+    for i in order:
+        kind, start, _ = spans[i]
+        open_ = [j for j in open_ if spans[j][2] > start]
+        for j in open_:
+            if spans[j][0] in NEEDS[kind] or kind in NEEDS[spans[j][0]]:
+                if "identifier" in (kind, spans[j][0]):
+                    own[i] += 1
+                    own[j] += 1
+                else:
+                    touched[i] = touched[j] = True
+        open_.append(i)
+    return list(zip(own, touched))
+
+
 def parts(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     """``carry``, the digest of the text, strong and weak spans with their scopes."""
 
@@ -83,11 +103,14 @@ def parts(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
                 more = weak_spans(t, base)
                 breaks = [m.end() for m in _BLANK.finditer(t)] if more else []
                 scoped = []
-                for spans in (base, more):
-                    scoped.append([{"kind": k, "start": s, "stop": e, "scope": sum(b <= s for b in breaks) if len(breaks) < 8 else _scope(breaks, s)} for k, s, e in spans])
+                for spans, over in ((base, [(0, False)] * len(base)), (more, overlaps(more))):
+                    scoped.append([
+                        {"kind": k, "start": s, "stop": e, "scope": sum(b <= s for b in breaks) if len(breaks) < 8 else _scope(breaks, s), "own": o, "touched": t}
+                        for (k, s, e), (o, t) in zip(spans, over)
+                    ])
                 strong.append(scoped[0])
                 weak.append(scoped[1])
-            kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("scope", pa.int64())]))
+            kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("scope", pa.int64()), ("own", pa.int64()), ("touched", pa.bool_())]))
             out = {c: batch.column(c) for c in (*carry, "__digest")} | {"strong": pa.array(strong, kind), "weak": pa.array(weak, kind)}
             yield pa.record_batch(list(out.values()), names=list(out))
 
@@ -102,14 +125,23 @@ def _scope(breaks: list[int], place: int) -> int:
     return bisect_right(breaks, place)
 
 
-def linked_weak(found: DataFrame, reach: int = REACH) -> DataFrame:
-    """Weak spans (digest, kind, start, stop) that have a complementary part in their scope within ``reach``.
+def linked_weak(found: DataFrame, reach: int | None = REACH) -> DataFrame:
+    """Weak spans (digest, kind, start, stop) that have a complementary part in their scope, within ``reach`` if that is given.
 
-    An interval join on bins of ``reach`` characters, from each end of the candidate; equal texts are joined once.
+    For whole scopes the parts of each kind are counted and the counts joined, so that no pairs arise. With a reach it is an
+    interval join on bins of ``reach`` characters, from each end of the candidate. Equal texts are joined once.
     """
     texts = found.filter(F.size("weak") > 0)
     weak = texts.select("__digest", F.explode("weak").alias("w")).select("__digest", "w.*").distinct()
     every = texts.select("__digest", F.explode(F.concat("strong", "weak")).alias("p")).select("__digest", "p.*").distinct()
+    if reach is None:
+        kinds = [k for k in KINDS if any(k in others for others in NEEDS.values())]
+        held = every.groupBy(F.col("__digest").alias("p_digest"), F.col("scope").alias("p_scope")).agg(*[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in kinds])
+        enough = F.col("touched")
+        for kind, others in NEEDS.items():
+            enough = enough | ((F.col("kind") == kind) & (sum((F.col(f"n_{k}") for k in others), F.lit(0)) > F.col("own")))
+        scopes = weak.join(held, (F.col("__digest") == F.col("p_digest")) & (F.col("scope") == F.col("p_scope")))
+        return scopes.filter(enough).select("__digest", "kind", "start", "stop")
     fits = F.lit(False)
     for kind, others in NEEDS.items():
         fits = fits | ((F.col("kind") == kind) & F.col("p_kind").isin(*others))
@@ -123,7 +155,7 @@ def linked_weak(found: DataFrame, reach: int = REACH) -> DataFrame:
                 near, (F.col("__digest") == F.col("p_digest")) & (F.col("scope") == F.col("p_scope")) & (F.col("bin") == F.col("p_bin")) & (gap >= 0) & (gap <= reach) & fits, "left_semi"
             ).drop("bin")
         )
-    return sides[0].unionByName(sides[1]).distinct().select("__digest", "kind", "start", "stop")
+    return sides[0].unionByName(sides[1]).unionByName(weak.filter("touched")).distinct().select("__digest", "kind", "start", "stop")
 
 
 def _sorted(spans: Column) -> Column:
@@ -137,7 +169,7 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def secret_scan(docs: DataFrame, text: str = "text", carry: list[str] | None = None, reach: int = REACH) -> DataFrame:
+def secret_scan(docs: DataFrame, text: str = "text", carry: list[str] | None = None, reach: int | None = REACH) -> DataFrame:
     """``carry`` (all columns by default), n_assign, n_access, n_hex, base_spans and spans, both sorted arrays of structs."""
     names = ("n_assign", "n_access", "n_hex", "base_spans", "spans")
     carry = fresh(docs, *names).columns if carry is None else carry
@@ -156,7 +188,7 @@ def secret_scan(docs: DataFrame, text: str = "text", carry: list[str] | None = N
     )
 
 
-def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", reach: int = REACH) -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", reach: int | None = REACH) -> DataFrame:
     """``docs`` with every reported span replaced by ``mask``; overlapping spans give one mask."""
     names = [f"c{i}" for i in range(len(docs.columns))]  # so that no column clashes with those of the scan
     schema, text = docs.schema, names[docs.columns.index(text)]

@@ -204,6 +204,33 @@ def test_secrets_of_env_files_and_other_lengths(spark):
     assert all(masked[i] == "AWS_ACCESS_KEY_ID=[SECRET]\nAWS_SECRET_ACCESS_KEY=[SECRET]\nAWS_REGION=eu" for i in range(len(values)))
 
 
+def test_whole_scopes_link_and_overlaps_count(spark):
+    key, gap = "aB3" + "dEf9" * 9 + "x", " filler" * 60
+    cases = {
+        0: f"https://example.com/a{gap} {key}", 1: f"https://example.com/a{gap}\n\n{key}", 2: f"https://svc:{key}@example.com/a", 3: f"client_id={key}", 4: f"client_id={key}{gap} {key}",
+        5: f"client_id={key}{gap} user_name=bob12", 6: f"user_name=bob12{gap} token=abcdefgh12",
+    }
+    df = spark.createDataFrame(list(cases.items()), "doc_id bigint, text string")
+    want = {0: ["endpoint", "secret"], 1: [], 2: ["endpoint", "secret"], 3: [], 4: ["identifier", "secret"], 5: ["identifier", "secret"], 6: ["assign", "identifier"]}
+    assert {r["doc_id"]: sorted(s["kind"] for s in r["spans"]) for r in secrets.secret_scan(df, reach=None).collect()} == want
+    near = {r["doc_id"]: sorted(s["kind"] for s in r["spans"]) for r in secrets.secret_scan(df).collect()}
+    assert near == want | {0: [], 4: [], 5: [], 6: ["assign"]}
+
+
+def test_whole_scopes_equal_brute_force(spark):
+    rng, rows = random.Random(6), []
+    bits = ["https://e.org/x", "aB3" + "dEf9" * 9 + "x", "AKIAABCDEFGHIJKL", "client_id=abcd", "token=abcdefgh1", "\n\n", "0123456789abcdef" * 2]
+    for i in range(60):
+        rows.append((i, " ".join(rng.choice(bits) if rng.random() < 0.1 else "w" * rng.randint(1, 30) for _ in range(60))))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for r in secrets.secret_scan(df, reach=None).collect():
+        base = secrets.base_spans(r["text"])
+        weak = secrets.weak_spans(r["text"], base)
+        scope = lambda s: sum(m.end() <= s for m in secrets._BLANK.finditer(r["text"]))
+        want = set(base) | {(k, s, e) for k, s, e in weak if any(k2 in secrets.NEEDS[k] and scope(s) == scope(s2) for k2, s2, _ in base + weak)}
+        assert {(s["kind"], s["start"], s["stop"]) for s in r["spans"]} == want
+
+
 def test_interval_join_equals_brute_force(spark):
     rng, rows = random.Random(5), []
     bits = ["https://e.org/x", "aB3" + "dEf9" * 9 + "x", "AKIAABCDEFGHIJKL", "client_id=abcd", "token=abcdefgh1", "\n\n", "0123456789abcdef" * 2]
