@@ -27,7 +27,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-SILENT = frozenset("script style noscript template textarea select button svg math iframe object audio video canvas head title".split())
+SILENT = frozenset("script style noscript template textarea select button svg math iframe object audio video canvas title".split())
+RAW = frozenset("script style textarea title".split())
 NOISE_TAGS = frozenset("nav header footer aside form menu fieldset dialog".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar toolbar dialog alert".split())
 NOISE_NAMES = frozenset(
@@ -67,26 +68,48 @@ def text_nodes(html: str) -> list[tuple[str, int, str]]:
     out: list[tuple[str, int, str]] = []
     stack: list[tuple[str, bool]] = []
     block, noisy, at, quiet = 0, 0, 0, ""
-    for m in _TOKEN.finditer(html):
-        if m.start() < at:
-            continue
+    inner: list[str] = []  # blocks opened inside the silent element
+    last: dict[str, int] = {}
+
+    def ended(tag: str) -> bool:
+        """Does an end tag of this name follow?"""
+        if tag not in last:
+            last[tag] = max((m.start() for m in re.finditer(f"</{tag}[\\s/>]", html, re.I)), default=-1)
+        return last[tag] >= at
+
+    while m := _TOKEN.search(html, at):
         if not quiet and not noisy and m.start() > at:
             out.append(("/".join(t for t, _ in stack if t in BLOCKS), block, html[at : m.start()]))
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag:
             continue
-        if quiet:
-            quiet = "" if m[1] and tag == quiet else quiet
+        if not m[1] and tag in RAW and not m[0].endswith("/>"):  # raw text up to the end tag
+            if ended(tag):
+                at = html.find(">", re.compile(f"</{tag}[\\s/>]", re.I).search(html, at).start()) + 1 or len(html)
+            elif not quiet:
+                at = len(html)
             continue
+        if quiet:
+            if m[1] and tag == quiet:
+                quiet = ""
+                continue
+            if m[1] and tag in BLOCKS:
+                if tag in inner:
+                    while inner.pop() != tag:
+                        pass
+                    continue
+                if not any(t == tag for t, _ in stack):
+                    continue
+            elif m[1] or tag != "body":
+                if tag in BLOCKS and tag not in VOID:
+                    inner.append(tag)
+                continue
+            quiet = ""  # the element was left open: <body> or the end of a block around it ends it
         if not m[1]:
             if tag in SILENT:
-                if m[0].endswith("/>"):
-                    continue
-                quiet = tag
-                if tag in ("script", "style", "textarea", "title"):  # raw text up to the end tag
-                    end = re.compile(f"</{tag}[\\s/>]", re.I).search(html, at)
-                    at, quiet = (html.find(">", end.start()) + 1 or len(html)) if end else len(html), ""
+                if not m[0].endswith("/>") and ended(tag):
+                    quiet, inner = tag, []
                 continue
             if tag == "br":
                 out.append(("", block, " ")) if not noisy else None

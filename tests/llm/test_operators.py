@@ -284,6 +284,18 @@ def test_main_text(spark):
     assert extraction.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("html", [
+    "<html><head><title>t</title><body><p>Story, one.</p><p>Two.</p></body></html>",
+    "<head><meta charset=x><script>if (i<n) s='it'+\"</p>\"; <!-- open</script><title>t</title></head><body><p>Story, one.</p><p>Two.</p>",
+    "<head><script>for(;i<n;) x = \"don't</script><body><p>Story, one.</p><p>Two.</p>",
+    "<head><noscript><img src=x><body><p>Story, one.</p><p>Two.</p><noscript>no</noscript>",
+    "<body><div><button>no</div><p>Story, one.</p><p>Two.</p><button>no</button>", "<div><div><select><option>no<div>no</div></div><p>Story, one.</p></div><p>Two.</p><select></select>",
+    "<iframe src=x><p>Story, one.</p><p>Two.</p>", "<noscript><div><p>no</p></div><script>'</noscript>'</script></noscript><p>Story, one.</p><p>Two.</p>",
+])
+def test_open_heads_and_silent_elements_keep_the_page(html):
+    assert [b["text"] for b in extraction.blocks(html)] == ["Story, one.", "Two."]
+
+
 def test_html_cutter_is_fast_on_odd_input():
     assert extraction.blocks("<a \"'" * 30_000) is not None
     assert extraction.blocks("<p>x" * 30_000)[-1]["text"] == "x"
