@@ -1,8 +1,8 @@
 """Main text of web pages by tag-path ratios.
 
 A page is cut into text nodes, each with the path of block tags from the root to its leaf. Spark sums characters,
-punctuation and nodes of each path of a page, smooths the ratios along the page, fuses the paths of one container and keeps
-the containers that hold enough of the page's best one. Paths through boilerplate tags or names never count.
+punctuation and nodes of each path of a page, smooths the ratios along the page, fuses each path with its ancestors and keeps
+the whole lowest subtree that holds enough of the page's score. Paths through boilerplate tags or names never count.
 
 Defined cases: null, empty and tagless html give what text they have; pages without content give empty text; repeated rows
 are extracted each; an empty table gives an empty result; columns named like an output are replaced.
@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from tallymark.llm.common import fresh
 
-#: A container stays if its fused score is at least this share of the page's best.
+#: The content is the lowest subtree whose fused score is at least this share of the page's.
 SHARE = 0.5
+#: Weights of the scores of paths through these tags.
+PRIOR = {"article": 1.5, "main": 1.2}
 
 # Fixed lists: tags that begin and end blocks, tags whose content is never text, names of boilerplate.
 BLOCKS = frozenset(
@@ -180,7 +182,7 @@ def page_blocks(pages: DataFrame, html: str, carry: list[str]) -> DataFrame:
 
 
 def content_containers(cut: DataFrame, share: float = SHARE) -> DataFrame:
-    """Containers of each distinct page (by __page) whose fused and smoothed score reaches ``share`` of the best.
+    """``content``: the path of the lowest subtree of each distinct page (by __page) that holds ``share`` of its smoothed score.
 
     Copies of a page are summed together, and the sums divided by their number.
     """
@@ -193,18 +195,21 @@ def content_containers(cut: DataFrame, share: float = SHARE) -> DataFrame:
     ratio = F.col("chars") * (1 + F.col("marks")) / F.col("nodes")
     near = lambda f: F.coalesce(f("ratio").over(along), F.col("ratio"))
     paths = paths.withColumn("ratio", ratio).withColumn("smooth", 0.5 * F.col("ratio") + 0.25 * near(F.lag) + 0.25 * near(F.lead))
-    fused = paths.groupBy("__page", container(F.col("path")).alias("container")).agg(F.sum("smooth").alias("score"))
-    weight = F.when(F.col("container").rlike("(^|/)article$"), 1e6).when(F.col("container").rlike("(^|/)main$"), 1e3).otherwise(1.0)
-    fused = fused.withColumn("score", F.col("score") * weight)
-    best = fused.groupBy("__page").agg(F.max("score").alias("best"))
-    return fused.join(best, "__page").filter(F.col("score") >= share * F.col("best")).groupBy("__page").agg(F.collect_set("container").alias("containers"))
+    for tag, weight in PRIOR.items():
+        paths = paths.withColumn("smooth", F.when(F.col("path").rlike(f"(^|/){tag}(/|$)"), weight).otherwise(1.0) * F.col("smooth"))
+    steps = F.filter(F.split(container(F.col("path")), "/"), lambda x: x != "")
+    up = F.transform(F.sequence(F.lit(0), F.size("steps")), lambda n: F.array_join(F.slice("steps", 1, n), "/"))
+    above = paths.withColumn("steps", steps).select("__page", "smooth", F.posexplode(up).alias("depth", "top"))
+    trees = above.groupBy("__page", "top", "depth").agg(F.sum("smooth").alias("score"))
+    page = trees.groupBy("__page").agg(F.collect_list(F.struct("depth", "score", "top")).alias("trees"), F.max(F.when(F.col("depth") == 0, F.col("score"))).alias("whole"))
+    enough = F.filter("trees", lambda t: (t["depth"] == 0) | (t["score"] >= share * F.col("whole")))
+    return page.select("__page", F.array_max(enough)["top"].alias("content"))
 
 
 def container(path):
-    """Path of the outermost article, else of main, else of the parent of the leaf."""
-    article = F.regexp_extract(path, r"^((?:.*?/)?article)(?:/|$)", 1)
-    main = F.regexp_extract(path, r"^((?:.*?/)?main)(?:/|$)", 1)
-    return F.when(article != "", article).when(main != "", main).otherwise(F.regexp_replace(path, "(^|/)[^/]*$", ""))
+    """Path of the innermost body, main, article or div above the leaf; sections, lists, tables and quotes are parts of it."""
+    parent = F.regexp_replace(path, "(^|/)[^/]*$", "")
+    return F.regexp_replace(parent, "(?:(?:^|/)(?!(?:html|body|main|article|div|center|search)(?:/|$))[^/]+)++$", "")
 
 
 def main_text(pages: DataFrame, html: str = "html", carry: list[str] | None = None, share: float = SHARE) -> DataFrame:
@@ -213,6 +218,7 @@ def main_text(pages: DataFrame, html: str = "html", carry: list[str] | None = No
     # Cut twice: once for the paths, once for the texts, which so need not be stored in between.
     kept = content_containers(page_blocks(pages, html, []), share)
     out = page_blocks(pages, html, carry).join(kept.withColumnRenamed("__page", "__kept_page"), F.col("__page") == F.col("__kept_page"), "left")
-    inside = F.filter("__blocks", lambda b: F.array_contains(F.col("containers"), container(b["path"])))
+    under = lambda path: (F.col("content") == "") | F.startswith(F.concat(container(path), F.lit("/")), F.concat("content", F.lit("/")))
+    inside = F.filter("__blocks", lambda b: under(b["path"]))
     text = F.coalesce(F.array_join(F.transform(inside, lambda b: b["text"]), "\n"), F.lit(""))
     return out.select(*[F.col(f"`{c}`") for c in carry], text.alias("text")).withColumn("n_chars", F.char_length("text").cast("bigint"))

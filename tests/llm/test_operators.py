@@ -284,6 +284,22 @@ def test_main_text(spark):
     assert extraction.main_text(df.limit(0)).count() == 0
 
 
+def test_ratios_choose_the_content_subtree(spark):
+    line = "Once upon a time, there was a story; it went on, and on. " * 5
+    story = "<h1>Head</h1>" + f"<p>{line}</p>" * 10
+    parts = "<ul>" + "<li>An item of a list, which has about sixty characters in all.</li>" * 8 + "</ul><table><tr><td>cell</td></tr></table><blockquote><p>Quote.</p></blockquote><section><p>Section.</p></section>"
+    teasers = "<article><h2>Teaser</h2><p>Read more of this, or of that.</p></article>" * 6
+    pages = {
+        0: f"<body><div>{story}{parts}</div><div><div><p>More, news.</p></div></div></body>", 1: f"<body><div>{story}{parts}</div>{teasers}</body>",
+        2: f"<body>{teasers}<div>{story}</div></body>", 3: f"<body><article><div>{story}</div><div>{parts}</div></article><div><p>Short.</p></div></body>",
+    }
+    df = spark.createDataFrame(list(pages.items()), "page_id bigint, html string")
+    got = {r["page_id"]: r["text"] for r in extraction.main_text(df).collect()}
+    for i in (0, 1, 3):
+        assert got[i].count("Once upon") == 50 and got[i].count("An item") == 8 and all(x in got[i] for x in ("Head", "cell", "Quote.", "Section."))
+    assert got[2].count("Once upon") == 50 and not any("Teaser" in got[i] or "Short" in got[i] for i in got)
+
+
 @pytest.mark.parametrize("html", [
     "<html><head><title>t</title><body><p>Story, one.</p><p>Two.</p></body></html>",
     "<head><meta charset=x><script>if (i<n) s='it'+\"</p>\"; <!-- open</script><title>t</title></head><body><p>Story, one.</p><p>Two.</p>",
