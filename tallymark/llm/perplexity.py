@@ -23,11 +23,11 @@ from pyspark.sql import types as T
 from tallymark.llm.common import STEP, Texts, fresh, mixed, runs
 from tallymark.session import attach, written
 
-ORDER = 4
+ORDER = 5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Width of the band above and below the median, in quartile ranges, and its least width as a share of the median.
-UPPER, LOWER, LEAST = 5.0, 6.5, 0.08
+UPPER, LOWER, LEAST = 4.5, 6.5, 0.1
 #: Model rows that the driver gathers (52 bytes each) and one broadcast holds (24 bytes each); a larger model is scored in several passes.
 SHARD_ROWS = 2_000_000
 #: Distinct n-grams that a counting task gathers before it hands them on.

@@ -155,6 +155,10 @@ def test_bands_reject_junk_and_keep_clean_documents(spark):
     assert all(kept[i] for i, _, _ in clean) and not any(kept[i] for i, _, _ in symbols)
 
 
+def test_order_and_bands_of_the_quality_rules():
+    assert (perplexity.ORDER, perplexity.UPPER, perplexity.LOWER, perplexity.LEAST) == (5, 4.5, 6.5, 0.1)
+
+
 def test_quality_rules_of_nothing(no_docs):
     assert perplexity.quality_rules(no_docs).count() == 0
 
