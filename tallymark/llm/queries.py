@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import chat, decontaminate, extraction, minmax, packing, perplexity, secrets, sharding, warc
+from tallymark.llm import chat, decontaminate, extraction, filter_audit, minmax, packing, perplexity, repair, secrets, sharding, simhash, warc
 from tallymark.llm.common import table
 from tallymark.llm.token_counts import token_counts
 from tallymark.session import scratch_path
@@ -121,3 +121,76 @@ SELECT conv_id, len(l)::BIGINT AS n_turns, chat FROM ranked WHERE r = 1 AND h NO
 """)
 def op10_chat_formatting(spark, sf_dir):
     return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
+REPAIR_SQL = r"""
+WITH RECURSIVE polynomial AS (SELECT 0 AS k, range AS byte, range AS c FROM range(256)
+    UNION ALL SELECT k + 1, byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM polynomial WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY byte) AS t FROM polynomial WHERE k = 8),
+keyed AS (SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text, COALESCE(conv_id::VARCHAR, ' ') || ':' || COALESCE(turn::VARCHAR, ' ') AS k FROM conversations),
+drawn AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda x: unicode(x)::BIGINT)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS draw FROM keyed, crc),
+dealt AS (SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+    CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN draw = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM drawn WHERE draw <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM dealt),
+faulty AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN regexp_matches(text, '[^\x20\x09-\x0D.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+    lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+counted AS (SELECT conv_id, count(*) AS n, COALESCE(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || role[1:1] NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id),
+moves(letter, given, made, new_role, cost) AS (VALUES ('K', 's', 0, NULL, 0), ('K', 'u', 2, NULL, 0), ('K', 'a', 3, NULL, 0), ('R', NULL, 2, 'user', 3), ('R', NULL, 3, 'assistant', 3), ('D', NULL, NULL, NULL, 4)),
+allowed(made, from_state, to_state) AS (VALUES (0, 0, 1), (2, 0, 2), (2, 1, 2), (2, 3, 2), (3, 2, 3)),
+steps AS (SELECT letter, given, new_role, cost, s AS from_state, CASE WHEN letter = 'D' THEN s ELSE to_state END AS to_state
+    FROM moves, range(4) AS r(s) LEFT JOIN allowed ON allowed.from_state = s AND allowed.made IS NOT DISTINCT FROM moves.made WHERE letter = 'D' OR to_state IS NOT NULL),
+inserts AS (SELECT s AS from_state, CASE WHEN s = 2 THEN 3 ELSE 2 END AS to_state, CASE WHEN s = 2 THEN 'assistant:' ELSE 'user:' END AS line FROM range(4) AS r(s)),
+dp AS (SELECT conv_id, 0::BIGINT AS i, 0::BIGINT AS state, {'cost': 0, 'audit': '', 'lines': []::VARCHAR[]} AS best FROM counted
+    UNION ALL
+    SELECT conv_id, i, to_state, min({'cost': cost, 'audit': audit, 'lines': lines}) FROM (
+        SELECT w.conv_id, f.i, s.to_state, w.cost + s.cost + CASE WHEN s.letter <> 'D' AND f.fault = 'truncated' THEN 3 ELSE 0 END AS cost, w.audit || s.letter AS audit,
+            CASE WHEN s.letter = 'D' THEN w.lines ELSE list_append(w.lines, COALESCE(s.new_role, f.role) || ':' || f.text) END AS lines
+        FROM (SELECT conv_id, i, state, best.cost AS cost, best.audit AS audit, best.lines AS lines FROM dp
+              UNION ALL SELECT conv_id, i, to_state, best.cost + 3, best.audit || 'I', list_append(best.lines, line) FROM dp JOIN inserts ON from_state = state) w
+        JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+        JOIN steps s ON s.from_state = w.state AND (s.letter = 'D' OR (f.fault NOT IN ('blank', 'duplicate') AND (s.given IS NULL OR s.given = f.role[1:1])))
+    ) GROUP BY conv_id, i, to_state),
+ends AS (SELECT d.conv_id, min(CASE WHEN state = 2 THEN {'cost': best.cost + 3, 'audit': best.audit || 'I', 'lines': list_append(best.lines, 'assistant:')} ELSE best END) AS best
+    FROM dp d JOIN counted c ON c.conv_id IS NOT DISTINCT FROM d.conv_id AND d.i = c.n WHERE state <> 1 GROUP BY d.conv_id)
+SELECT o.conv_id, COALESCE(gaps, 0)::BIGINT AS gaps, COALESCE(blank, 0)::BIGINT AS blank, COALESCE(duplicate, 0)::BIGINT AS duplicate, COALESCE(truncated, 0)::BIGINT AS truncated,
+    COALESCE(illegal, 0)::BIGINT AS illegal, COALESCE(best.cost, 0)::BIGINT AS cost, COALESCE(best.audit, '') AS audit, sha256(COALESCE(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@query("op11_structure_repair", REPAIR_SQL)
+def op11_structure_repair(spark, sf_dir):
+    turns = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.audits(repair.blocks(turns)).withColumnRenamed("conv", "conv_id")
+
+
+@query("op12_filter_audit", r"""
+WITH words AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS text, [w FOR w IN regexp_split_to_array(COALESCE(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS w FROM documents),
+flags AS (SELECT part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+        regexp_matches(text, '[#$%&*|]'), COALESCE(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic FROM words),
+letters AS (SELECT unnest(range(1, 6)) AS f),
+orders AS (SELECT [a.f, b.f, c.f, d.f, e.f] AS o FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+masks AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM flags GROUP BY part, fails),
+ranked AS (SELECT part, fails, n, n_good, n_toxic, o, COALESCE(list_position([fails[f] FOR f IN o], true), 6) AS rank FROM masks, orders),
+steps AS (SELECT part, o, step, sum(n) FILTER (rank > step) AS kept, sum(n) FILTER (rank = step) AS removed, sum(n) FILTER (fails[o[step]] AND rank < step) AS redundant,
+    sum(n) FILTER (fails[o[step]] AND len([x FOR x IN fails IF x]) = 1) AS unique_fails, sum(n_good) FILTER (rank = step) AS good_lost, sum(n_toxic) FILTER (rank = step) AS toxic_lost
+    FROM ranked, range(1, 6) AS s(step) GROUP BY part, o, step),
+shares AS (SELECT part, o[step] AS f, sum(removed) AS shapley FROM steps GROUP BY part, o[step])
+SELECT s.part, array_to_string([substr('ABCDE', f, 1) FOR f IN o], '') AS filter_order, step::INTEGER AS step, COALESCE(kept, 0)::BIGINT AS kept, COALESCE(removed, 0)::BIGINT AS removed,
+    COALESCE(redundant, 0)::BIGINT AS redundant, COALESCE(unique_fails, 0)::BIGINT AS unique_fails, COALESCE(good_lost, 0)::BIGINT AS good_lost,
+    COALESCE(toxic_lost, 0)::BIGINT AS toxic_lost, COALESCE(shapley, 0)::BIGINT AS shapley
+FROM steps s JOIN shares h ON h.part = s.part AND h.f = s.o[s.step]
+""")
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_simhash_dedup")
+def op13_simhash_dedup(spark, sf_dir):
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))

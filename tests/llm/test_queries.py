@@ -30,7 +30,7 @@ def test_every_operator_and_the_pipeline_are_registered():
     import __spark_entry__ as entry
 
     numbers = {int(n[2:].split("_")[0]) for n in QUERIES}
-    assert numbers == set(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert numbers == set(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 def test_sharding_query(spark, data, texts):
