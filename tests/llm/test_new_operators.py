@@ -257,13 +257,13 @@ def near_prints(seed, n, centres, most):
 
 @pytest.mark.parametrize("limit", [simhash.LIMIT, 20])
 def test_links_lose_nothing_in_hot_buckets(spark, limit):
-    prints = near_prints(1, 600, 3, 6) + [random.Random(2).getrandbits(64) for _ in range(50)]
+    rng = random.Random(2)
+    prints = near_prints(1, 600, 3, 6) + [rng.getrandbits(64) for _ in range(50)]
     signed = [int(np.uint64(p).view(np.int64)) for p in prints]
     edges = simhash.links(spark.createDataFrame([(p,) for p in signed], "fp bigint"), limit).collect()
     at = {p: i for i, p in enumerate(signed)}
     label = simhash.merged(np.arange(len(prints)), np.array([at[e["a"]] for e in edges]), np.array([at[e["b"]] for e in edges]))
     assert label.tolist() == grouped(prints)
-    assert all((prints[at[e["a"]]] ^ prints[at[e["b"]]]).bit_count() <= 64 for e in edges)
 
 
 def test_bit_slices_count_distances():
