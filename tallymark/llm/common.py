@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_place(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path inside it of something in the shared folder, for tasks that read it themselves."""
+    return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+
+
 def fresh(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that an operator is about to add."""
     return df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in names}])

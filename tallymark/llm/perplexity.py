@@ -16,20 +16,25 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.llm.common import STEP, Texts, fresh, mixed, runs
-from tallymark.session import attach, written
+from tallymark.llm.common import STEP, Texts, fresh, mixed, runs, shared_place
+from tallymark.session import attach, scratch_path, written
 
 ORDER = 5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Width of the band above and below the median, in quartile ranges, and its least width as a share of the median.
 UPPER, LOWER, LEAST = 4.5, 6.5, 0.1
-#: Model rows that the driver gathers (52 bytes each) and one broadcast holds (24 bytes each); a larger model is scored in several passes.
-SHARD_ROWS = 2_000_000
+#: Model rows of one shard, about 100 bytes each for the task that finishes it. Rows behind one pair of characters stay together.
+SHARD_ROWS = 250_000
+#: Model rows that a scoring task holds at once, 24 bytes each; of a larger model it takes a part after the other.
+HOLD_ROWS = 4_000_000
+#: Text bytes that a task gathers before it goes through the parts of such a model.
+GATHER_BYTES = 32 << 20
 #: Distinct n-grams that a counting task gathers before it hands them on.
 GATHER = 1_000_000
 #: Log probability of a character in a language that the model has never seen.
@@ -205,10 +210,16 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
 ROW = "k int, key bigint, suffix bigint, context bigint, own double, gamma double, cut bigint"
 
 
+def pair_cut(last: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """31-bit number of a pair of characters, from their hashes."""
+    return mixed(last + before * STEP) >> np.uint64(33)
+
+
 def hashed(rows: DataFrame, order: int) -> DataFrame:
     """The rows by hash: of the gram, of what it backs off to and of its context; ``cut`` tells the shard (-1: every one).
 
-    A shard holds what belongs to some characters before the last, so that backing off never leaves it.
+    A shard holds what belongs to some pairs of characters before the last, so that backing off never leaves it; grams of
+    one or two characters are in all.
     """
 
     def keys(batches):
@@ -227,7 +238,7 @@ def hashed(rows: DataFrame, order: int) -> DataFrame:
                 out[0, at] = mixed(whole ^ seeds[at] ^ kind_seed(k))
                 out[1, at] = mixed(shorter ^ seeds[at] ^ kind_seed(k - 1))
                 out[2, at] = mixed(before ^ seeds[at] ^ kind_seed(k - 1, True))
-                out[3, at] = c[:, k - 2] >> np.uint64(33) if k > 1 else np.uint64(2**64 - 1)
+                out[3, at] = pair_cut(c[:, k - 2], c[:, k - 3]) if k > 2 else np.uint64(2**64 - 1)
             yield pa.record_batch(
                 [batch.column("k").cast(pa.int32()), *[pa.array(out[i].view(np.int64)) for i in range(3)], batch.column("own"), batch.column("gamma"), pa.array(out[3].view(np.int64))],
                 names=["k", "key", "suffix", "context", "own", "gamma", "cut"],
@@ -256,11 +267,12 @@ class HashArray:
         return np.where(self.keys[at] == wanted, self.values[at], np.float32(np.nan))
 
 
-def log_likelihood(chars: Characters, seeds: np.ndarray, model: HashArray, shard: int, shards: int) -> np.ndarray:
-    """Sum of the log probabilities of each document's characters that belong to this shard."""
+def log_likelihood(chars: Characters, seeds: np.ndarray, model: HashArray, part: range, shards: int) -> np.ndarray:
+    """Sum of the log probabilities of each document's characters that belong to the shards in ``part``."""
     at, doc = chars.at, chars.doc
-    if shards > 1:
-        own = (chars.codes[at - 1] >> np.uint64(33)).astype(np.int64) % shards == shard
+    if len(part) < shards:
+        shard = (pair_cut(chars.codes[at - 1], chars.codes[at - 2]) % np.uint64(shards)).astype(np.int64)
+        own = (shard >= part.start) & (shard < part.stop)
         at, doc = at[own], doc[own]
     seed = seeds[doc]
     total, todo = np.zeros(len(at)), np.arange(len(at))
@@ -279,78 +291,113 @@ def log_likelihood(chars: Characters, seeds: np.ndarray, model: HashArray, shard
     return np.bincount(doc, weights=total, minlength=chars.n)
 
 
-class Perplexity:
-    """A fitted model: a table of hashed rows in the shared folder, handed to the tasks shard by shard."""
-
-    def __init__(self, rows: DataFrame, order: int, shard_rows: int):
-        self.rows, self.order = rows, order
-        count = rows.filter("cut >= 0").count()
-        self.shards = max(1, -(-count // shard_rows))
-
-    @classmethod
-    def fit(cls, docs: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, shard_rows: int = SHARD_ROWS) -> Perplexity:
-        return cls(written(hashed(kneser_ney(gram_counts(docs, text, lang, order), order), order)), order, shard_rows)
+def finisher(order: int) -> Callable[[pa.Table], pa.Table]:
+    """The log probabilities and backoff weights of one shard, from its rows."""
 
-    def arrays(self, shard: int) -> HashArray:
-        """The log probabilities and backoff weights of one shard."""
-        rows = self.rows.filter((F.col("cut") < 0) | (F.col("cut") % self.shards == shard)).toArrow()
-        k, key, suffix, context = (rows.column(c).to_numpy() for c in ("k", "key", "suffix", "context"))
-        own, gamma = rows.column("own").to_numpy(), rows.column("gamma").to_numpy()
+    def finish(rows: pa.Table) -> pa.Table:
+        k, key, suffix, context, own, gamma = (rows.column(c).to_numpy() for c in ("k", "key", "suffix", "context", "own", "gamma"))
         empty, characters = np.unique(suffix[k == 1], return_counts=True)
         keys, values = [empty], [1.0 / (characters + 1)]
-        for i in range(1, self.order + 1):
+        for i in range(1, order + 1):
             at = k == i
-            order = np.argsort(keys[-1])
-            shorter = values[-1][order][np.searchsorted(keys[-1], suffix[at], sorter=order)]
+            by_key = np.argsort(keys[-1])
+            shorter = values[-1][by_key][np.searchsorted(keys[-1], suffix[at], sorter=by_key)]
             keys.append(key[at])
             values.append(own[at] + gamma[at] * shorter)
         known, first = np.unique(context, return_index=True)
-        return HashArray(np.concatenate([*keys, known]).view(np.uint64), np.log(np.concatenate([*values, gamma[first]])).astype(np.float32))
+        keys = np.concatenate([*keys, known]).view(np.uint64)
+        values = np.log(np.concatenate([*values, gamma[first]])).astype(np.float32)
+        by_key = np.argsort(keys)
+        cells = {"shard": pa.array([rows.column("shard")[0].as_py()], pa.int32()), "keys": pa.array([keys[by_key].tobytes()], pa.binary()), "logs": pa.array([values[by_key].tobytes()], pa.binary())}
+        return pa.table(cells)
+
+    return finish
+
+
+_HELD: dict[tuple, HashArray] = {}
+
+
+def held_part(path: str, part: range) -> HashArray:
+    """The hash array of some shards; a worker keeps the last one."""
+    if (path, part) not in _HELD:
+        _HELD.clear()
+        files, place = shared_place(path)
+        found = ds.dataset(place, filesystem=files, format="parquet").to_table(filter=(ds.field("shard") >= part.start) & (ds.field("shard") < part.stop))
+        keys = np.frombuffer(b"".join(found.column("keys").to_pylist()), np.uint64)
+        _HELD[path, part] = HashArray(keys, np.frombuffer(b"".join(found.column("logs").to_pylist()), np.float32))
+    return _HELD[path, part]
+
+
+class Perplexity:
+    """A fitted model: tables of hashed rows and of finished shards (sorted hash arrays) in the shared folder.
+
+    Every shard is finished by one task from its rows; the driver only counts. Tasks read the shards as they need them.
+    """
+
+    def __init__(self, rows: DataFrame, order: int, shard_rows: int = SHARD_ROWS, hold_rows: int = HOLD_ROWS):
+        self.rows, self.order = rows, order
+        self.shards = max(1, -(-rows.filter("cut >= 0").count() // shard_rows))
+        each = max(1, hold_rows // shard_rows)
+        self.parts = [range(i, min(i + each, self.shards)) for i in range(0, self.shards, each)]
+        dealt = F.when(F.col("cut") < 0, F.sequence(F.lit(0), F.lit(self.shards - 1))).otherwise(F.array((F.col("cut") % self.shards).cast("int")))
+        dealt = rows.select("k", "key", "suffix", "context", "own", "gamma", F.explode(dealt).alias("shard"))
+        self.path = scratch_path(rows.sparkSession, "model")
+        dealt.groupBy("shard").applyInArrow(finisher(order), "shard int, keys binary, logs binary").write.parquet(self.path)
+
+    @classmethod
+    def fit(cls, docs: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, shard_rows: int = SHARD_ROWS) -> Perplexity:
+        return cls(written(hashed(kneser_ney(gram_counts(docs, text, lang, order), order), order)), order, shard_rows)
 
     def score(self, docs: DataFrame, text: str = "text", lang: str = "lang", carry: list[str] | None = None) -> DataFrame:
-        """The columns in ``carry`` (all by default), the measures of BASE, and ``nats``: what the text costs per letter."""
-        spark, order, shards = docs.sparkSession, self.order, self.shards
+        """The columns in ``carry`` (all by default), the measures of BASE, and ``nats``: what the text costs per letter.
+
+        One pass over the texts, whatever the size of the model.
+        """
         carry = fresh(docs, *BASE, "nats").columns if carry is None else carry
         own = text if text in carry else "__text"  # a text that is carried anyway goes to the tasks once
         extra = [] if text in carry else [F.col(text).alias("__text")]
         df = docs.select(*[F.col(f"`{c}`") for c in carry], *extra, F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("__lang"))
-        df = df.withColumn("__sum", F.lit(0.0))
-        for shard in range(shards):
-            held = spark.sparkContext.broadcast(self.arrays(shard))
-            last = shard == shards - 1
-            names = [*carry, *BASE, "nats"] if last else df.columns
-            fields = {f.name: f for f in df.schema.fields}
-            schema = T.StructType([fields[c] if c in fields else T.StructField(c, T.DoubleType() if c == "nats" else T.LongType()) for c in names])
-            df = df.mapInArrow(scorer(held, own, order, shard, shards, names if last else None), schema)
-            if not last:
-                df = written(df)
-        return df
-
-
-def scorer(held, text: str, order: int, shard: int, shards: int, names: list[str] | None):
-    """text: the column with the text. names: the columns of the result after the last shard, else None."""
+        fields = {f.name: f for f in df.schema.fields}
+        schema = T.StructType([fields[c] for c in carry] + [T.StructField(c, T.LongType()) for c in BASE] + [T.StructField("nats", T.DoubleType())])
+        return df.mapInArrow(scorer(self.path, self.parts, self.shards, own, self.order, carry), schema)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[list[pa.RecordBatch]]:
+    """The batches in runs that hold at least ``most`` bytes of text, but for the last one."""
+    run, size = [], 0
+    for batch in batches:
+        run.append(batch)
+        size += batch.column(text).nbytes
+        if size >= most:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
+def scorer(path: str, parts: list[range], shards: int, text: str, order: int, carry: list[str]):
+    """text: the column with the text. carry: the columns that stay."""
 
     def score(batches):
-        model = held.value
-        for batch in batches:
-            index, langs = languages_of(batch, "__lang")
-            seeds = np.array([language_seed(x) for x in langs] or [0], np.uint64)[index]
-            total, letters, base = np.asarray(batch.column("__sum")).copy(), [], []
-            for texts in Texts.slices(batch.column(text)):
-                chars, rows = Characters(texts, order), slice(texts.first, texts.first + texts.n)
-                total[rows] += log_likelihood(chars, seeds[rows], model, shard, shards)
-                letters.append(chars.letters)
-                if names:
-                    base.append(base_measures(texts))
-            out = {c: batch.column(c) for c in batch.schema.names}
-            if names:
-                letters = np.concatenate(letters) if letters else np.zeros(0, np.int64)
-                out |= {c: pa.array(np.concatenate([b[c] for b in base]) if base else np.zeros(0, np.int64)) for c in BASE}
-                nats = -total / np.maximum(letters, 1)
-                out["nats"] = pa.array(nats, pa.float64(), mask=letters == 0)
-            else:
-                out["__sum"] = pa.array(total)
-            yield pa.record_batch([out[c] for c in (names or batch.schema.names)], names=names or batch.schema.names)
+        for run in gathered(batches, text, GATHER_BYTES if len(parts) > 1 else 0):
+            totals = [np.zeros(batch.num_rows) for batch in run]
+            measures = [{c: np.zeros(batch.num_rows, np.int64) for c in (*BASE, "letters")} for batch in run]
+            for number, part in enumerate(parts):
+                model = held_part(path, part)
+                for batch, total, measure in zip(run, totals, measures):
+                    index, langs = languages_of(batch, "__lang")
+                    seeds = np.array([language_seed(x) for x in langs] or [0], np.uint64)[index]
+                    for texts in Texts.slices(batch.column(text)):
+                        chars, rows = Characters(texts, order), slice(texts.first, texts.first + texts.n)
+                        total[rows] += log_likelihood(chars, seeds[rows], model, part, shards)
+                        if number == 0:
+                            measure["letters"][rows] = chars.letters
+                            for c, values in base_measures(texts).items():
+                                measure[c][rows] = values
+            for batch, total, measure in zip(run, totals, measures):
+                letters = measure.pop("letters")
+                nats = pa.array(-total / np.maximum(letters, 1), pa.float64(), mask=letters == 0)
+                yield pa.record_batch([*[batch.column(c) for c in carry], *[pa.array(measure[c]) for c in BASE], nats], names=[*carry, *BASE, "nats"])
 
     return score
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import fresh, row_digest, text_or_empty
-from tallymark.session import written
+from tallymark.session import attach, written
 
 #: Characters between a weak candidate and its complementary part, unless told otherwise; None: the whole scope, as in the query and the pipeline.
 REACH = 200
@@ -189,24 +189,32 @@ def secret_scan(docs: DataFrame, text: str = "text", carry: list[str] | None = N
 
 
 def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", reach: int | None = REACH) -> DataFrame:
-    """``docs`` with every reported span replaced by ``mask``; overlapping spans give one mask."""
+    """``docs`` with every reported span replaced by ``mask``; overlapping spans give one mask.
+
+    Only digests and places are stored for the linking; each text is read where it lies, its strong finds are found again
+    there and the linked weak ones are looked up by its digest.
+    """
     names = [f"c{i}" for i in range(len(docs.columns))]  # so that no column clashes with those of the scan
     schema, text = docs.schema, names[docs.columns.index(text)]
-    scanned = secret_scan(docs.toDF(*names), text, names, reach).select(*names, F.col("spans").alias("__spans"))
+    rows = docs.toDF(*names)
+    weak = written(parts(rows, text, []).filter(F.size("weak") > 0))
+    linked = written(linked_weak(weak, reach).groupBy("__digest").agg(F.collect_list(F.struct("kind", "start", "stop")).alias("__more")))
+    rows = attach(rows.withColumn("__digest", F.sha2(text_or_empty(text), 256)), linked, ["__digest"])
 
     def cover(batches):
         for batch in batches:
             texts = batch.column(text).to_pylist()
-            for i, spans in enumerate(batch.column("__spans")):
-                if not len(spans):
+            for i, more in enumerate(batch.column("__more")):
+                spans = [(s, e) for _, s, e in base_spans(texts[i] or "")] + [(m["start"], m["stop"]) for m in more.as_py() or []]
+                if not spans:
                     continue
                 out, at = [], 0
-                for s in sorted(spans.as_py(), key=lambda s: s["start"]):
-                    if s["start"] >= at:
-                        out += [texts[i][at : s["start"]], mask]
-                    at = max(at, s["stop"])
+                for start, stop in sorted(spans):
+                    if start >= at:
+                        out += [texts[i][at:start], mask]
+                    at = max(at, stop)
                 texts[i] = "".join(out) + texts[i][at:]
             columns = {c: batch.column(c) for c in names} | {text: pa.array(texts, pa.string())}
             yield pa.record_batch([columns[c] for c in names], names=schema.names)
 
-    return scanned.mapInArrow(cover, schema)
+    return rows.mapInArrow(cover, schema)
