@@ -7,6 +7,7 @@ from queries.views import (
     V_EMB, V_ORD, V_RES, embeddings_view, orders_table, orders_view, results_view, rounded, table,
 )
 from tallymark.operators import neighbours, results
+from tallymark.session import written
 
 KNN = """
 WITH {v}, d AS (
@@ -106,3 +107,21 @@ def model_scenario_matrix(spark, sf_dir):
 def unlabelled_anti(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
     return documents.join(table(spark, sf_dir, "labels"), "doc_id", "left_anti")
+
+
+@query("knn_join_lsh", f"""
+WITH {V_EMB} SELECT count(*) FILTER (part = 'test') AS left_rows, 5 * count(*) FILTER (part = 'test') AS pairs, true AS found_nine_tenths,
+  true AS distances_exact FROM v_emb""")
+def knn_join_lsh(spark, sf_dir):
+    """The approximate join of all test vectors, held against the exact one: are 0.9 of the true neighbours found?"""
+    vectors = written(embeddings_view(spark, sf_dir))
+    test, train = vectors.filter("part = 'test'"), vectors.filter("part = 'train'")
+    about = neighbours.knn_join_lsh(test, train, 5, "vec_id", "vec_id").withColumnRenamed("distance", "about")
+    exact = neighbours.knn_join(test, train, 5, "vec_id", "vec_id").drop("rank")
+    both = about.join(exact, ["left_key", "right_key"], "full")
+    found = F.count("about")
+    return both.agg(
+        F.count_distinct("left_key").alias("left_rows"), found.alias("pairs"),
+        (F.count_if(F.col("about").isNotNull() & F.col("distance").isNotNull()) >= 0.9 * F.count("distance")).alias("found_nine_tenths"),
+        F.bool_and(F.coalesce(F.abs(F.col("about") - F.col("distance")) < 1e-9, F.lit(True))).alias("distances_exact"),
+    )

@@ -13,7 +13,7 @@ from tallymark.operators.resample import noised
 from tallymark.session import written
 
 
-def memory_bank_score(scored: DataFrame, bank: DataFrame, key: str, vec: str, k: int, pivots: int = 0) -> DataFrame:
+def memory_bank_score(scored: DataFrame, bank: DataFrame, key: str, vec: str, k: int, pivots: int | None = None) -> DataFrame:
     """``key, score``: mean distance to the k nearest bank vectors; ``pivots`` as in ``knn_join``."""
     pairs = knn_join(scored, bank, k, key, key, vec, vec, pivots=pivots)
     return pairs.groupBy(F.col("left_key").alias(key)).agg(F.avg("distance").alias("score"))

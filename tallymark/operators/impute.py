@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.operators.neighbours import MATRIX_CELLS, block_join, smallest
+from tallymark.operators.neighbours import MATRIX_CELLS, best_of_rows, block_join, key_order, knn_join
 from tallymark.operators.ranking import quantile_row
-from tallymark.session import attach
+from tallymark.session import written
+
+# Patterns of gaps that get a neighbour join each.
+MAX_PATTERNS = 64
 
 
 def fill_with(df: DataFrame, values: dict) -> DataFrame:
@@ -42,20 +48,54 @@ def impute_knn(df: DataFrame, key: str, columns: list[str], k: int = 5) -> DataF
     """Fill each missing value with the mean over its k nearest donors; ties by donor key.
 
     Distance runs over the coordinates both rows have, scaled by total over present coordinates. A donor must have the
-    wanted column and share a coordinate. Without a donor the column mean is used. The rows with a gap and the donors
-    are cut into blocks (see ``block_join``); a pair of blocks returns only the k best donors of each gap.
+    wanted column and share a coordinate. Without a donor the column mean is used.
+
+    Rows with equal gaps form a pattern. Among complete donors the distance is Euclidean on the pattern's coordinates, so
+    each pattern gets its own neighbour join, which skips donors out of reach where that pays. Donors with gaps of their own
+    are compared in blocks (see ``block_join``), as all donors are when there are more than MAX_PATTERNS patterns.
     """
     means = fit_mean(df, columns)
-    slim = df.select(key, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in columns]).alias("v"))
-    has_gap = F.exists("v", lambda x: F.isnan(x))
-    all_missing = F.forall("v", lambda x: F.isnan(x))
-    gaps = slim.filter(has_gap)
-    donors = slim.filter(~all_missing)
-    width = len(columns)
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in columns])
+    present = F.concat(*[F.when(F.col(c).cast("double").isNull() | F.isnan(F.col(c).cast("double")), "0").otherwise("1") for c in columns])
+    slim = written(df.select(F.col(key).alias("key"), values.alias("v"), present.alias("pattern")))
+    whole, none = "1" * len(columns), "0" * len(columns)
+    gaps, donors = slim.filter(F.col("pattern") != whole), slim.filter(F.col("pattern") != none)
+    patterns = [r[0] for r in gaps.filter(F.col("pattern") != none).groupBy("pattern").count().orderBy("pattern").limit(MAX_PATTERNS + 1).select("pattern").collect()]
+    kind = df.schema[key].dataType.simpleString()
+    found = []
+    if len(patterns) <= MAX_PATTERNS:
+        complete, donors = donors.filter(F.col("pattern") == whole), donors.filter(F.col("pattern") != whole)
+        found = [_pattern_neighbours(gaps.filter(F.col("pattern") == p), complete, p, k) for p in patterns]
+    if not found or not donors.isEmpty():
+        found.append(_partial_neighbours(gaps.filter(F.col("pattern") != none), donors, len(columns), k, kind))
+    best = Window.partitionBy("left_key", "j").orderBy("distance", "right_key")
+    filled = (
+        reduce(DataFrame.unionByName, found).withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k)
+        .groupBy("left_key").pivot("j", list(range(len(columns)))).agg(F.avg("value"))
+    )
+    renamed = filled.select(F.col("left_key").alias("__key"), *[F.col(str(j)).alias(f"__f{j}") for j in range(len(columns))])
+    joined = df.join(renamed, df[key] == renamed["__key"], "left")
+    values = {c: F.coalesce(F.col(c), F.col(f"__f{j}"), F.lit(means[c])) for j, c in enumerate(columns)}
+    return joined.withColumns(values).select(*df.columns)
+
+
+def _pattern_neighbours(gaps: DataFrame, complete: DataFrame, pattern: str, k: int) -> DataFrame:
+    """left_key, j, right_key, distance, value of the k nearest complete donors of rows with one pattern of gaps."""
+    mine = [j for j, c in enumerate(pattern) if c == "1"]
+    wanted = [j for j, c in enumerate(pattern) if c == "0"]
+    at = F.array(*[F.col("v")[j] for j in mine])
+    pairs = knn_join(gaps.withColumn("at", at), complete.withColumn("at", at), k, "key", "key", "at", "at")
+    donors = complete.select(F.col("key").alias("right_key"), F.array(*[F.struct(F.lit(j).alias("j"), F.col("v")[j].alias("value")) for j in wanted]).alias("given"))
+    scaled = F.col("distance") * F.lit(math.sqrt(len(pattern) / len(mine)))
+    return pairs.join(donors, "right_key").select("left_key", "right_key", scaled.alias("distance"), F.explode("given").alias("g")).select("left_key", "g.j", "right_key", "distance", "g.value")
+
+
+def _partial_neighbours(gaps: DataFrame, donors: DataFrame, width: int, k: int, kind: str) -> DataFrame:
+    """The same among donors of any pattern, for rows of any pattern."""
 
     def nearest(left_keys, left, right_keys, right):
         present = ~np.isnan(right)
-        filled = np.where(present, right, 0.0)
+        filled, place, out = np.where(present, right, 0.0), key_order(right_keys), []
         patterns, member = np.unique(~np.isnan(left), axis=0, return_inverse=True)
         for number, mine in enumerate(patterns):
             rows = np.flatnonzero(member.ravel() == number)
@@ -75,20 +115,12 @@ def impute_knn(df: DataFrame, key: str, columns: list[str], k: int = 5) -> DataF
                         gap = (left[part, j, None] - filled[None, donor, j]) * present[donor, j]
                         dist += gap * gap
                     dist = np.sqrt(width / shared[donor] * dist)
-                    for i, row in enumerate(part):
-                        best = smallest(dist[i], right_keys[donor], k)
-                        for j in columns_of:
-                            for b in best:
-                                yield left_keys[row], j, right_keys[donor[b]], float(dist[i, b]), float(right[donor[b], j])
-
-    schema = "left_key bigint, j int, right_key bigint, distance double, value double"
-    found = block_join(gaps.select(F.col(key).alias("key"), "v"), donors.select(F.col(key).alias("key"), "v"), nearest, schema)
-    best = Window.partitionBy("left_key", "j").orderBy("distance", "right_key")
-    filled = (
-        found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k)
-        .groupBy("left_key").pivot("j", list(range(width))).agg(F.avg("value"))
-    )
-    renamed = filled.select(F.col("left_key").alias("__key"), *[F.col(str(j)).alias(f"__f{j}") for j in range(width)])
-    joined = df.join(renamed, df[key] == renamed["__key"], "left")
-    values = {c: F.coalesce(F.col(c), F.col(f"__f{j}"), F.lit(means[c])) for j, c in enumerate(columns)}
-    return joined.withColumns(values).select(*df.columns)
+                    near = dist <= np.partition(dist, k - 1, axis=1)[:, k - 1, None] if len(donor) > k else np.ones(dist.shape, bool)
+                    row, col = np.nonzero(near)
+                    best = best_of_rows(row, dist[row, col], place[donor[col]], k)
+                    row, col = row[best], col[best]
+                    out += [(left_keys[part[row]], np.full(len(row), j, np.int32), right_keys[donor[col]], dist[row, col], right[donor[col], j]) for j in columns_of]
+        return tuple(np.concatenate(x) for x in zip(*out)) if out else ([], [], [], [], [])
+
+    schema = f"left_key {kind}, j int, right_key {kind}, distance double, value double"
+    return block_join(gaps.select("key", "v"), donors.select("key", "v"), nearest, schema)

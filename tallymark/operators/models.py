@@ -159,7 +159,7 @@ def fit_knn(train: DataFrame, params: dict) -> Predictor:
     p = {"euclidean": 2.0, "manhattan": 1.0, "minkowski": float(params.get("p", 2))}[params.get("metric", "euclidean")]
 
     def predict(df: DataFrame) -> DataFrame:
-        votes = knn_classify(train, df, int(params.get("n_neighbors", 5)), "key", "label", p=p, weights=params.get("weights", "uniform"), pivots=int(params.get("pivots", 0)))
+        votes = knn_classify(train, df, int(params.get("n_neighbors", 5)), "key", "label", p=p, weights=params.get("weights", "uniform"), pivots=params.get("pivots"))
         return df.select("key", "label").join(votes, "key").select("key", "label", "score", "prediction")
 
     return predict

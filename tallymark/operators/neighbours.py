@@ -1,13 +1,16 @@
-"""Exact nearest-neighbour joins.
+"""Nearest-neighbour joins: exact ones, and an approximate one with measured recall.
 
 Both sides are hashed into blocks of bounded size and every pair of blocks is one unit of work: a matrix computation
 that returns only the k best rows of each left row. No pair of rows is ever shuffled or stored, no side is broadcast
 or collected, and a hot key or cluster cannot make a block large because blocks are cut by a hash of the row key. The
 work is |left| x |right| distances, spread over all tasks; partial results are merged by a window over the left key.
 
-For large sides with structure ``knn_join(.., pivots=n)`` first groups rows around pivot rows. Distances to the pivots
-bound the k-th neighbour distance of each group, and by the triangle inequality only right rows within reach are sent
-to a group. The result stays exact.
+For large sides with structure ``knn_join`` first groups rows around pivot rows. Distances to the pivots bound the k-th
+neighbour distance of each group, and by the triangle inequality only right rows within reach are sent to a group. The
+result stays exact. How many pivots pay is decided from the distances in a bounded sample of rows.
+
+``knn_join_lsh`` compares rows that share a bucket of random projections and ranks them by their exact distances. Width
+and number of the hash tables follow from the neighbour distances of a bounded sample of left rows.
 """
 
 from __future__ import annotations
@@ -21,22 +24,43 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.rng import u
-from tallymark.session import parallelism, written
+from tallymark.session import attach, parallelism, written
 
 BLOCK_ROWS = 32_768
-# Cells of one distance matrix held in memory at a time.
-MATRIX_CELLS = 4_000_000
+# Bytes of the vectors of one block.
+BLOCK_BYTES = 16 << 20
+# Cells of one distance matrix, or pairs of rows, held in memory at a time.
+MATRIX_CELLS = 2_000_000
+# Rows of the right and of the left side that decide how many pivots pay, and the numbers to choose from.
+SAMPLE_RIGHT, SAMPLE_LEFT = 1_024, 256
+PIVOTS = (16, 64, 256)
+# Distances that cost as much as the passes that pivots need on top.
+PIVOT_PASSES = 500_000_000
 
 
 def block_join(left: DataFrame, right: DataFrame, match: Callable, schema: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Apply ``match(left_keys, left_matrix, right_keys, right_matrix)`` to every pair of blocks.
 
-    Both frames have the columns ``key bigint, v array<double>``. ``match`` yields row tuples of ``schema``.
+    Both frames have the columns ``key, v array<double>``. ``match`` returns one array for each column of ``schema``.
     """
     cell = F.lit(0).alias("cell")
-    return _join_cells(
-        left.select("key", "v", cell), right.select("key", "v", cell), [left.count()], [right.count()], match, schema, block_rows
-    )
+    (n, width), (m, _) = _shape(left), _shape(right)
+    return _join_cells(left.select("key", "v", cell), right.select("key", "v", cell), [n], [m], match, schema, _rows_of(block_rows, width))
+
+
+def _frame(names: list[str], columns) -> pd.DataFrame:
+    """Columns of equal length; text and nothing are plain object columns, which Arrow turns into any type."""
+    return pd.DataFrame({n: pd.Series(c, dtype=object) if not len(c) or np.asarray(c).dtype == object else c for n, c in zip(names, columns)})
+
+
+def _shape(df: DataFrame) -> tuple[int, int]:
+    """Rows and longest vector."""
+    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first())
+
+
+def _rows_of(block_rows: int, width: int) -> int:
+    """Rows of a block, fewer for wide vectors."""
+    return max(1, min(block_rows, BLOCK_BYTES // (8 * max(width, 1))))
 
 
 def _join_cells(
@@ -65,12 +89,38 @@ def _join_cells(
     def pair(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({n: [] for n in names})
-        rows = match(a["lk"].to_numpy(), np.stack(a["lv"].to_numpy()), b["rk"].to_numpy(), np.stack(b["rv"].to_numpy()))
-        return pd.DataFrame.from_records(list(rows), columns=names)
+        return _frame(names, match(a["lk"].to_numpy(), np.stack(a["lv"].to_numpy()), b["rk"].to_numpy(), np.stack(b["rv"].to_numpy())))
 
     return lhs.groupBy("c", "i", "j").cogroup(rhs.groupBy("c", "i", "j")).applyInPandas(pair, schema)
 
 
+def pivot_count(left: DataFrame, right: DataFrame, shapes: tuple, want: int, p: float) -> int:
+    """How many pivots make the join cheapest, 0 for none, judged by a sample of SAMPLE_RIGHT and SAMPLE_LEFT rows.
+
+    The sampled right rows begin with the pivots that the join would take. For each number of pivots the share of right rows
+    within reach of the sampled left rows' cells estimates what remains to be compared.
+    """
+    (n, width), (m, _) = shapes
+    plain = n * m
+    if plain * max(width, 1) < 4 * PIVOT_PASSES or m <= PIVOTS[0]:
+        return 0
+    b = np.array([r["v"] for r in right.orderBy(u("key", "pivot"), "key").limit(SAMPLE_RIGHT).collect()])
+    a = np.array([r["v"] for r in left.orderBy(u("key", "pivot"), "key").limit(SAMPLE_LEFT).collect()])
+    costs = {0: plain}
+    for count in PIVOTS:
+        if count > len(b):
+            break
+        to_left, to_right = distances(a, b[:count], p), np.sort(distances(b, b[:count], p), axis=0)
+        cell = to_left.argmin(axis=1)
+        kth = to_right[min(len(b) - 1, math.ceil(want * len(b) / m))]  # where the want-th smallest of all would lie
+        compared = 0.0
+        for c, rows in zip(*np.unique(cell, return_counts=True)):
+            reach = 2 * to_left[cell == c, c].max() + kth[c]
+            compared += rows / len(a) * np.searchsorted(to_right[:, c], reach, side="right") / len(b)
+        costs[count] = plain * compared + 2 * count * (n + m) + PIVOT_PASSES / max(width, 1)
+    return min(costs, key=lambda c: (costs[c], c))
+
+
 def _pivot_join(
     left: DataFrame, right: DataFrame, match: Callable, schema: str, want: int, p: float, pivots: int, block_rows: int
 ) -> DataFrame:
@@ -136,14 +186,6 @@ def distances(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
     return out if p == 1 else np.sqrt(out) if p == 2 else out ** (1.0 / p)
 
 
-def smallest(dist: np.ndarray, keys: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k smallest distances in order, ties by key."""
-    near = np.arange(len(dist))
-    if len(dist) > k:
-        near = np.flatnonzero(dist <= np.partition(dist, k - 1)[k - 1])
-    return near[np.lexsort((keys[near], dist[near]))][:k]
-
-
 def candidate_mask(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
     """Rows of ``b`` that can be among the k Euclidean neighbours, from one matrix product with a safe error margin."""
     aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
@@ -153,54 +195,215 @@ def candidate_mask(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
     return square <= (kth + margin)[:, None]
 
 
+def pair_distances(a: np.ndarray, b: np.ndarray, row: np.ndarray, col: np.ndarray, p: float) -> np.ndarray:
+    """Minkowski distances of the pairs (row of a, col of b), accumulated coordinate by coordinate."""
+    out = np.zeros(len(row))
+    for j in range(a.shape[1]):
+        gap = np.abs(a[row, j] - b[col, j])
+        out += gap if p == 1 else gap * gap if p == 2 else gap**p
+    return out if p == 1 else np.sqrt(out) if p == 2 else out ** (1.0 / p)
+
+
+def key_order(keys: np.ndarray) -> np.ndarray:
+    """Place of each key among the sorted keys."""
+    place = np.empty(len(keys), np.int64)
+    place[np.argsort(keys.astype(str) if keys.dtype == object else keys, kind="stable")] = np.arange(len(keys))
+    return place
+
+
+def best_of_rows(row: np.ndarray, dist: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the pairs that are among the k nearest of their row; ties by ``place``."""
+    by = np.lexsort((place, dist, row))
+    first = np.flatnonzero(np.diff(row[by], prepend=-1))
+    rank = np.arange(len(by)) - np.repeat(first, np.diff(np.append(first, len(by))))
+    return by[rank < k]
+
+
+def nearest_pairs(a: np.ndarray, b: np.ndarray, place: np.ndarray, k: int, p: float, differ: Callable | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of a, row of b and distance of the k nearest rows of b for every row of a.
+
+    ``differ(row, col)`` tells which pairs count at all; then one more neighbour is looked for.
+    """
+    want = k + (differ is not None)
+    out = []
+    step = max(1, MATRIX_CELLS // len(b))
+    for start in range(0, len(a), step):
+        part = a[start:start + step]
+        if p == 2 and len(b) > 4 * want:
+            row, col = np.nonzero(candidate_mask(part, b, want))
+            dist = pair_distances(part, b, row, col, p)
+        else:
+            whole = distances(part, b, p)
+            near = whole <= np.partition(whole, want - 1, axis=1)[:, want - 1, None] if len(b) > want else np.ones(whole.shape, bool)
+            row, col = np.nonzero(near)
+            dist = whole[row, col]
+        if differ is not None:
+            other = differ(start + row, col)
+            row, col, dist = row[other], col[other], dist[other]
+        best = best_of_rows(row, dist, place[col], k)
+        out.append((start + row[best], col[best], dist[best]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _sides(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_vec: str, right_vec: str) -> tuple[DataFrame, DataFrame, str]:
+    lhs = left.select(F.col(left_key).alias("key"), F.col(left_vec).cast("array<double>").alias("v"))
+    rhs = right.select(F.col(right_key).alias("key"), F.col(right_vec).cast("array<double>").alias("v"))
+    kind = {side: frame.schema["key"].dataType.simpleString() for side, frame in (("l", lhs), ("r", rhs))}
+    return lhs, rhs, f"l {kind['l']}, r {kind['r']}, distance double"
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("l").orderBy("distance", "r")
+    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.select(F.col("l").alias("left_key"), F.col("r").alias("right_key"), "distance", "rank")
+
+
 def knn_join(
     left: DataFrame, right: DataFrame, k: int, left_key: str, right_key: str, left_vec: str = "vec",
-    right_vec: str = "vec", p: float = 2.0, exclude_self: bool = False, pivots: int = 0, block_rows: int = BLOCK_ROWS,
+    right_vec: str = "vec", p: float = 2.0, exclude_self: bool = False, pivots: int | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The k nearest right rows of every left row: ``left_key, right_key, distance, rank``; ties by right key.
 
     ``p`` is 1 (Manhattan), 2 (Euclidean) or any Minkowski order from 1 on. ``exclude_self`` skips equal keys. ``pivots`` is
-    the number of pivot rows used to skip pairs that are too far apart; 0 compares all pairs.
+    the number of pivot rows used to skip pairs that are too far apart; 0 compares all pairs, None lets a sample decide.
     """
+    lhs, rhs, schema = _sides(left, right, left_key, right_key, left_vec, right_vec)
     want = k + 1 if exclude_self else k
 
     def nearest(left_keys, a, right_keys, b):
-        order = right_keys.astype(str) if right_keys.dtype == object else right_keys
-        step = max(1, MATRIX_CELLS // len(b))
-        for start in range(0, len(a), step):
-            part = a[start:start + step]
-            few = len(b) > 4 * want
-            mask = candidate_mask(part, b, want) if p == 2 and few else None
-            full = None if mask is not None else distances(part, b, p)
-            for i in range(len(part)):
-                mine = left_keys[start + i]
-                if mask is not None:
-                    rows = np.flatnonzero(mask[i])
-                    dist = distances(part[i:i + 1], b[rows], p)[0]
-                else:
-                    rows, dist = np.arange(len(b)), full[i]
-                if exclude_self:
-                    other = right_keys[rows] != mine
-                    rows, dist = rows[other], dist[other]
-                for o in smallest(dist, order[rows], k):
-                    yield mine, right_keys[rows[o]], float(dist[o])
-
-    lhs = left.select(F.col(left_key).alias("key"), F.col(left_vec).cast("array<double>").alias("v"))
-    rhs = right.select(F.col(right_key).alias("key"), F.col(right_vec).cast("array<double>").alias("v"))
-    kind = {side: frame.schema["key"].dataType.simpleString() for side, frame in (("l", lhs), ("r", rhs))}
-    schema = f"l {kind['l']}, r {kind['r']}, distance double"
+        differ = (lambda row, col: left_keys[row] != right_keys[col]) if exclude_self else None
+        row, col, dist = nearest_pairs(a, b, key_order(right_keys), k, p, differ)
+        return left_keys[row], right_keys[col], dist
+
+    shapes = _shape(lhs), _shape(rhs)
+    if pivots is None:
+        pivots = pivot_count(lhs, rhs, shapes, want, p)
+    rows = _rows_of(block_rows, shapes[0][1])
     if pivots:
-        found = _pivot_join(lhs, rhs, nearest, schema, want, p, pivots, block_rows)
+        found = _pivot_join(lhs, rhs, nearest, schema, want, p, pivots, rows)
     else:
-        found = block_join(lhs, rhs, nearest, schema, block_rows)
-    best = Window.partitionBy("l").orderBy("distance", "r")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select(F.col("l").alias("left_key"), F.col("r").alias("right_key"), "distance", "rank")
+        one = F.lit(0).alias("cell")
+        found = _join_cells(lhs.select("key", "v", one), rhs.select("key", "v", one), [shapes[0][0]], [shapes[1][0]], nearest, schema, rows)
+    return _ranked(found, k)
+
+
+def collision(distance: np.ndarray, width: float) -> np.ndarray:
+    """Chance that two vectors fall into one slot of a random projection with slots of ``width``."""
+    t = np.minimum(width / np.maximum(distance, 1e-300), 1e6)
+    below = np.array([0.5 * math.erfc(x / math.sqrt(2.0)) for x in np.minimum(t, 40.0).ravel()]).reshape(t.shape)
+    return np.where(distance <= 0, 1.0, np.clip(1.0 - 2.0 * below - 2.0 / (math.sqrt(2.0 * math.pi) * t) * (1.0 - np.exp(-np.minimum(t * t, 1_000.0) / 2.0)), 0.0, 1.0))
+
+
+def lsh_plan(near: np.ndarray, apart: np.ndarray, recall: float) -> tuple[float, int, int]:
+    """Slot width, projections of a table and tables that need the fewest comparisons for the wanted recall.
+
+    ``near`` holds distances of true neighbours, ``apart`` those of any two rows. A neighbour at distance c is found with a
+    chance of 1 - (1 - p(c)^m)^L, where p is the collision chance; any other row is compared L p^m times.
+    """
+    middle = max(float(np.median(near)), 1e-12)
+    best = None
+    for factor in (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0):
+        hit, miss = collision(near, factor * middle), collision(apart, factor * middle)
+        for m in range(1, 33):
+            once = hit**m
+            for tables in (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64):
+                if (1.0 - (1.0 - once) ** tables).mean() >= recall:
+                    cost = tables * ((miss**m).mean() + 1e-4)
+                    if best is None or cost < best[0]:
+                        best = (cost, factor * middle, m, tables)
+                    break
+    return best[1:] if best else (16.0 * middle, 1, 8)
+
+
+def knn_join_lsh(
+    left: DataFrame, right: DataFrame, k: int, left_key: str, right_key: str, left_vec: str = "vec", right_vec: str = "vec",
+    recall: float = 0.97, sample: int = SAMPLE_LEFT, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """About the k nearest right rows (Euclidean) of every left row: ``left_key, right_key, distance, rank``.
+
+    ``recall`` is the share of true neighbours that the hash tables are laid out to find, from the exact neighbours of
+    ``sample`` left rows. Every right row is in every table. Distances are exact; buckets of any size are compared whole, in
+    blocks. Left rows with fewer than k candidates are joined exactly, so that every left row gets its k rows.
+    """
+    lhs, rhs, schema = _sides(left, right, left_key, right_key, left_vec, right_vec)
+    lhs, rhs = written(lhs), written(rhs)
+    few = lhs.orderBy(u("key", "lsh"), "key").limit(sample)
+    known = knn_join(few, rhs, k, "key", "key", "v", "v", pivots=0)
+    near = np.array([r["distance"] for r in known.select("distance").collect()])
+    some = [np.array([r["v"] for r in side.orderBy(u("key", "apart"), "key").limit(sample).collect()]) for side in (lhs, rhs)]
+    if not len(near):
+        return _ranked(lhs.sparkSession.createDataFrame([], schema), k)
+    width, projections, tables = lsh_plan(near, distances(*some, 2.0).ravel(), recall)
+    random = np.random.Generator(np.random.PCG64(20_240_607))
+    axes = random.standard_normal((some[1].shape[1], projections * tables))
+    shift = random.uniform(0.0, width, projections * tables)
+    mixer = random.integers(1, 2**62, projections, dtype=np.int64) * 2 + 1
+
+    @F.pandas_udf("array<bigint>")
+    def buckets(v: pd.Series) -> pd.Series:
+        if not len(v):
+            return pd.Series([], dtype=object)
+        slots = np.floor((np.stack(v.to_numpy()) @ axes + shift) / width).astype(np.int64)
+        return pd.Series(list((slots.reshape(len(v), tables, projections) * mixer).sum(axis=2)))
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.select("key", "v", F.posexplode(buckets("v")).alias("table", "slot")).select("key", "v", F.xxhash64("table", "slot").alias("cell"))
+
+    rows = _rows_of(block_rows, some[1].shape[1])
+    found = written(_join_hashed_cells(written(placed(lhs)), written(placed(rhs)), k, schema, rows).distinct())
+    full = found.groupBy("l").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k).select(F.col("l").alias("key"))
+    rest = lhs.join(full, "key", "left_anti")
+    exact = knn_join(rest, rhs, k, "key", "key", "v", "v").select(F.col("left_key").alias("l"), F.col("right_key").alias("r"), "distance")
+    return _ranked(found.join(rest.select(F.col("key").alias("l")), "l", "left_anti").unionByName(exact), k)
+
+
+def _join_hashed_cells(left: DataFrame, right: DataFrame, k: int, schema: str, block_rows: int) -> DataFrame:
+    """The k nearest right rows of each left row in each cell; the many small cells of a task are compared at once.
+
+    Both sides have ``key, v, cell``. A cell with more than ``block_rows`` rows on a side is cut by a hash of the row key.
+    """
+    counts = [side.groupBy("cell").agg(F.count(F.lit(1)).alias(n)) for side, n in ((left, "nl"), (right, "nr"))]
+    both = counts[0].join(counts[1], "cell").withColumns({"al": F.col("nl"), "ar": F.col("nr")})
+    both = written(both.withColumns({n: F.ceil(F.col(n) / block_rows).cast("int") for n in ("nl", "nr")}))
+    heavy = both.filter("nl > 1 or nr > 1").select("cell", "nl", "nr")
+    moved = both.agg(F.coalesce(F.sum(F.col("al") * F.col("nr") + F.col("ar") * F.col("nl")), F.lit(0))).first()[0]
+    groups = max(parallelism(left.sparkSession), math.ceil(moved / block_rows))
+
+    def cut(side: DataFrame, own: str, other: str, salt: str) -> DataFrame:
+        df = attach(side, heavy, ["cell"]).withColumns({n: F.coalesce(n, F.lit(1)) for n in ("nl", "nr")})
+        mine = F.pmod(F.xxhash64("key", F.lit(salt)), F.col(own)).cast("int")
+        df = df.select("key", "v", "cell", mine.alias(own), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other))
+        return df.select(F.col("key"), "v", F.xxhash64("cell", "nl", "nr").alias("unit")).withColumn("g", F.pmod("unit", F.lit(groups)))
+
+    names = [part.split()[0] for part in schema.split(",")]
+
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({n: [] for n in names})
+        a, b = a.sort_values("unit", kind="stable"), b.sort_values("unit", kind="stable")
+        left_keys, right_keys, x, y = a["key"].to_numpy(), b["key"].to_numpy(), np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())
+        place, units, begin = key_order(right_keys), b["unit"].to_numpy(), a["unit"].to_numpy()
+        low, high = np.searchsorted(units, begin, "left"), np.searchsorted(units, begin, "right")
+        upto = np.cumsum(high - low)
+        out = []
+        start = 0
+        while start < len(x):  # left rows whose pairs fit in memory together, one at least
+            stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + MATRIX_CELLS, side="right")))
+            sizes = (high - low)[start:stop]
+            row = np.repeat(np.arange(start, stop), sizes)
+            col = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + low[row]
+            dist = pair_distances(x, y, row, col, 2.0)
+            best = best_of_rows(row, dist, place[col], k)
+            out.append((left_keys[row[best]], right_keys[col[best]], dist[best]))
+            start = stop
+        return _frame(names, [np.concatenate(c) for c in zip(*out)])
+
+    return cut(left, "nl", "nr", "l").groupBy("g").cogroup(cut(right, "nr", "nl", "r").groupBy("g")).applyInPandas(compare, schema)
 
 
 def knn_classify(
     train: DataFrame, test: DataFrame, k: int, key: str, label: str, vec: str = "vec", p: float = 2.0,
-    weights: str = "uniform", pivots: int = 0,
+    weights: str = "uniform", pivots: int | None = None,
 ) -> DataFrame:
     """Vote of the k nearest training rows: ``key, score, prediction`` for a 0/1 label; ``pivots`` as in ``knn_join``.
 

@@ -15,7 +15,7 @@ from tallymark.session import attach, written
 NOISE_STEPS = [0.5, 1.0, 2.0]
 
 
-def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, pivots: int = 0) -> DataFrame:
+def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, pivots: int | None = None) -> DataFrame:
     """Bring the smaller of two classes to parity with synthetic rows: ``key, label, vec, synthetic``.
 
     A synthetic row lies between a minority row and one of its k nearest minority rows. Which row, which neighbour and
