@@ -88,7 +88,7 @@ def _join_cells(
 
     def pair(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({n: [] for n in names})
+            return _frame(names, [[]] * len(names))
         return _frame(names, match(a["lk"].to_numpy(), np.stack(a["lv"].to_numpy()), b["rk"].to_numpy(), np.stack(b["rv"].to_numpy())))
 
     return lhs.groupBy("c", "i", "j").cogroup(rhs.groupBy("c", "i", "j")).applyInPandas(pair, schema)
@@ -379,7 +379,7 @@ def _join_hashed_cells(left: DataFrame, right: DataFrame, k: int, schema: str, b
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({n: [] for n in names})
+            return _frame(names, [[]] * len(names))
         a, b = a.sort_values("unit", kind="stable"), b.sort_values("unit", kind="stable")
         left_keys, right_keys, x, y = a["key"].to_numpy(), b["key"].to_numpy(), np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())
         place, units, begin = key_order(right_keys), b["unit"].to_numpy(), a["unit"].to_numpy()

@@ -139,7 +139,7 @@ def test_perplexity_equals_a_plain_model(spark):
         nats = -sum(math.log(p[t[j - order + 1 : j + 1]]) for j in range(order - 1, len(t))) / sum(c.isalnum() for c in t)
         assert got[i] == pytest.approx(nats, rel=1e-5)
     # the same in several shards, and texts that the model has not seen
-    parts = perplexity.Perplexity(model.rows, order, shard_rows=200, hold_rows=400)
+    parts = perplexity.Perplexity(model.rows, order, shard_rows=50, hold_rows=100)
     assert parts.shards > 2 and len(parts.parts) > 1
     unseen = df.unionByName(spark.createDataFrame([(99, "zq ~~ 文 th", "en"), (98, "th er", "xx"), (97, None, None)], df.schema))
     a, b = ({r["doc_id"]: r["nats"] for r in m.score(unseen).collect()} for m in (model, parts))
