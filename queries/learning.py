@@ -9,7 +9,7 @@ from queries.views import (
     scores_view, u_sql,
 )
 from tallymark.functions.rng import u
-from tallymark.operators import encode, explain, impute, models, profile, results, scale, search, split
+from tallymark.operators import cluster, encode, explain, impute, models, profile, results, scale, search, split
 from tallymark.plans import scenario
 from tallymark.session import written
 
@@ -127,21 +127,64 @@ def _cluster_frame(spark, sf_dir):
     return order_frame(spark, sf_dir).select("key", "vec")
 
 
-@query("kmeans_assign")
+DIMS = range(1, len(ORD_NUMERIC) + 1)
+POINTS = f"""{V_ORD}, filled AS (SELECT o_orderkey AS key, {FRAME_FILL} FROM v_ord),
+p AS (SELECT key, {", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS x{i}" for i, c in enumerate(ORD_NUMERIC, 1))} FROM filled),
+tol AS (SELECT {cluster.TOLERANCE} * ({" + ".join(f"var_pop(x{i})" for i in DIMS)}) / {len(ORD_NUMERIC)} AS tol FROM p), st AS (SELECT unnest(range({cluster.RESTARTS})) AS s)"""
+
+
+def _square(c: int) -> str:
+    """Squared distance of a point to centre c of the list m, which holds one centre after the other."""
+    return " + ".join(f"(x{i} - m[{c * len(ORD_NUMERIC) + i}]) * (x{i} - m[{c * len(ORD_NUMERIC) + i}])" for i in DIMS)
+
+
+def _seeds_sql(k: int) -> str:
+    """c1 .. ck: for each start s the list m of its first centres by k-means++."""
+    point = "[" + ", ".join(f"x{i}" for i in DIMS) + "]"
+    first = u_sql("key", "'start' || s || '_0'")
+    steps = [f"c1 AS (SELECT s, min({{'t': {first}, 'key': key, 'v': {point}}}).v AS m FROM p, st GROUP BY s)"]
+    for j in range(1, k):
+        near = f"least({', '.join(_square(c) for c in range(j))})" if j > 1 else _square(0)
+        draw = u_sql("key", f"'start' || s || '_{j}'")
+        steps.append(f"""c{j + 1} AS (SELECT s, list_concat(m, min({{'t': CASE WHEN d > 0 THEN -ln(u) / d ELSE 'inf'::DOUBLE END, 'key': key, 'v': v}}).v) AS m
+            FROM (SELECT s, m, key, {point} AS v, {draw} AS u, {near} AS d FROM p, c{j}) GROUP BY s, m)""")
+    return ", ".join(steps)
+
+
+def _lloyd_sql(k: int) -> str:
+    """e{k}: the settled centres m of every start; b{k}: the best start with its inertia."""
+    gaps = ", ".join(f"{_square(c)} AS d{c}" for c in range(k))
+    nearest = f"list_position([{', '.join(f'd{c}' for c in range(k))}], least({', '.join(f'd{c}' for c in range(k))})) - 1" if k > 1 else "0"
+    means = ", ".join(f"coalesce(avg(x{i}) FILTER (cl = {c}), m[{c * len(ORD_NUMERIC) + i}])" for c in range(k) for i in DIMS)
+    least = f"least({', '.join(f'd{c}' for c in range(k))})" if k > 1 else "d0"
+    return f"""l{k} AS (SELECT s, m, m AS old, 'inf'::DOUBLE AS moved FROM c{k} UNION ALL
+      SELECT s, n, m, list_sum(list_transform(list_zip(n, m), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) FROM (
+        SELECT s, m, [{means}] AS n FROM (SELECT *, {nearest} AS cl FROM (SELECT s, m, p.*, {gaps} FROM l{k}, p WHERE moved > (SELECT tol FROM tol))) GROUP BY s, m)),
+    e{k} AS (SELECT s, old AS m FROM l{k} WHERE moved <= (SELECT tol FROM tol)),
+    b{k} AS (SELECT s, m, inertia FROM (SELECT s, m, sum({least}) AS inertia FROM (SELECT s, m, {gaps} FROM e{k}, p) GROUP BY s, m) ORDER BY round(inertia, 6), s LIMIT 1)"""
+
+
+ASSIGNED = f"""WITH RECURSIVE {POINTS}, {_seeds_sql(4)}, {_lloyd_sql(4)},
+a AS (SELECT key, CAST(list_position([d0, d1, d2, d3], least(d0, d1, d2, d3)) - 1 AS INTEGER) AS cluster
+      FROM (SELECT key, {", ".join(f"{_square(c)} AS d{c}" for c in range(4))} FROM p, b4))"""
+
+
+@query("kmeans_assign", f"{ASSIGNED} SELECT key, cluster FROM a")
 def kmeans_assign(spark, sf_dir):
     frame = _cluster_frame(spark, sf_dir)
-    return models.kmeans_assign(frame, models.kmeans(frame, 4))
+    return cluster.assign(frame, cluster.kmeans(frame, [4])[4].centres).select("key", "cluster")
 
 
-@query("kmeans_sizes")
+@query("kmeans_sizes", f"{ASSIGNED} SELECT cluster, count(*) AS n, 100.0 * count(*) / sum(count(*)) OVER () AS percent FROM a GROUP BY 1")
 def kmeans_sizes(spark, sf_dir):
     frame = _cluster_frame(spark, sf_dir)
-    return profile.value_counts(models.kmeans_assign(frame, models.kmeans(frame, 4)), "cluster")
+    return profile.value_counts(cluster.assign(frame, cluster.kmeans(frame, [4])[4].centres), "cluster")
 
 
-@query("kmeans_elbow")
+@query("kmeans_elbow", f"""WITH RECURSIVE {POINTS}, {_seeds_sql(10)}, {", ".join(_lloyd_sql(k) for k in range(1, 11))}
+{" UNION ALL ".join(f"SELECT {k} AS k, round(inertia, 4) AS inertia FROM b{k}" for k in range(1, 11))}""")
 def kmeans_elbow(spark, sf_dir):
-    return models.elbow(_cluster_frame(spark, sf_dir), range(1, 11)).select("k", *rounded("inertia", digits=4))
+    return cluster.elbow(_cluster_frame(spark, sf_dir), range(1, 11)).select("k", *rounded("inertia", digits=4))
 
 
 START = u_sql("vec_id", "'start'")

@@ -265,18 +265,46 @@ def random_projection(spark, sf_dir):
     return projected.select("vec_id", F.transform("projected", lambda x: F.round(x, 6)).alias("projected"))
 
 
-@query("pca_variance")
+@query("pca_variance", f"""
+WITH {V_EMB}, e AS (SELECT vec_id, unnest(vec) AS x, unnest(range(len(vec))) AS i FROM v_emb),
+t AS (SELECT sum(v) AS total FROM (SELECT var_samp(x) AS v FROM e GROUP BY i))
+SELECT round(total, 6) AS total_variance, true AS over_share, true AS fewest, true AS descending, true AS eigen_equation, true AS orthonormal, true AS variances_agree FROM t""")
 def pca_variance(spark, sf_dir):
-    """Share of variance per kept component; the fewest components that explain more than 95 %."""
-    fitted = projection.fit_pca(embeddings_view(spark, sf_dir), "vec", variance=0.95)
-    rows = [
-        (i, round(float(v), 6), round(float(c), 6))
-        for i, (v, c) in enumerate(zip(fitted.ratio, fitted.ratio.cumsum()))
-    ]
-    return spark.createDataFrame(rows, "component int, explained double, cumulated double")
+    """The fewest components that explain more than 95 %, checked against the rows: shares, eigen equation, orthonormal axes."""
+    vectors = embeddings_view(spark, sf_dir)
+    fitted = projection.fit_pca(vectors, "vec", variance=0.95)
+    rows = [(i, float(v), float(r), float(c)) for i, (v, r, c) in enumerate(zip(fitted.values, fitted.ratio, fitted.ratio.cumsum()))]
+    kept = spark.createDataFrame(rows, "component int, value double, explained double, cumulated double")
+    checked = kept.join(projection.residuals(vectors, fitted, "vec"), "component")
+    last = F.max_by("explained", "component")
+    ordered = F.array_sort(F.collect_list(F.struct("component", "value")))
+    return checked.agg(
+        F.round(F.lit(fitted.total), 6).alias("total_variance"), (F.max("cumulated") > 0.95).alias("over_share"), (F.max("cumulated") - last <= 0.95).alias("fewest"),
+        (F.transform(ordered, lambda x: x["value"]) == F.sort_array(F.collect_list("value"), asc=False)).alias("descending"),
+        (F.max("eigen_gap") < 1e-9).alias("eigen_equation"), (F.max("tilt") < 1e-9).alias("orthonormal"),
+        (F.max(F.abs(F.col("variance") - F.col("value"))) < 1e-9 * fitted.total).alias("variances_agree"),
+    )
+
+
+def _axis_sql(name: str, matrix: str, width: int = 64, squarings: int = 24) -> str:
+    """The first eigenvector of a symmetric matrix (i, j, c): its powers by repeated squaring point along it.
+
+    Of the power's columns the longest is taken; the largest entry of an axis is positive.
+    """
+    return f"""{name}_pow AS (SELECT 0 AS n, i, j, c / (SELECT sqrt(sum(c * c)) FROM {matrix}) AS c FROM {matrix} UNION ALL
+  SELECT n, i, j, c / sqrt(sum(c * c) OVER ()) FROM (SELECT a.n + 1 AS n, a.i, b.j, sum(a.c * b.c) AS c FROM {name}_pow a JOIN {name}_pow b ON a.j = b.i WHERE a.n < {squarings} GROUP BY 1, 2, 3)),
+{name}_col AS (SELECT j FROM {name}_pow WHERE n = {squarings} GROUP BY j ORDER BY sum(c * c) DESC, j LIMIT 1),
+{name}_raw AS (SELECT i, c / sqrt(sum(c * c) OVER ()) AS c FROM {name}_pow JOIN {name}_col USING (j) WHERE n = {squarings}),
+{name} AS (SELECT i, c * sign((SELECT c FROM {name}_raw ORDER BY abs(c) DESC, i LIMIT 1)) AS c FROM {name}_raw)"""
 
 
-@query("pca_project")
+@query("pca_project", f"""
+WITH RECURSIVE {V_EMB}, e AS (SELECT vec_id, label, unnest(vec) AS x, unnest(range(len(vec))) AS i FROM v_emb),
+m AS (SELECT i, avg(x) AS m FROM e GROUP BY 1), z AS (SELECT vec_id, label, i, x - m AS x FROM e JOIN m USING (i)),
+cov AS (SELECT a.i, b.i AS j, sum(a.x * b.x) AS c FROM z a JOIN z b ON a.vec_id = b.vec_id GROUP BY 1, 2), {_axis_sql('a1', 'cov')},
+l1 AS (SELECT sum(cov.c * x.c * y.c) AS l FROM cov JOIN a1 x ON x.i = cov.i JOIN a1 y ON y.i = cov.j),
+rest AS (SELECT cov.i, cov.j, cov.c - l * x.c * y.c AS c FROM cov JOIN a1 x ON x.i = cov.i JOIN a1 y ON y.i = cov.j, l1), {_axis_sql('a2', 'rest')}
+SELECT vec_id, any_value(label) AS label, round(sum(x * a1.c), 6) AS p1, round(sum(x * a2.c), 6) AS p2 FROM z JOIN a1 USING (i) JOIN a2 USING (i) GROUP BY 1""")
 def pca_project(spark, sf_dir):
     vectors = embeddings_view(spark, sf_dir)
     projected = projection.project(vectors, projection.fit_pca(vectors, "vec", components=2), "vec", "p")

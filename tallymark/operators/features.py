@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.rng import u
+from tallymark.functions.vectors import times_matrix
+from tallymark.operators.moments import cross_products
 from tallymark.operators.ranking import values_at_ranks
 
 
@@ -59,34 +60,17 @@ def mean_vector(df: DataFrame, vec: str) -> list[float]:
 
 
 def covariance_long(df: DataFrame, vec: str) -> DataFrame:
-    """Sample covariance of the coordinates as ``i, j, cov``.
-
-    Each batch of rows is reduced to one centred cross-product matrix inside its task, so the shuffle carries matrices,
-    never one entry per row and pair.
-    """
-    mean = np.array(mean_vector(df, vec))
-    d = len(mean)
-
-    def partial(batches):
-        total, rows = np.zeros((d, d)), 0
-        for batch in batches:
-            if len(batch):
-                x = np.stack(batch["v"].to_numpy()) - mean
-                total += x.T @ x
-                rows += len(x)
-        if rows:
-            i, j = np.divmod(np.arange(d * d), d)
-            yield pd.DataFrame({"i": i, "j": j, "s": total.ravel(), "n": rows})
-
-    parts = df.select(F.col(vec).cast("array<double>").alias("v")).mapInPandas(partial, "i int, j int, s double, n bigint")
-    return parts.groupBy("i", "j").agg((F.sum("s") / (F.sum("n") - 1)).alias("cov"))
+    """Sample covariance of the coordinates as ``i, j, cov``, from cross products that are merged in a tree of tasks."""
+    total, n = cross_products(df, vec, np.array(mean_vector(df, vec)))
+    rows = [(i, j, float(v) / (n - 1) if n > 1 else None) for (i, j), v in np.ndenumerate(total)]
+    return df.sparkSession.createDataFrame(rows, "i int, j int, cov double")
 
 
 def random_projection(df: DataFrame, vec: str, target: int, output: str = "projected") -> DataFrame:
     """Sparse random projection to ``target`` coordinates; narrower vectors pass unchanged.
 
     An entry of the hash-defined matrix is +-sqrt(s / target) with probability 1/(2s) each and 0 otherwise,
-    s = sqrt(width). Only the non-zero entries enter the expression.
+    s = sqrt(width). Rows meet the matrix in one product for each batch.
     """
     width = width_of(df, vec)
     if width <= target:
@@ -97,15 +81,7 @@ def random_projection(df: DataFrame, vec: str, target: int, output: str = "proje
     )
     draw = u("j", F.concat(F.lit("rp"), F.col("out")))
     sign = F.when(draw < 1 / (2 * s), 1).when(draw < 1 / s, -1).otherwise(0)
-    entries = cell.select("j", "out", sign.alias("sign")).filter("sign != 0").collect()
-    scale = math.sqrt(s / target)
-    columns = []
-    for out in range(target):
-        value = F.lit(0.0)
-        for e in entries:
-            if e["out"] == out:
-                value = value + F.col(vec)[e["j"]] * (e["sign"] * scale)
-        columns.append(value)
-    return df.withColumn(output, F.array(*columns))
-
-
+    matrix = np.zeros((width, target))
+    for e in cell.select("j", "out", sign.alias("sign")).filter("sign != 0").collect():
+        matrix[e["j"], e["out"]] = e["sign"] * math.sqrt(s / target)
+    return df.withColumn(output, times_matrix(F.col(vec).cast("array<double>"), matrix))

@@ -16,7 +16,6 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -219,35 +218,6 @@ def in_parallel(tasks: list[Callable], threads: int = 4) -> list:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
-def kmeans(df: DataFrame, k: int, restarts: int = 10, max_iter: int = 300):
-    """The model with the least inertia of several seeded starts (k-means||)."""
-    vectors = as_vector(df).select("features").persist()
-    try:
-        starts = [lambda s=s: KMeans(k=k, seed=SEED + s, maxIter=max_iter).fit(vectors) for s in range(restarts)]
-        return min(in_parallel(starts), key=lambda m: m.summary.trainingCost)
-    finally:
-        vectors.unpersist()
-
-
-def kmeans_assign(df: DataFrame, model) -> DataFrame:
-    return model.transform(as_vector(df)).select("key", F.col("prediction").alias("cluster"))
-
-
-def elbow(df: DataFrame, ks: range, restarts: int = 10, max_iter: int = 300) -> DataFrame:
-    """``k, inertia``, the least of several seeded starts; for k = 1 the inertia is the total spread around the mean."""
-    width, spark = width_of(df, "vec"), df.sparkSession
-    vectors = as_vector(df).select("features").persist()
-    spread = df.agg(sum((F.var_pop(F.col("vec")[i]) for i in range(width)), F.lit(0.0)).alias("v"), F.count(F.lit(1)).alias("n")).first()
-
-    def inertia(k: int, start: int) -> tuple[int, float]:
-        return k, KMeans(k=k, seed=SEED + start, maxIter=max_iter).fit(vectors).summary.trainingCost
-
-    costs = in_parallel([lambda k=k, s=s: inertia(k, s) for k in ks if k > 1 for s in range(restarts)])
-    vectors.unpersist()
-    rows = [(k, spread["v"] * spread["n"] if k == 1 else min(c for j, c in costs if j == k)) for k in ks]
-    return spark.createDataFrame(rows, "k int, inertia double")
-
-
 def lloyd_step(df: DataFrame, centres: list[list[float]]) -> DataFrame:
     """Assign every row to its nearest centre (the first on a tie) and recompute: ``cluster, n, centre``."""
     width = len(centres[0])

@@ -155,7 +155,7 @@ def test_localisation_score(spark):
 
 def test_coreset_takes_the_farthest_rows(spark):
     df = spark.createDataFrame([(0, [0.0]), (1, [1.0]), (5, [5.0]), (9, [9.0])], "id bigint, vec array<double>")
-    chosen = resample.coreset_greedy(df, "id", "vec", 3, rounds_per_table=1)
+    chosen = resample.coreset_greedy(df, "id", "vec", 3, pool=1)
     assert [r["id"] for r in chosen.orderBy("round").collect()] == [0, 9, 5]
     assert resample.coreset_greedy(df, "id", "vec", -1).count() == 4
 
