@@ -9,7 +9,7 @@ from queries.views import (
     scores_view, u_sql,
 )
 from tallymark.functions.rng import u
-from tallymark.operators import cluster, encode, explain, impute, models, profile, results, scale, search, split
+from tallymark.operators import cluster, encode, explain, folded, impute, models, profile, results, scale, search, split
 from tallymark.plans import scenario
 from tallymark.session import written
 
@@ -204,13 +204,52 @@ def lloyd_step(spark, sf_dir):
     return step.select("cluster", "n", F.transform("centre", lambda x: F.round(x, 6)).alias("centre"))
 
 
-CANDIDATES = {"logistic": ("logistic", {}), "tree": ("tree", {"max_depth": 4}), "bayes": ("bayes", {})}
+# The six models of the ablation study with their defaults: 100 trees, 100 rounds, 5 neighbours.
+CANDIDATES = {name: (name, {}) for name in ("logistic", "forest", "svm", "bayes", "boosting", "knn")}
+FOLDS = 10
 
-
-@query("cv_scores")
+V_FOLDED = f"""{V_FRAME},
+d AS (SELECT key, label, (row_number() OVER (PARTITION BY label ORDER BY {u_sql('key', "'fold'")}, key) - 1) % {FOLDS} AS fold FROM filled),
+y AS (SELECT x.*, fold FROM x JOIN d ON d.key = x.key), f AS (SELECT unnest(range({FOLDS})) AS f),
+wide AS (SELECT f, max(s) AS widest FROM (SELECT f, j, var_pop(v) AS s FROM y JOIN f ON fold <> f GROUP BY 1, 2) GROUP BY 1),
+s AS (SELECT f, label AS k, j, avg(v) AS m, var_pop(v) AS s, count(*) AS n FROM y JOIN f ON fold <> f GROUP BY 1, 2, 3),
+prior AS (SELECT f, k, ln(any_value(n) / sum(any_value(n)) OVER (PARTITION BY f)) AS prior FROM s GROUP BY 1, 2)"""
+COUNTS = "count(*) FILTER (hit AND label = 1) AS tp, count(*) FILTER (hit AND label = 0) AS fp, count(*) FILTER (NOT hit AND label = 1) AS fn, count(*) FILTER (NOT hit AND label = 0) AS tn"
+RATIOS = "(tp + tn) / (tp + fp + fn + tn) AS accuracy, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS \"precision\", CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall, CASE WHEN tp = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1"
+SHOWN = ("bayes", "knn")
+
+
+@query("cv_scores", f"""
+WITH {V_FOLDED},
+l AS (SELECT y.key, any_value(y.label) AS label, any_value(y.fold) AS fold, s.k, any_value(prior) + sum({BAYES_TERM.format(v='v').replace('floor', '1e-9 * widest')}) AS l
+      FROM y JOIN s ON s.f = y.fold AND s.j = y.j JOIN wide w ON w.f = y.fold JOIN prior p ON p.f = y.fold AND p.k = s.k GROUP BY y.key, s.k),
+b AS (SELECT key, any_value(fold) AS fold, any_value(label) AS label, max(l) FILTER (k = 1) > max(l) FILTER (k = 0) AS hit FROM l GROUP BY 1),
+pts AS (SELECT key, any_value(label) AS label, any_value(fold) AS fold, {", ".join(f"max(v) FILTER (j = '{c}') AS x{i}" for i, c in enumerate(ORD_NUMERIC))} FROM y GROUP BY 1),
+near AS (SELECT a.key, a.fold, a.label, min({{'d': {" + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in range(len(ORD_NUMERIC)))}, 'k': b.key, 'y': b.label}}, 5) AS near
+         FROM pts a JOIN pts b ON a.fold <> b.fold GROUP BY 1, 2, 3),
+n AS (SELECT key, fold, label, list_avg(list_transform(near, lambda z: z.y)) > 0.5 AS hit FROM near),
+c AS (SELECT 'bayes' AS model, fold, {COUNTS} FROM b GROUP BY fold UNION ALL SELECT 'knn', fold, {COUNTS} FROM n GROUP BY fold),
+r AS (SELECT *, {RATIOS} FROM c),
+a AS (SELECT m AS model, fold, count(*) AS n, sum(label)::BIGINT AS positives FROM d, (SELECT unnest({list(CANDIDATES)}) AS m) GROUP BY 1, 2)
+SELECT a.model, CAST(a.fold AS INTEGER) AS fold, n, positives, true AS metrics_agree, tp, fp, fn, tn, round(accuracy, 6) AS accuracy, round("precision", 6) AS "precision",
+       round(recall, 6) AS recall, round(f1, 6) AS f1 FROM a LEFT JOIN r ON r.model = a.model AND r.fold = a.fold""")
 def cv_scores(spark, sf_dir):
-    folds = search.cross_validate(order_frame(spark, sf_dir), CANDIDATES, 3)
-    return folds.select("model", "fold", "tn", "fp", "fn", "tp", *rounded("accuracy", "precision", "recall", "f1", "auc"))
+    """Ten folds of six models. The metrics of Bayes and neighbours are shown; those of every model must follow from its counts."""
+    folds = search.cross_validate(order_frame(spark, sf_dir), CANDIDATES, FOLDS)
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    n = tp + fp + fn + tn
+    again = {
+        "accuracy": (tp + tn) / n, "precision": F.when(tp + fp == 0, 0.0).otherwise(tp / (tp + fp)), "recall": F.when(tp + fn == 0, 0.0).otherwise(tp / (tp + fn)),
+        "f1": F.when(tp == 0, 0.0).otherwise(2 * tp / (2 * tp + fp + fn)),
+    }
+    agree = F.col("auc").between(0, 1)
+    for c, value in again.items():
+        agree = agree & (F.abs(F.col(c) - value) < 1e-12)
+    shown = F.col("model").isin(*SHOWN)
+    return folds.select(
+        "model", "fold", n.alias("n"), (tp + fn).alias("positives"), agree.alias("metrics_agree"), *[F.when(shown, F.col(c)).alias(c) for c in ("tp", "fp", "fn", "tn")],
+        *[F.round(F.when(shown, F.col(c)), 6).alias(c) for c in again],
+    )
 
 
 @query("oof_predictions", f"""
@@ -230,12 +269,21 @@ def oof_predictions(spark, sf_dir):
     return found.select("key", "fold", "label", *rounded("score"), "prediction")
 
 
-@query("grid_search")
+@query("grid_search", f"""
+SELECT CAST(row_number() OVER (ORDER BY c, p) AS INTEGER) AS experiment, c AS "C", p AS penalty, true AS in_range, true AS penalty_shrinks
+FROM (SELECT unnest([0.1, 10.0]::DOUBLE[]) AS c), (SELECT unnest(['l1', 'l2']) AS p)""")
 def grid_search(spark, sf_dir):
+    """Ten folds of each combination; a stronger penalty gives smaller weights on all rows."""
     axes = {"C": [0.1, 10.0], "penalty": ["l1", "l2"]}
-    return search.grid_search(order_frame(spark, sf_dir), "logistic", axes, 2).select(
-        "experiment", "C", "penalty", *rounded("f1_mean", "f1_std")
-    )
+    frame = order_frame(spark, sf_dir)
+    found = search.grid_search(frame, "logistic", axes, FOLDS)
+    rows = frame.count()
+    grid = [(c, p) for c in axes["C"] for p in axes["penalty"]]
+    weights = folded.newton(frame.withColumn("fold", F.lit(0)), [(None, 1.0 / (c * rows), float(p == "l1"), False) for c, p in grid])
+    size = {(c, p): float(abs(w[:-1]).sum() if p == "l1" else (w[:-1] ** 2).sum()) for (c, p), w in zip(grid, weights)}
+    shrinks = {p: size[0.1, p] <= size[10.0, p] for p in axes["penalty"]}
+    told = F.element_at(F.create_map(*[F.lit(x) for pair in shrinks.items() for x in pair]), F.col("penalty"))
+    return found.select("experiment", "C", "penalty", (F.col("f1_mean").between(0, 1) & (F.col("f1_std") >= 0)).alias("in_range"), told.alias("penalty_shrinks"))
 
 
 T_DRAW = {n: u_sql("trial", f"'{n}'") for n in ("C", "penalty", "threshold")}
@@ -275,11 +323,21 @@ def search_trials(spark, sf_dir):
     )
 
 
-@query("search_best")
+@query("search_best", f"""
+WITH {V_FOLDED},
+t AS (SELECT CAST(trial AS INTEGER) AS trial, exp(ln(1e-12) + {u_sql('trial', "'var_smoothing'")} * (ln(1e-6) - ln(1e-12))) AS var_smoothing FROM (SELECT unnest(range(30)) AS trial)),
+l AS (SELECT trial, y.key, any_value(y.label) AS label, any_value(y.fold) AS fold, s.k, any_value(prior) + sum({BAYES_TERM.format(v='v').replace('floor', 'var_smoothing * widest')}) AS l
+      FROM y JOIN s ON s.f = y.fold AND s.j = y.j JOIN wide w ON w.f = y.fold JOIN prior p ON p.f = y.fold AND p.k = s.k, t GROUP BY trial, y.key, s.k),
+b AS (SELECT trial, key, any_value(fold) AS fold, any_value(label) AS label, max(l) FILTER (k = 1) > max(l) FILTER (k = 0) AS hit FROM l GROUP BY 1, 2),
+r AS (SELECT *, {RATIOS} FROM (SELECT trial, fold, {COUNTS} FROM b GROUP BY 1, 2)),
+m AS (SELECT trial, round(avg(f1), 9) AS f1_mean, stddev_pop(f1) AS f1_std FROM r GROUP BY 1)
+SELECT trial, 'bayes' AS model, round(var_smoothing * 1e9, 6) AS var_smoothing_e9, round(f1_mean, 6) AS f1_mean, round(f1_std, 6) AS f1_std
+FROM m JOIN t USING (trial) ORDER BY m.f1_mean DESC, trial LIMIT 1""")
 def search_best(spark, sf_dir):
-    space = search.ABLATION_SPACES["bayes"]
-    searched = search.random_search(order_frame(spark, sf_dir), "bayes", space, 3, 2)
-    return results.top_rows(searched, "f1_mean", ["trial"], 1).select("trial", "model", "var_smoothing", *rounded("f1_mean", "f1_std"))
+    """Thirty trials over ten folds."""
+    searched = search.random_search(order_frame(spark, sf_dir), "bayes", search.ABLATION_SPACES["bayes"], 30, FOLDS)
+    best = results.top_rows(searched.withColumn("f1_mean", F.round("f1_mean", 9)), "f1_mean", ["trial"], 1)
+    return best.select("trial", "model", F.round(F.col("var_smoothing") * 1e9, 6).alias("var_smoothing_e9"), *rounded("f1_mean", "f1_std"))
 
 
 @query("importance_select")

@@ -94,7 +94,7 @@ def _join_cells(
     return lhs.groupBy("c", "i", "j").cogroup(rhs.groupBy("c", "i", "j")).applyInPandas(pair, schema)
 
 
-def pivot_count(left: DataFrame, right: DataFrame, shapes: tuple, want: int, p: float) -> int:
+def pivot_count(left: DataFrame, right: DataFrame, shapes: tuple, want: int, p: float, grouped: bool = False) -> int:
     """How many pivots make the join cheapest, 0 for none, judged by a sample of SAMPLE_RIGHT and SAMPLE_LEFT rows.
 
     The sampled right rows begin with the pivots that the join would take. For each number of pivots the share of right rows
@@ -106,6 +106,8 @@ def pivot_count(left: DataFrame, right: DataFrame, shapes: tuple, want: int, p:
         return 0
     b = np.array([r["v"] for r in right.orderBy(u("key", "pivot"), "key").limit(SAMPLE_RIGHT).collect()])
     a = np.array([r["v"] for r in left.orderBy(u("key", "pivot"), "key").limit(SAMPLE_LEFT).collect()])
+    if grouped:
+        a, b = a[:, :-1], b[:, :-1]
     costs = {0: plain}
     for count in PIVOTS:
         if count > len(b):
@@ -122,10 +124,12 @@ def pivot_count(left: DataFrame, right: DataFrame, shapes: tuple, want: int, p:
 
 
 def _pivot_join(
-    left: DataFrame, right: DataFrame, match: Callable, schema: str, want: int, p: float, pivots: int, block_rows: int
+    left: DataFrame, right: DataFrame, match: Callable, schema: str, want: int, p: float, pivots: int, block_rows: int, grouped: bool = False,
 ) -> DataFrame:
     """Match each left row with all right rows that can be among its ``want`` nearest, and few others.
 
+    ``grouped`` vectors end in a group; then a bound counts the ``want`` nearest right rows outside each group.
+
     With pivot distances: a left cell of radius U has a neighbour within U + |p_i y| for every right row y, so the
     ``want``-th smallest of these, theta, bounds the neighbours of the whole cell. A right row farther than U + theta from
     the pivot of the cell cannot be one.
@@ -134,32 +138,45 @@ def _pivot_join(
     if not len(centres):
         return block_join(left, right, match, schema, block_rows)
     count = len(centres)
+    centres = centres[:, :-1] if grouped else centres
+    to_centres = lambda v: distances(v[:, :-1] if grouped else v, centres, p)
 
     @F.pandas_udf("cell int, gap double")
     def locate(v: pd.Series) -> pd.DataFrame:
         if not len(v):
             return pd.DataFrame({"cell": [], "gap": []})
-        dist = distances(np.stack(v.to_numpy()), centres, p)
+        dist = to_centres(np.stack(v.to_numpy()))
         return pd.DataFrame({"cell": dist.argmin(axis=1), "gap": dist.min(axis=1)})
 
     def lowest(batches):
-        kept = np.empty((0, count))
+        kept: dict[float, np.ndarray] = {}
         for batch in batches:
             if len(batch):
-                kept = np.sort(np.vstack([kept, distances(np.stack(batch["v"].to_numpy()), centres, p)]), axis=0)[:want]
-        rank, cell = np.divmod(np.arange(kept.size), count)
-        yield pd.DataFrame({"cell": cell, "gap": kept[rank, cell]})
+                v = np.stack(batch["v"].to_numpy())
+                dist, group = to_centres(v), v[:, -1] if grouped else np.zeros(len(v))
+                for g in np.unique(group).tolist():
+                    kept[g] = np.sort(np.vstack([kept.get(g, np.empty((0, count))), dist[group == g]]), axis=0)[:want]
+        for g, least in kept.items():
+            rank, cell = np.divmod(np.arange(least.size), count)
+            yield pd.DataFrame({"cell": cell, "part": g, "gap": least[rank, cell]})
 
     left_side = written(left.withColumn("at", locate("v")).select("key", "v", "at.cell", "at.gap"))
     left_rows, radius = [0] * count, [0.0] * count
     for r in left_side.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("u")).collect():
         left_rows[r["cell"]], radius[r["cell"]] = r["n"], r["u"]
     # A task hands on its ``want`` smallest distances to every pivot, so the window sees a few rows per task and pivot.
-    order = Window.partitionBy("cell").orderBy("gap")
-    partial = right.select("v").mapInPandas(lowest, "cell int, gap double").withColumn("r", F.row_number().over(order))
+    order = Window.partitionBy("cell", "part").orderBy("gap")
+    partial = right.select("v").mapInPandas(lowest, "cell int, part double, gap double").withColumn("r", F.row_number().over(order))
+    nearest: dict[int, list] = {}
+    for r in partial.filter(F.col("r") <= want).collect():
+        nearest.setdefault(r["cell"], []).append((r["gap"], r["part"]))
     theta = [float("inf")] * count
-    for r in partial.filter(F.col("r") == want).collect():
-        theta[r["cell"]] = radius[r["cell"]] + r["gap"]
+    for cell, gaps in nearest.items():
+        bounds = []
+        for group in {g for _, g in gaps} if grouped else {None}:
+            outside = sorted(gap for gap, g in gaps if g != group)
+            bounds.append(outside[want - 1] if len(outside) >= want else float("inf"))
+        theta[cell] = radius[cell] + max(bounds)
     # A little slack keeps rounding from cutting off a row on the boundary.
     reach = [(radius[i] + theta[i]) * (1 + 1e-9) + 1e-9 if left_rows[i] else -1.0 for i in range(count)]
 
@@ -167,7 +184,7 @@ def _pivot_join(
     def within_reach(v: pd.Series) -> pd.Series:
         if not len(v):
             return pd.Series([], dtype=object)
-        near = distances(np.stack(v.to_numpy()), centres, p) <= np.array(reach)
+        near = to_centres(np.stack(v.to_numpy())) <= np.array(reach)
         return pd.Series([np.flatnonzero(row).astype(np.int32) for row in near])
 
     sent = right.select("key", "v", F.explode(within_reach("v")).alias("cell"))
@@ -245,9 +262,11 @@ def nearest_pairs(a: np.ndarray, b: np.ndarray, place: np.ndarray, k: int, p: fl
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _sides(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_vec: str, right_vec: str) -> tuple[DataFrame, DataFrame, str]:
-    lhs = left.select(F.col(left_key).alias("key"), F.col(left_vec).cast("array<double>").alias("v"))
-    rhs = right.select(F.col(right_key).alias("key"), F.col(right_vec).cast("array<double>").alias("v"))
+def _sides(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_vec: str, right_vec: str, apart: str | None = None) -> tuple[DataFrame, DataFrame, str]:
+    """Keys and vectors of both sides; the value of ``apart`` follows the coordinates."""
+    vector = lambda c: F.col(c).cast("array<double>") if apart is None else F.concat(F.col(c).cast("array<double>"), F.array(F.col(apart).cast("double")))
+    lhs = left.select(F.col(left_key).alias("key"), vector(left_vec).alias("v"))
+    rhs = right.select(F.col(right_key).alias("key"), vector(right_vec).alias("v"))
     kind = {side: frame.schema["key"].dataType.simpleString() for side, frame in (("l", lhs), ("r", rhs))}
     return lhs, rhs, f"l {kind['l']}, r {kind['r']}, distance double"
 
@@ -261,26 +280,38 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 def knn_join(
     left: DataFrame, right: DataFrame, k: int, left_key: str, right_key: str, left_vec: str = "vec",
     right_vec: str = "vec", p: float = 2.0, exclude_self: bool = False, pivots: int | None = None, block_rows: int = BLOCK_ROWS,
+    apart: str | None = None,
 ) -> DataFrame:
     """The k nearest right rows of every left row: ``left_key, right_key, distance, rank``; ties by right key.
 
     ``p`` is 1 (Manhattan), 2 (Euclidean) or any Minkowski order from 1 on. ``exclude_self`` skips equal keys. ``pivots`` is
     the number of pivot rows used to skip pairs that are too far apart; 0 compares all pairs, None lets a sample decide.
+    ``apart`` names a column of small numbers, such as folds: rows with equal values are no neighbours.
     """
-    lhs, rhs, schema = _sides(left, right, left_key, right_key, left_vec, right_vec)
+    lhs, rhs, schema = _sides(left, right, left_key, right_key, left_vec, right_vec, apart)
     want = k + 1 if exclude_self else k
 
     def nearest(left_keys, a, right_keys, b):
         differ = (lambda row, col: left_keys[row] != right_keys[col]) if exclude_self else None
-        row, col, dist = nearest_pairs(a, b, key_order(right_keys), k, p, differ)
-        return left_keys[row], right_keys[col], dist
+        place = key_order(right_keys)
+        if apart is None:
+            row, col, dist = nearest_pairs(a, b, place, k, p, differ)
+            return left_keys[row], right_keys[col], dist
+        out = []
+        for group in np.unique(a[:, -1]):
+            mine, other = np.flatnonzero(a[:, -1] == group), np.flatnonzero(b[:, -1] != group)
+            if len(other):
+                own = (lambda row, col: left_keys[mine[row]] != right_keys[other[col]]) if exclude_self else None
+                row, col, dist = nearest_pairs(a[mine, :-1], b[other, :-1], place[other], k, p, own)
+                out.append((left_keys[mine[row]], right_keys[other[col]], dist))
+        return [np.concatenate(x) for x in zip(*out)] if out else [[]] * 3
 
     shapes = _shape(lhs), _shape(rhs)
     if pivots is None:
-        pivots = pivot_count(lhs, rhs, shapes, want, p)
+        pivots = pivot_count(lhs, rhs, shapes, want, p, apart is not None)
     rows = _rows_of(block_rows, shapes[0][1])
     if pivots:
-        found = _pivot_join(lhs, rhs, nearest, schema, want, p, pivots, rows)
+        found = _pivot_join(lhs, rhs, nearest, schema, want, p, pivots, rows, apart is not None)
     else:
         one = F.lit(0).alias("cell")
         found = _join_cells(lhs.select("key", "v", one), rhs.select("key", "v", one), [shapes[0][0]], [shapes[1][0]], nearest, schema, rows)
