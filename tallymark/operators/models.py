@@ -41,6 +41,8 @@ USED = {
     "logistic": {"C", "penalty", "class_weight", "max_iter"}, "tree": {*TREE, "class_weight"}, "forest": {*FOREST, "class_weight"}, "boosting": set(BOOSTING), "svm": {"C", "gamma", "class_weight", "features", "kernel", "max_iter"},
     "knn": {"n_neighbors", "weights", "metric", "p", "pivots"}, "bayes": {"var_smoothing"}, "perceptron": {"layers", "epochs"},
 }
+# Training rows that are worth a task of their own.
+TASK_ROWS = 20_000
 # Deepest tree the engine can hold.
 MAX_DEPTH = 30
 
@@ -58,6 +60,11 @@ def as_vector(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector("vec"))
 
 
+def compact(train: DataFrame) -> DataFrame:
+    """Training rows in tasks of some size: a fit is many short jobs, and tasks of a few rows only cost their start."""
+    return train.coalesce(max(1, math.ceil(train.count() / TASK_ROWS)))
+
+
 def _predictor(fitted, score: Column) -> Predictor:
     def predict(df: DataFrame) -> DataFrame:
         return fitted.transform(as_vector(df)).select("key", "label", score.alias("score"), F.col("prediction").cast("int").alias("prediction"))
@@ -98,17 +105,17 @@ def fit_logistic(train: DataFrame, params: dict) -> Predictor:
         regParam=1.0 / (params.get("C", 1.0) * n), elasticNetParam=1.0 if params.get("penalty") == "l1" else 0.0,
         standardization=False, maxIter=params.get("max_iter", 1000), weightCol="weight",
     )
-    return _predictor(estimator.fit(as_vector(weighted(train, params))), positive_share())
+    return _predictor(estimator.fit(as_vector(weighted(compact(train), params))), positive_share())
 
 
 def fit_tree(train: DataFrame, params: dict) -> Predictor:
     estimator = DecisionTreeClassifier(seed=SEED, weightCol="weight", **_settings(params, TREE))
-    return _predictor(estimator.fit(as_vector(weighted(train, params))), positive_share())
+    return _predictor(estimator.fit(as_vector(weighted(compact(train), params))), positive_share())
 
 
 def forest_model(train: DataFrame, params: dict):
     settings = {"numTrees": 100, **_settings(params, FOREST)}
-    return RandomForestClassifier(seed=SEED, weightCol="weight", **settings).fit(as_vector(weighted(train, params)))
+    return RandomForestClassifier(seed=SEED, weightCol="weight", **settings).fit(as_vector(weighted(compact(train), params)))
 
 
 def fit_forest(train: DataFrame, params: dict) -> Predictor:
@@ -117,7 +124,7 @@ def fit_forest(train: DataFrame, params: dict) -> Predictor:
 
 def fit_boosting(train: DataFrame, params: dict) -> Predictor:
     settings = {"maxIter": 100, "maxDepth": 3, **_settings(params, BOOSTING)}
-    return _predictor(GBTClassifier(seed=SEED, **settings).fit(as_vector(train)), positive_share())
+    return _predictor(GBTClassifier(seed=SEED, **settings).fit(as_vector(compact(train))), positive_share())
 
 
 def fourier_features(df: DataFrame, gamma: float, features: int, width: int) -> DataFrame:
@@ -149,7 +156,7 @@ def fit_svm(train: DataFrame, params: dict) -> Predictor:
         gamma = 1.0 / max(sum(variances), 1e-12)
     lift = (lambda df: fourier_features(df, gamma, features, width)) if features else (lambda df: df)
     estimator = LinearSVC(regParam=1.0 / (params.get("C", 1.0) * train.count()), weightCol="weight", maxIter=params.get("max_iter", 1000))
-    fitted = estimator.fit(as_vector(lift(weighted(train, params))))
+    fitted = estimator.fit(as_vector(lift(weighted(compact(train), params))))
     inner = _predictor(fitted, vector_to_array(F.col("rawPrediction"))[1])
     return lambda df: inner(lift(df))
 
@@ -203,7 +210,7 @@ def fit_perceptron(train: DataFrame, params: dict) -> Predictor:
     """Layers 64-32-16-8 for 25 epochs unless told otherwise."""
     layers = [width_of(train, "vec"), *params.get("layers", [64, 32, 16, 8]), 2]
     estimator = MultilayerPerceptronClassifier(layers=layers, maxIter=params.get("epochs", 25), seed=SEED)
-    return _predictor(estimator.fit(as_vector(train)), positive_share())
+    return _predictor(estimator.fit(as_vector(compact(train))), positive_share())
 
 
 FITTERS = {
@@ -212,7 +219,7 @@ FITTERS = {
 }
 
 
-def in_parallel(tasks: list[Callable], threads: int = 4) -> list:
+def in_parallel(tasks: list[Callable], threads: int = 8) -> list:
     """Run independent fits at the same time; each is a Spark job, the threads only submit."""
     with ThreadPoolExecutor(max_workers=threads) as pool:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
