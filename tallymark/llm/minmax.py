@@ -11,8 +11,9 @@ don't count, nor do those whose places in a bitmap of the other set are empty. S
 a band is lost, while large groups of copies cost one comparison a member.
 
 Defined cases: null, empty and wordless texts have no shingles and are linked with nothing; null ids too; rows that
-repeat an id are one document when their texts are equal, else each row is compared and they share the id; an empty
-table gives an empty result; columns of the input named like an output are replaced.
+repeat an id are compared each by its own text and share the id; an empty table gives an empty result; columns of the
+input named like an output are replaced. ``drop_near_duplicates`` keeps one row of each group, that of the smallest id;
+copies with a null id go with their text's group, and all rows without shingles stay.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ def signatures(h: np.ndarray, bounds: np.ndarray, bands: int, rows: int) -> np.n
 
 
 def signed(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """id, n_shingles, two digests of the set, and the band keys, from columns id and text."""
+    """id, t, n_shingles, two digests of the set, and the band keys, from columns id, t (hash of the text) and text."""
 
     def sign(batches):
         for batch in batches:
@@ -97,11 +98,11 @@ def signed(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS) ->
             flat = pa.array(keys.ravel().view(np.int64))
             offsets = pa.array(np.arange(len(n) + 1, dtype=np.int32) * bands)
             yield pa.record_batch(
-                [batch.column("id"), pa.array(n), pa.array(np.concatenate(d1).view(np.int64)), pa.array(np.concatenate(d2).view(np.int64)), pa.ListArray.from_arrays(offsets, flat)],
-                names=["id", "n_shingles", "d1", "d2", "bands"],
+                [batch.column("id"), batch.column("t"), pa.array(n), pa.array(np.concatenate(d1).view(np.int64)), pa.array(np.concatenate(d2).view(np.int64)), pa.ListArray.from_arrays(offsets, flat)],
+                names=["id", "t", "n_shingles", "d1", "d2", "bands"],
             )
 
-    return docs.mapInArrow(sign, "id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>")
+    return docs.mapInArrow(sign, "id bigint, t bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>")
 
 
 def packed_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -192,24 +193,25 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
-) -> DataFrame:
-    """Per row: key, n_shingles, component_id, kept."""
-    base = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
+def grouped(docs: DataFrame, key: str, text: str, words: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """Per row: id, t (hash of the text), n_shingles, d1, d2, component_id (null for rows without shingles or of no group with an id)."""
+    base = docs.select(F.col(key).cast("bigint").alias("id"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
     marks = written(signed(base, words, bands, rows))
     usable = marks.filter(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = written(usable.groupBy("d1", "d2", "n_shingles").agg(F.min("id").alias("node")))
-    nodes = usable.join(classes.withColumnRenamed("n_shingles", "c_shingles"), ["d1", "d2"]).filter(F.col("id") == F.col("node"))
-    nodes = nodes.select("node", "n_shingles", "d1", "d2", "bands")
+    # A class is named by the digests of its set, and stands for its row with the smallest id.
+    classes = usable.groupBy("d1", "d2", "n_shingles").agg(F.min(F.struct("id", "t")).alias("first"))
+    classes = written(classes.select(F.xxhash64("d1", "d2").alias("node"), F.col("d1").alias("e1"), F.col("d2").alias("e2"), "first.id", "first.t"))
+    firsts = classes.select("node", "e1", "e2", F.col("id").alias("f_id"), F.col("t").alias("f_t"))
+    nodes = usable.join(firsts, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2"))).filter((F.col("id") == F.col("f_id")) & (F.col("t") == F.col("f_t")))
+    nodes = nodes.select("node", "n_shingles", "bands")
     each = nodes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
     hubs = each.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.min(F.struct("node", "n_shingles")).alias("first"))
     hubs = hubs.filter(F.col("hub") < F.col("top")).select("bucket", "hub", F.col("first.n_shingles").alias("hub_n"))
     members = written(each.join(hubs, "bucket").select("bucket", "hub", "hub_n", "node", "n_shingles"))
 
     # Texts of the nodes that share a bucket with another one.
-    wanted = members.select("node").distinct()
-    source = base.filter(F.col("id").isNotNull()).withColumnRenamed("id", "node").join(wanted, "node", "left_semi")
+    wanted = firsts.join(members.select("node").distinct(), "node").select("node", "f_id", "f_t")
+    source = base.join(wanted, (F.col("id") == F.col("f_id")) & (F.col("t") == F.col("f_t"))).select("node", "text")
     sets = written(packed_sets(source, words).filter(F.octet_length("members") > 0))
 
     def possible(n, m, both):
@@ -233,13 +235,38 @@ def near_duplicates(
     ).select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct()
     groups = components(star.unionByName(written(linked(cross, sets, percent))))
 
-    final = classes.join(groups, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("component_id"))
-    out = marks.select("id", "n_shingles", "d1", "d2").join(final, ["d1", "d2"], "left")
+    named = classes.join(groups, "node", "left").select("e1", "e2", "id", F.coalesce("label", "node").alias("label"))
+    lowest = named.groupBy(F.col("label").alias("of")).agg(F.min("id").alias("component_id"))
+    final = named.join(lowest, F.col("label") == F.col("of")).select("e1", "e2", "component_id")
+    return marks.select("id", "t", "n_shingles", "d1", "d2").join(final, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")), "left").drop("e1", "e2")
+
+
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
+) -> DataFrame:
+    """Per row: key, n_shingles, component_id, kept."""
+    out = grouped(docs, key, text, words, percent, bands, rows)
     component = F.when(F.col("id").isNull() | (F.col("n_shingles") == 0), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group, that of the smallest key; rows with a null key stay."""
-    gone = near_duplicates(docs, key, text, **options).filter(~F.col("kept")).select(F.col(key).alias("__gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("__gone"), "left_anti")
+def drop_near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
+) -> DataFrame:
+    """``docs`` with one row of each group: the smallest key, then one of its texts. Rows are told apart by key and text."""
+    found = written(grouped(docs, key, text, words, percent, bands, rows).filter("n_shingles > 0"))
+    # A text that only rows without an id have is a group of its own.
+    group = [F.coalesce("component_id", "d1"), F.when(F.col("component_id").isNull(), F.col("d2"))]
+    each = found.groupBy(group[0].alias("g1"), group[1].alias("g2"), "id", "t").agg(F.count("*").alias("n"))
+    each = written(each.groupBy("g1", "g2").agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "t", "n")).alias("best")))
+    best = each.select("g1", "g2", F.col("best.id").alias("b_id"), F.col("best.t").alias("b_t"), F.col("best.n").alias("b_n"))
+    same = F.col("id").eqNullSafe(F.col("b_id")) & (F.col("t") == F.col("b_t"))
+    gone = found.select("id", "t", group[0].alias("h1"), group[1].alias("h2")).join(best, (F.col("g1") == F.col("h1")) & F.col("g2").eqNullSafe(F.col("h2")))
+    gone = gone.filter(~same).select(F.col("id").alias("__id"), F.col("t").alias("__t")).distinct()
+    own = lambda df: F.col(key).cast("bigint").eqNullSafe(df["__id"]) & (F.xxhash64(text) == df["__t"])
+    kept = docs.join(gone, own(gone), "left_anti")
+    twice = best.filter("b_n > 1").select(F.col("b_id").alias("__id"), F.col("b_t").alias("__t"))
+    if twice.isEmpty():
+        return kept
+    one = kept.join(twice, own(twice), "left_semi").withColumn("__t", F.xxhash64(text)).dropDuplicates([key, "__t"]).drop("__t")
+    return kept.join(twice, own(twice), "left_anti").unionByName(one)

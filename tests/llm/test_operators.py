@@ -493,3 +493,18 @@ def test_chat_collapse(spark, block):
     got = {r["conv_id"]: (r["n_turns"], r["chat"]) for r in chat.collapse_and_render(df, block=block).collect()}
     assert got == brute_chats(rows)
     assert chat.collapse_and_render(df.limit(0)).count() == 0
+
+
+def test_dropping_near_duplicates_keeps_one_row_of_each_group(spark):
+    t, other, none = article(1, 60), article(2, 60), article(3, 60)
+    rows = [(1, t), (2, t), (2, other), (1, t), (None, t), (None, none), (None, none), (5, edited(other, 4, 0.01)), (7, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n", F.lit(1)).repartition(3)
+    kept = sorted(((r["doc_id"], r["text"]) for r in minmax.drop_near_duplicates(df).collect()), key=str)
+    assert kept == sorted([(1, t), (2, other), (None, none), (7, None), (7, "")], key=str)
+
+
+def test_equal_ids_of_different_texts_are_not_linked(spark):
+    rows = [(1, article(1, 60)), (1, article(2, 60)), (3, article(2, 60)), (4, article(1, 60) + " end")]
+    got = minmax.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (1, 1), (3, 1), (4, 1)]
+    assert minmax.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).count() == 2
