@@ -194,7 +194,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def grouped(docs: DataFrame, key: str, text: str, words: int, percent: int, bands: int, rows: int) -> DataFrame:
-    """Per row: id, t (hash of the text), n_shingles, d1, d2, component_id (null for rows without shingles or of no group with an id)."""
+    """Per row: id, t (hash of the text), n_shingles, d1, d2, label of the group and its least id (both null for rows without shingles and texts without an id)."""
     base = docs.select(F.col(key).cast("bigint").alias("id"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
     marks = written(signed(base, words, bands, rows))
     usable = marks.filter(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
@@ -237,7 +237,7 @@ def grouped(docs: DataFrame, key: str, text: str, words: int, percent: int, band
 
     named = classes.join(groups, "node", "left").select("e1", "e2", "id", F.coalesce("label", "node").alias("label"))
     lowest = named.groupBy(F.col("label").alias("of")).agg(F.min("id").alias("component_id"))
-    final = named.join(lowest, F.col("label") == F.col("of")).select("e1", "e2", "component_id")
+    final = named.join(lowest, F.col("label") == F.col("of")).select("e1", "e2", "label", "component_id")
     return marks.select("id", "t", "n_shingles", "d1", "d2").join(final, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")), "left").drop("e1", "e2")
 
 
@@ -256,7 +256,7 @@ def drop_near_duplicates(
     """``docs`` with one row of each group: the smallest key, then one of its texts. Rows are told apart by key and text."""
     found = written(grouped(docs, key, text, words, percent, bands, rows).filter("n_shingles > 0"))
     # A text that only rows without an id have is a group of its own.
-    group = [F.coalesce("component_id", "d1"), F.when(F.col("component_id").isNull(), F.col("d2"))]
+    group = [F.coalesce("label", "d1"), F.when(F.col("label").isNull(), F.col("d2"))]
     each = found.groupBy(group[0].alias("g1"), group[1].alias("g2"), "id", "t").agg(F.count("*").alias("n"))
     each = written(each.groupBy("g1", "g2").agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "t", "n")).alias("best")))
     best = each.select("g1", "g2", F.col("best.id").alias("b_id"), F.col("best.t").alias("b_t"), F.col("best.n").alias("b_n"))
