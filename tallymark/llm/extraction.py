@@ -2,7 +2,9 @@
 
 A page is cut into text nodes, each with the path of block tags from the root to its leaf. Spark sums characters,
 punctuation and nodes of each path of a page, smooths the ratios along the page, fuses each path with its ancestors and keeps
-the whole lowest subtree that holds enough of the page's score. Paths through boilerplate tags or names never count.
+the whole lowest subtree that holds enough of the page's score, and of the containers around it those whose ratio is like
+its own. Boilerplate tags never count. Boilerplate names (class, id) only tell of elements that are no frame of the page: one
+that holds an article or the main part, most of the page's text, or a headline inside the article, is judged by its ratios.
 
 Defined cases: null, empty and tagless html give what text they have; pages without content give empty text; repeated rows
 are extracted each; an empty table gives an empty result; columns named like an output are replaced.
@@ -21,6 +23,10 @@ from tallymark.llm.common import fresh
 
 #: The content is the lowest subtree whose fused score is at least this share of the page's.
 SHARE = 0.5
+#: An element with a boilerplate name is a frame if it holds this share of its own text and that outside all such elements.
+FRAME = 0.9
+#: Containers around the content stay if their ratio of text to nodes is at least this share of the content's.
+LIKE = 0.4
 #: Weights of the scores of paths through these tags.
 PRIOR = {"article": 1.5, "main": 1.2}
 
@@ -52,27 +58,33 @@ _NAME = re.compile(r"[a-z]+")
 _MARKS = re.compile(r"[.,;:!?…。，、؟]")
 
 
-def is_noise(tag: str, attributes: str) -> bool:
-    """Is this element boilerplate by its tag, role, class or id?"""
+def noise_of(tag: str, attributes: str) -> str:
+    """How this element is boilerplate: by its "tag" or role, by its "name" (class or id), or not at all."""
     if tag in NOISE_TAGS:
-        return True
+        return "tag"
+    named = ""
     for m in _ATTRIBUTE.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name == "hidden" and m[2] is None or name == "role" and value in NOISE_ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and not NOISE_NAMES.isdisjoint(_NAME.findall(value)):
-            return True
-    return False
+            return "tag"
+        if name in ("class", "id") and tag not in ("html", "body", "main") and not NOISE_NAMES.isdisjoint(_NAME.findall(value)):
+            named = "name"
+    return named
 
 
 def text_nodes(html: str) -> list[tuple[str, int, str]]:
     """(path, number of the block, text) of each text that is not boilerplate, in page order; texts of a block share its number."""
-    out: list[tuple[str, int, str]] = []
-    stack: list[tuple[str, bool]] = []
-    block, noisy, at, quiet = 0, 0, 0, ""
+    out: list[tuple[str, int, str, tuple[int, ...]]] = []
+    stack: list[tuple[str, bool, int]] = []  # tag, boilerplate by tag, number of the element if boilerplate by name
+    block, noisy, at, quiet, elements = 0, 0, 0, "", 0
+    frames: set[int] = set()
     inner: list[str] = []  # blocks opened inside the silent element
     last: dict[str, int] = {}
 
+    def add(text: str, path: str | None = None) -> None:
+        path = "/".join(t for t, _, _ in stack if t in BLOCKS) if path is None else path
+        out.append((path, block, text, tuple(n for _, _, n in stack if n)))
+
     def ended(tag: str) -> bool:
         """Does an end tag of this name follow?"""
         if tag not in last:
@@ -81,7 +93,7 @@ def text_nodes(html: str) -> list[tuple[str, int, str]]:
 
     while m := _TOKEN.search(html, at):
         if not quiet and not noisy and m.start() > at:
-            out.append(("/".join(t for t, _ in stack if t in BLOCKS), block, html[at : m.start()]))
+            add(html[at : m.start()])
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag:
@@ -101,7 +113,7 @@ def text_nodes(html: str) -> list[tuple[str, int, str]]:
                     while inner.pop() != tag:
                         pass
                     continue
-                if not any(t == tag for t, _ in stack):
+                if not any(t == tag for t, _, _ in stack):
                     continue
             elif m[1] or tag != "body":
                 if tag in BLOCKS and tag not in VOID:
@@ -114,11 +126,11 @@ def text_nodes(html: str) -> list[tuple[str, int, str]]:
                     quiet, inner = tag, []
                 continue
             if tag == "br":
-                out.append(("", block, " ")) if not noisy else None
+                add(" ", "") if not noisy else None
             if tag in VOID:
                 block += tag == "hr"
                 continue
-            noise = is_noise(tag, m[3])
+            noise = noise_of(tag, m[3])
             if tag not in BLOCKS and not noise:
                 continue
             if tag in BLOCKS:
@@ -128,25 +140,46 @@ def text_nodes(html: str) -> list[tuple[str, int, str]]:
                     ends, within = ends | {"p"}, within | {"td", "th", "table", "li", "div", "article", "section", "main", "body"} - ends
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in ends:
-                        noisy -= sum(n for _, n in stack[i:])
+                        noisy -= sum(n for _, n, _ in stack[i:])
                         del stack[i:]
                         break
                     if stack[i][0] in within:
                         break
+            if tag == "main" or tag == "article" and not noise:
+                frames.update(n for _, _, n in stack)
+            if tag == "h1":
+                within_story = next((i for i, (t, _, _) in enumerate(stack) if t in ("article", "main")), len(stack))
+                frames.update(n for _, _, n in stack[within_story:])
+            if tag == "article":
+                noise = "" if noise == "name" else noise
             if not m[0].endswith("/>") or tag in BLOCKS:
-                stack.append((tag, noise))
-                noisy += noise
+                elements += noise == "name"
+                stack.append((tag, noise == "tag", elements if noise == "name" else 0))
+                noisy += noise == "tag"
         else:
             if tag in BLOCKS:
                 block += 1
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    noisy -= sum(n for _, n in stack[i:])
+                    noisy -= sum(n for _, n, _ in stack[i:])
                     del stack[i:]
                     break
     if not quiet and not noisy and at < len(html):
-        out.append(("/".join(t for t, _ in stack if t in BLOCKS), block, html[at:]))
-    return out
+        add(html[at:])
+    while True:  # a named element that holds nearly all text that is left is a frame; those inside it may be too
+        free, held = 0, {}
+        for _, _, text, named in out:
+            outermost = next((n for n in named if n not in frames), 0)
+            size = len(text.strip())
+            if outermost:
+                held[outermost] = held.get(outermost, 0) + size
+            else:
+                free += size
+        largest = max(held, key=lambda n: (held[n], -n), default=0)
+        if not largest or held[largest] < FRAME * (held[largest] + free):
+            break
+        frames.add(largest)
+    return [(path, number, text) for path, number, text, named in out if frames.issuperset(named)]
 
 
 def blocks(html: str) -> list[dict]:
@@ -182,7 +215,8 @@ def page_blocks(pages: DataFrame, html: str, carry: list[str]) -> DataFrame:
 
 
 def content_containers(cut: DataFrame, share: float = SHARE) -> DataFrame:
-    """``content``: the path of the lowest subtree of each distinct page (by __page) that holds ``share`` of its smoothed score.
+    """``content``: the path of the lowest subtree of each distinct page (by __page) that holds ``share`` of its smoothed score;
+    ``around``: paths of the containers above it that are kept too.
 
     Copies of a page are summed together, and the sums divided by their number.
     """
@@ -203,7 +237,18 @@ def content_containers(cut: DataFrame, share: float = SHARE) -> DataFrame:
     trees = above.groupBy("__page", "top", "depth").agg(F.sum("smooth").alias("score"))
     page = trees.groupBy("__page").agg(F.collect_list(F.struct("depth", "score", "top")).alias("trees"), F.max(F.when(F.col("depth") == 0, F.col("score"))).alias("whole"))
     enough = F.filter("trees", lambda t: (t["depth"] == 0) | (t["score"] >= share * F.col("whole")))
-    return page.select("__page", F.array_max(enough)["top"].alias("content"))
+    own = paths.groupBy("__page", container(F.col("path")).alias("top")).agg((F.sum("chars") / F.sum("nodes")).alias("ratio"))
+    own = own.groupBy(F.col("__page").alias("own_page")).agg(F.collect_list(F.struct("top", "ratio")).alias("own"))
+    page = page.select("__page", F.array_max(enough)["top"].alias("content")).join(own, F.col("__page") == F.col("own_page"))
+    # What surrounds the content, up to its article or main part, else up to the outermost element of the body.
+    begins = lambda path, of: F.startswith(F.concat(path, F.lit("/")), F.concat(of, F.lit("/")))
+    limit = F.coalesce(
+        F.nullif(F.regexp_extract("content", "^((?:[^/]+/)*(?:article|main))(?:/|$)", 1), F.lit("")), F.nullif(F.regexp_extract("content", "^((?:(?:html|body)/)*(?:div|center))(?:/|$)", 1), F.lit(""))
+    )
+    inside = F.filter("own", lambda c: (F.col("content") == "") | begins(c["top"], F.col("content")))
+    usual = F.array_max(F.transform(inside, lambda c: c["ratio"]))
+    around = F.filter("own", lambda c: begins(F.col("content"), c["top"]) & begins(c["top"], limit) & (c["ratio"] >= LIKE * usual))
+    return page.select("__page", "content", F.coalesce(F.transform(around, lambda c: c["top"]), F.array()).alias("around"))
 
 
 def container(path):
@@ -219,6 +264,6 @@ def main_text(pages: DataFrame, html: str = "html", carry: list[str] | None = No
     kept = content_containers(page_blocks(pages, html, []), share)
     out = page_blocks(pages, html, carry).join(kept.withColumnRenamed("__page", "__kept_page"), F.col("__page") == F.col("__kept_page"), "left")
     under = lambda path: (F.col("content") == "") | F.startswith(F.concat(container(path), F.lit("/")), F.concat("content", F.lit("/")))
-    inside = F.filter("__blocks", lambda b: under(b["path"]))
+    inside = F.filter("__blocks", lambda b: under(b["path"]) | F.array_contains("around", container(b["path"])))
     text = F.coalesce(F.array_join(F.transform(inside, lambda b: b["text"]), "\n"), F.lit(""))
     return out.select(*[F.col(f"`{c}`") for c in carry], text.alias("text")).withColumn("n_chars", F.char_length("text").cast("bigint"))

@@ -285,3 +285,36 @@ def test_three_cuts_bound_a_bucket():
     for free in (tuple(range(64)), simhash.free_bits(103)):
         for three in itertools.combinations(free[:: max(1, len(free) // 12)], 3):
             assert any(not set(three) & set(w) for w in simhash.ways(free))
+
+
+# Extraction: names of elements are no verdict on the frame of a page
+
+
+def para(word, n=12):
+    return "<p>" + " ".join(f"{word}{i} some words, and more." for i in range(n)) + "</p>"
+
+
+def plain(html_text):
+    import re
+
+    return [" ".join(re.sub("<[^>]*>", "", b).split()) for b in re.split("</?(?:p|h1|div|article|html|body)[^>]*>", html_text) if b.strip()]
+
+
+STORY = "".join(para(f"s{i}") for i in range(6))
+ASIDE = "<nav><a>Home</a></nav><div class='sidebar'><p>side links, many of them.</p></div><div id='cookie-notice'><p>We use cookies.</p></div><footer>foot</footer>"
+
+
+@pytest.mark.parametrize("before, inside, after", [
+    ("<div class='site has-sidebar'>" + ASIDE + "<article>", "<h1>Head</h1>" + STORY, "</article></div>"),
+    (ASIDE + "<div class='post no-comments'>", "<h1>Head</h1>" + STORY, "</div>"),
+    (ASIDE + "<div id='research-and-search'>", STORY, "</div>"),
+    ("<div class='site has-sidebar'><div class='content no-comments'>" + ASIDE, STORY, "</div></div>"),
+    (ASIDE + "<article>", "<div class='entry-header'><h1>Head</h1></div>" + STORY, "</article>"),
+    ("<div class='header'><h1>Site</h1></div><article>", "<h1>Head</h1>" + STORY, "</article><div class='comments'>" + "".join(para(f"c{i}", 20) for i in range(20)) + "</div>"),
+    (ASIDE, "<div>" + "".join(para(f"intro{i}") for i in range(3)) + "<div>" + STORY + "</div></div>", ""),
+])
+def test_frames_with_boilerplate_names_keep_their_story(spark, before, inside, after):
+    from tallymark.llm import extraction
+
+    page = spark.createDataFrame([(1, "<html><body>" + before + inside + after + "</body></html>")], "page_id bigint, html string")
+    assert extraction.main_text(page).first()["text"].split("\n") == plain(inside)
