@@ -99,9 +99,9 @@ def coreset_greedy(df: DataFrame, key: str, vec: str, k: int, pool: int = POOL)
     first = rows.agg(F.min_by(F.struct("key", "vec"), "key").alias("r")).first()["r"]
     chosen = [(first["key"], list(first["vec"]), 0, None)]
     while len(chosen) < k:
-        keys, vectors, near = _farthest(rows, np.array([c[1] for c in chosen]), pool, kind)
+        keys, vectors, near = _farthest(rows, np.array([c[1] for c in chosen]), [c[0] for c in chosen], pool, kind)
         mark = (near[-1], keys[-1]) if len(keys) == pool else None
-        free = ~np.isin(keys, [c[0] for c in chosen]) if len(keys) else np.zeros(0, bool)
+        free = np.ones(len(keys), bool)
         while len(chosen) < k and free.any():
             best = near[free].max()
             at = min(np.flatnonzero(free & (near == best)), key=lambda i: keys[i])
@@ -114,13 +114,17 @@ def coreset_greedy(df: DataFrame, key: str, vec: str, k: int, pool: int = POOL)
     return df.sparkSession.createDataFrame(chosen, f"{key} {kind}, {vec} array<double>, round int, gap double")
 
 
-def _farthest(rows: DataFrame, centres: np.ndarray, pool: int, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, vectors and distances of the rows farthest from their nearest centre, in order; ties by key."""
+def _farthest(rows: DataFrame, centres: np.ndarray, taken: list, pool: int, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, vectors and distances of the rows not yet taken that are farthest from their nearest centre, in order; ties by key."""
 
     def top(batches):
         keys, vectors, near = np.zeros(0, object), np.zeros((0, centres.shape[1])), np.zeros(0)
         cc = (centres * centres).sum(axis=1)
         for part, x in slices(batches, "vec", len(centres)):
+            left = ~part["key"].isin(taken).to_numpy()
+            part, x = part[left], x[left]
+            if not len(x):
+                continue
             xx = (x * x).sum(axis=1)
             about = np.min(cc[None, :] - 2.0 * (x @ centres.T), axis=1) + xx
             margin = 1e-10 * (1.0 + xx + cc.max())
