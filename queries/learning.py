@@ -62,12 +62,12 @@ def clf_tree(spark, sf_dir):
 
 @query("clf_forest")
 def clf_forest(spark, sf_dir):
-    return _classify(spark, sf_dir, "forest", {"n_estimators": 20, "max_depth": 5, "min_samples_leaf": 5})
+    return _classify(spark, sf_dir, "forest", {"n_estimators": 100, "max_depth": 5, "min_samples_leaf": 5})
 
 
 @query("clf_gbt")
 def clf_gbt(spark, sf_dir):
-    return _classify(spark, sf_dir, "boosting", {"n_estimators": 10, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8})
+    return _classify(spark, sf_dir, "boosting", {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8})
 
 
 @query("clf_svm_rff")
@@ -342,7 +342,7 @@ def search_best(spark, sf_dir):
 
 @query("importance_select")
 def importance_select(spark, sf_dir):
-    weights = explain.forest_importance(order_frame(spark, sf_dir), ORD_NUMERIC, {"max_depth": 4, "n_estimators": 10})
+    weights = explain.forest_importance(order_frame(spark, sf_dir), ORD_NUMERIC, {"max_depth": 4, "n_estimators": 100})
     return weights.select("feature", *rounded("importance"), "selected")
 
 
@@ -391,15 +391,14 @@ def permutation_importance(spark, sf_dir):
 @query("scenario_ablation")
 def scenario_ablation(spark, sf_dir):
     candidates = {"logistic": ("logistic", {}), "bayes": ("bayes", {}), "knn": ("knn", {})}
-    table = scenario.four_scenarios(document_frame(spark, sf_dir), candidates, trials=2, tuning_folds=2)
+    table = scenario.four_scenarios(document_frame(spark, sf_dir), candidates)
     return table.select("scenario", "model", *rounded("accuracy", "precision", "recall", "f1", "auc"))
 
 
 @query("scenario_folds")
 def scenario_folds(spark, sf_dir):
-    candidates = {"logistic": ("logistic", {}), "bayes": ("bayes", {})}
+    candidates = {"logistic": ("logistic", {}), "bayes": ("bayes", {}), "knn": ("knn", {})}
     table = scenario.six_scenarios(
-        document_frame(spark, sf_dir), candidates, products=[("n_chars", "n_lines")], ratios=[("n_chars", "n_words")], folds=3,
-        trials=2, tuning_folds=2, leak_safe=False,
+        document_frame(spark, sf_dir), candidates, products=[("n_chars", "n_lines")], ratios=[("n_chars", "n_words")], leak_safe=False,
     )
     return table.select("scenario", "model", "fold", *rounded("accuracy", "f1", "auc"))
