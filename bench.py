@@ -20,7 +20,7 @@ HEADLINE = [
     "scan_project", "null_profile", "corr_matrix", "welch_ttest", "chi2_yates", "box_stats", "label_encode", "impute_median",
     "scale_robust", "winsorize", "scale_percentile_clip", "knn_join_l2", "impute_knn", "smote", "split_stratified",
     "fold_stratified", "roc_auc", "aupro_approx", "memory_bank_score", "covariance_long", "convolve_gaussian", "convolve_gabor",
-    "clf_logistic", "clf_gnb", "cv_scores", "knn_join_pivots", "coreset_greedy", "kmeans_assign", "variant_pipeline",
+    "clf_logistic", "clf_gnb", "search_best", "knn_join_pivots", "knn_join_lsh", "coreset_greedy", "kmeans_assign", "variant_pipeline",
 ]
 
 
