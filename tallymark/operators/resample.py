@@ -137,7 +137,7 @@ def _farthest(rows: DataFrame, centres: np.ndarray, taken: list, pool: int, kind
             keys, vectors, near = np.concatenate([keys, part["key"].to_numpy(dtype=object)[can]]), np.vstack([vectors, x[can]]), np.concatenate([near, exact])
             order = np.lexsort((key_order(keys), -near))[:pool]
             keys, vectors, near = keys[order], vectors[order], near[order]
-        yield pd.DataFrame({"key": pd.Series(keys, dtype=object), "vec": list(vectors), "near": near})
+        yield pd.DataFrame({"key": pd.Series(keys, dtype=object), "vec": pd.Series(list(vectors), dtype=object), "near": near})
 
     found = few_tasks(rows).mapInPandas(top, f"key {kind}, vec array<double>, near double").orderBy(F.desc("near"), "key").limit(pool).collect()
     keys = np.array([r["key"] for r in found], object)
