@@ -7,6 +7,8 @@ results equal those of the plain window, whatever the number of buckets.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ def with_range_bucket(df: DataFrame, column: str, name: str, buckets: int) -> Da
     """Add a bucket number that never decreases with ``column``; cuts are approximate quantiles, so buckets are even."""
     probabilities = [i / buckets for i in range(1, buckets)]
     cuts = df.select(F.col(column).cast("double").alias("v")).approxQuantile("v", probabilities, 1.0 / (4 * buckets))
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *sorted(c for c in set(cuts) if math.isfinite(c)), float("inf")]
     prepared = df.withColumn("__v", F.col(column).cast("double"))
     if len(splits) == 2:
         # No rows to cut. Written so that it is not folded to a constant, which would make later joins lose their key.
@@ -128,10 +130,9 @@ def values_at_ranks(df: DataFrame, columns: list[str], ranks: dict, by: list[str
     marked = slim.select(*by, F.inline(F.filter(entries, lambda e: e["position"].isNotNull())))
     counted = marked.groupBy(*by, "column", "bracket", "n", "position", "value").agg(F.count(F.lit(1)).alias("rows"))
     counted, few = settled(counted)
-    key = [*by, "column", "bracket", "n"]
-    inside = with_running_totals(counted.filter("position = 1"), "value", {"upto": "rows"}, within=key, small=few)
-    below = counted.filter("position = 0").select(*key, F.col("rows").alias("below"))
-    ranked = attach(inside, below, key).withColumn("upto", F.col("upto") + F.coalesce("below", F.lit(0))).drop("below")
+    # What is below a bracket comes first as one row: the bracket holds no lower value, not even an infinite one.
+    ordered = counted.withColumn("value", F.coalesce("value", F.lit(float("-inf"))))
+    ranked = with_running_totals(ordered, "value", {"upto": "rows"}, within=[*by, "column", "bracket", "n"], small=few)
 
     def at(label: str) -> Column:
         share, rank = ranks[label]

@@ -111,11 +111,9 @@ def small(df: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def settled(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:
-    """Evaluate a reduced table once: held as local rows when proven small, else written to the shared folder.
+    """Evaluate a reduced table once: it is written to the shared folder, and its row count read from the files.
 
-    Returns the table and whether it is small.
+    Returns the table and whether it has few rows.
     """
-    rows = few_rows(df, limit)
-    if rows is not None:
-        return df.sparkSession.createDataFrame(rows, df.schema), True
-    return written(df), False
+    table = written(df)
+    return table, table.count() <= (SMALL_ROWS if limit is None else limit)
