@@ -9,7 +9,7 @@ from queries.views import (
     scores_view, u_sql,
 )
 from tallymark.functions.rng import u
-from tallymark.operators import cluster, encode, explain, folded, impute, models, profile, results, scale, search, split
+from tallymark.operators import cluster, encode, explain, folded, impute, models, profile, results, scale, search, split, trees
 from tallymark.plans import scenario
 from tallymark.session import written
 
@@ -204,6 +204,60 @@ def lloyd_step(spark, sf_dir):
     return step.select("cluster", "n", F.transform("centre", lambda x: F.round(x, 6)).alias("centre"))
 
 
+TREE_COLUMNS = ["o_totalprice", "c_acctbal", "n_lines", "sum_qty", "sum_price"]
+TREE_DEPTH, TREE_BINS, TREE_ROWS = 4, 32, 5
+
+
+def _bits(n: str, p: str) -> str:
+    return f"(CASE WHEN {p} = 0 OR {p} = {n} THEN 0 ELSE -({p} / {n}) * log2({p} / {n}) - (1 - {p} / {n}) * log2(1 - {p} / {n}) END)"
+
+
+def _level_sql(level: int) -> str:
+    """b{level}: the best split of each node of a level; r{level + 1}: the rows after it."""
+    return f"""h{level} AS (SELECT node, j, bin, count(*) AS n, sum(label) AS p FROM r{level} JOIN bins USING (key) WHERE node >= {2**level} GROUP BY 1, 2, 3),
+w{level} AS (SELECT node, j, bin, sum(n) OVER u AS ln, sum(p) OVER u AS lp, sum(n) OVER a AS n, sum(p) OVER a AS p FROM h{level}
+      WINDOW u AS (PARTITION BY node, j ORDER BY bin), a AS (PARTITION BY node, j)),
+b{level} AS (SELECT node, j, bin, gain FROM (SELECT *, round({_bits('n', 'p')} - ln / n * {_bits('ln', 'lp')} - (n - ln) / n * {_bits('(n - ln)', '(p - lp)')}, 9) AS gain
+      FROM w{level} WHERE ln >= {TREE_ROWS} AND n - ln >= {TREE_ROWS}) WHERE gain > 0
+      QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, j, bin) = 1),
+r{level + 1} AS (SELECT r.key, r.label, CASE WHEN b.node IS NULL THEN r.node ELSE 2 * r.node + CAST(x.bin > b.bin AS BIGINT) END AS node
+      FROM r{level} r LEFT JOIN b{level} b ON b.node = r.node LEFT JOIN bins x ON x.key = r.key AND x.j = b.j)"""
+
+
+V_TREE = f"""{V_ORD}, filled AS (SELECT o_orderkey AS key, target AS label, {FRAME_FILL} FROM v_ord),
+wide AS ({" UNION ALL ".join(f"SELECT key, '{c}' AS j, {c} AS v FROM filled" for c in TREE_COLUMNS)}),
+edge AS (SELECT j, min(v) AS lo, max(v) AS hi FROM wide GROUP BY 1),
+bins AS (SELECT key, wide.j, CASE WHEN hi > lo THEN least(floor((v - lo) / (hi - lo) * {TREE_BINS}), {TREE_BINS - 1}) ELSE 0 END AS bin FROM wide JOIN edge ON edge.j = wide.j),
+r0 AS (SELECT key, label, 1::BIGINT AS node FROM filled), {", ".join(_level_sql(level) for level in range(TREE_DEPTH))}"""
+
+
+def tree_frame(spark, sf_dir):
+    orders = orders_table(spark, sf_dir)
+    filled = impute.fill_with(orders, impute.fit_mean(orders, LINE_FEATURES))
+    return filled.select(F.col("o_orderkey").alias("key"), F.col("target").alias("label"), *TREE_COLUMNS)
+
+
+@query("tree_split_step", f"""
+WITH {V_TREE}, n AS (SELECT node, count(*) AS n, sum(label)::BIGINT AS positives FROM (
+  SELECT unnest(list_transform(range(0, {TREE_DEPTH + 1}), lambda i: node // CAST(pow(2, i) AS BIGINT))) AS node, label FROM r{TREE_DEPTH}) WHERE node > 0 GROUP BY 1),
+b AS ({" UNION ALL ".join(f"SELECT * FROM b{level}" for level in range(TREE_DEPTH))})
+SELECT n.node, b.j AS feature, CAST(b.bin AS INTEGER) AS bin, round(lo + (b.bin + 1) * (hi - lo) / {TREE_BINS}, 4) AS cut, round(gain, 6) AS gain, n, positives
+FROM n LEFT JOIN b ON b.node = n.node LEFT JOIN edge ON edge.j = b.j""")
+def tree_split_step(spark, sf_dir):
+    """All nodes of a tree of four levels: split, gain, rows and positives."""
+    tree = trees.grow(tree_frame(spark, sf_dir), TREE_COLUMNS, depth=TREE_DEPTH, bins=TREE_BINS, min_rows=TREE_ROWS)
+    return tree.nodes.select("node", "feature", "bin", *rounded("cut", digits=4), *rounded("gain"), "n", "positives")
+
+
+@query("tree_predict", f"""
+WITH {V_TREE} SELECT key, label, node, round(avg(label) OVER (PARTITION BY node), 6) AS score FROM r{TREE_DEPTH}""")
+def tree_predict(spark, sf_dir):
+    """The leaf of every order and its share of class 1."""
+    frame = tree_frame(spark, sf_dir)
+    tree = trees.grow(frame, TREE_COLUMNS, depth=TREE_DEPTH, bins=TREE_BINS, min_rows=TREE_ROWS)
+    return frame.select("key", "label").join(trees.predict(frame, tree), "key").select("key", "label", "node", *rounded("score"))
+
+
 # The six models of the ablation study with their defaults: 100 trees, 100 rounds, 5 neighbours.
 CANDIDATES = {name: (name, {}) for name in ("logistic", "forest", "svm", "bayes", "boosting", "knn")}
 FOLDS = 10
@@ -252,6 +306,42 @@ def cv_scores(spark, sf_dir):
     )
 
 
+NEWTON_C = (0.1, 1.0, 10.0)
+# Steps of Newton's method with the three-by-three system solved by determinants; twelve are far more than it needs.
+MINORS = {
+    "d1": "g1 * (h22 * h33 - h23 * h23) - h12 * (g2 * h33 - h23 * g3) + h13 * (g2 * h23 - h22 * g3)",
+    "d2": "h11 * (g2 * h33 - h23 * g3) - g1 * (h12 * h33 - h23 * h13) + h13 * (h12 * g3 - g2 * h13)",
+    "d3": "h11 * (h22 * g3 - g2 * h23) - h12 * (h12 * g3 - g2 * h13) + g1 * (h12 * h23 - h22 * h13)",
+    "d": "h11 * (h22 * h33 - h23 * h23) - h12 * (h12 * h33 - h23 * h13) + h13 * (h12 * h23 - h22 * h13)",
+}
+
+
+@query("logistic_newton", f"""
+WITH RECURSIVE {V_FOLDED},
+pts AS (SELECT key, any_value(label) AS label, any_value(fold) AS fold, max(v) FILTER (j = 'o_totalprice') AS x1, max(v) FILTER (j = 'c_acctbal') AS x2 FROM y GROUP BY 1),
+cs AS (SELECT f, c, balanced, 1 / (c * count(*)) AS lam, count(*) / (2 * count(*) FILTER (label = 0)) AS k0, count(*) / (2 * count(*) FILTER (label = 1)) AS k1
+       FROM pts, f, (SELECT unnest({list(NEWTON_C)}::DOUBLE[]) AS c), (SELECT unnest([false, true]) AS balanced) WHERE fold <> f GROUP BY 1, 2, 3),
+nw AS (SELECT *, 0 AS step, 0::DOUBLE AS w1, 0::DOUBLE AS w2, 0::DOUBLE AS w3 FROM cs UNION ALL
+  SELECT f, c, balanced, lam, k0, k1, step + 1, w1 - ({MINORS['d1']}) / ({MINORS['d']}), w2 - ({MINORS['d2']}) / ({MINORS['d']}), w3 - ({MINORS['d3']}) / ({MINORS['d']}) FROM (
+    SELECT f, c, balanced, lam, k0, k1, step, w1, w2, w3, avg(k * (p - label) * x1) + lam * w1 AS g1, avg(k * (p - label) * x2) + lam * w2 AS g2, avg(k * (p - label)) AS g3,
+           avg(k * p * (1 - p) * x1 * x1) + lam AS h11, avg(k * p * (1 - p) * x1 * x2) AS h12, avg(k * p * (1 - p) * x1) AS h13,
+           avg(k * p * (1 - p) * x2 * x2) + lam AS h22, avg(k * p * (1 - p) * x2) AS h23, avg(k * p * (1 - p)) AS h33
+    FROM (SELECT nw.*, x1, x2, label, CASE WHEN NOT balanced THEN 1 WHEN label = 1 THEN k1 ELSE k0 END AS k, 1 / (1 + exp(-(w1 * x1 + w2 * x2 + w3))) AS p
+          FROM nw, pts WHERE fold <> f AND step < 12) GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10))
+SELECT CAST(f AS INTEGER) AS fold, c AS "C", balanced, round(w1, 6) AS w_totalprice, round(w2, 6) AS w_acctbal, round(w3, 6) AS intercept FROM nw WHERE step = 12""")
+def logistic_newton(spark, sf_dir):
+    """Sixty logistic regressions (fold left out, penalty, class weights) from shared passes of gradients and Hessians."""
+    frame = order_frame(spark, sf_dir).select("key", "label", F.slice("vec", 1, 2).alias("vec"))
+    parts = written(split.stratified_folds(frame, "key", "label", FOLDS))
+    sizes = {r["fold"]: r["count"] for r in parts.groupBy("fold").count().collect()}
+    rows = sum(sizes.values())
+    grid = [(fold, c, balanced) for fold in range(FOLDS) for c in NEWTON_C for balanced in (False, True)]
+    weights = folded.newton(parts, [(fold, 1.0 / (c * (rows - sizes[fold])), 0.0, balanced) for fold, c, balanced in grid])
+    found = [(*g, *w.tolist()) for g, w in zip(grid, weights)]
+    table = spark.createDataFrame(found, "fold int, C double, balanced boolean, w_totalprice double, w_acctbal double, intercept double")
+    return table.select("fold", "C", "balanced", *rounded("w_totalprice", "w_acctbal", "intercept"))
+
+
 @query("oof_predictions", f"""
 WITH {V_FRAME},
 d AS (SELECT key, (row_number() OVER (PARTITION BY label ORDER BY {u_sql('key', "'fold'")}, key) - 1) % 5 AS fold FROM filled),
