@@ -2,7 +2,8 @@
 
 First records are scattered by seeded hashes into buckets small enough for memory: the shard from the key alone (jump
 hashing, so one more shard takes records only into itself), the bucket within the shard from the whole record. Then each
-bucket is permuted by a Fisher-Yates shuffle of its places and written.
+bucket is permuted by a Fisher-Yates shuffle of its places and written. The places follow from the records and the seed alone, not
+from the partitioning of the input, so a repeated task deals them again as before.
 
 Defined cases: null keys go to the shard of a fixed hash; null text has size 1; equal records lie in the same bucket, in any
 order; an empty table gives an empty result; columns of the input named like an output are replaced.
@@ -21,6 +22,8 @@ SEED = 20_240_601
 BUCKET_BYTES = 16 << 20
 #: Largest number of records that a bucket's permutation is made for at once.
 BUCKET_RECORDS = 1_000_000
+#: Buckets whose permutations one task draws.
+TASK_BUCKETS = 16
 
 
 def unit(x: Column) -> Column:
@@ -52,6 +55,9 @@ def assigned(
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     places = F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))
     order = counts.select(F.col("bucket").alias("__bucket"), F.coalesce(before, F.lit(0)).alias("__before"), "n")
+    # The draws of a task follow from its number and the order of its rows, so both are made to depend on the buckets alone.
+    buckets = shards * per_shard
+    order = order.repartition(-(-buckets // TASK_BUCKETS), "__bucket").sortWithinPartitions("__bucket")
     order = order.select("__bucket", "__before", shuffled(places, seed).alias("__places"))
 
     number = F.row_number().over(Window.partitionBy("bucket").orderBy("__digest", key))

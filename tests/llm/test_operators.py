@@ -42,6 +42,22 @@ def test_shards_are_gapless_stable_and_whole(spark, docs):
     assert grown == {r["doc_id"]: r["grown_shard"] for r in rows}
 
 
+def test_slots_do_not_depend_on_partitioning(spark):
+    df = spark.range(3_000).select(F.col("id").alias("doc_id"), F.md5(F.col("id").cast("string")).alias("text"))
+
+    def slots(parts):
+        return {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.assigned(df.repartition(parts), shards=4, bucket_records=100).collect()}
+
+    wanted = slots(2)
+    assert slots(7) == wanted
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        assert slots(5) == wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_sharding_of_null_keys_repeats_and_nothing(spark, docs, no_docs):
     rows = docs.limit(3).unionByName(docs.limit(3)).unionByName(spark.createDataFrame([(None, None, None, None, None)], DOCS))
     out = sharding.assigned(rows, shards=3).collect()
