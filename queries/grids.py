@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from queries.registry import query
+from queries.registry import ORACLES, query
 from queries.views import V_GRID, grid_view, table
 from tallymark.operators import grid
 from tallymark.plans.variants import run_variants
@@ -204,3 +204,39 @@ def variant_pipeline(spark, sf_dir):
         "robust": {"normalize": "robust"},
     }
     return run_variants(grid_view(spark, sf_dir), variants)
+
+
+# One variant for each step of a single-channel grid, and a chain of steps over the channels.
+STEP_SQL = {
+    "denoise": "median_filter", "laplacian": "convolve_laplacian", "sobel": "sobel_magnitude", "gabor": "convolve_gabor",
+    "high_boost": "high_boost", "sharpen": "sharpen", "gamma": "gamma_curve", "equalize": "hist_equalize",
+}
+CHAIN = f"""{V_RGB},
+m AS (SELECT grid, channel, avg(v) AS mean FROM v_rgb GROUP BY 1, 2), g AS (SELECT *, avg(mean) OVER (PARTITION BY grid) AS grey FROM m),
+balanced AS (SELECT r.grid, x, y, r.channel, CASE WHEN mean = 0 THEN v ELSE floor(greatest(0, least(255, v * (grey / mean)))) END AS v
+  FROM v_rgb r JOIN g ON g.grid = r.grid AND g.channel = r.channel),
+curved AS (SELECT grid, x, y, channel, floor(pow(v / 255.0::DOUBLE, 1.0::DOUBLE / 1.2) * 255) AS v FROM balanced),
+before AS (SELECT grid, x, y, floor(sum(v * CASE channel WHEN 'r' THEN 0.299::DOUBLE WHEN 'g' THEN 0.587::DOUBLE ELSE 0.114::DOUBLE END) + 0.5) AS v FROM curved GROUP BY 1, 2, 3),
+after AS ({_equalized('before')}),
+moved AS (SELECT c.grid, c.x, c.y, channel, greatest(0.0::DOUBLE, least(255.0::DOUBLE, c.v + a.v - b.v)) AS v FROM curved c
+  JOIN before b ON b.grid = c.grid AND b.x = c.x AND b.y = c.y JOIN after a ON a.grid = c.grid AND a.x = c.x AND a.y = c.y)"""
+
+
+@query("variant_steps", f"""
+{" UNION ALL ".join(f"SELECT '{step}' AS variant, NULL AS channel, grid, x, y, v FROM ({ORACLES[name]})" for step, name in STEP_SQL.items())}
+UNION ALL
+SELECT 'channels', channel, grid, x, y, CAST(floor((v - min(v) OVER w) / (max(v) OVER w - min(v) OVER w + 1e-8) * 255) AS DOUBLE)
+FROM (WITH {CHAIN} SELECT * FROM moved) WINDOW w AS (PARTITION BY grid)
+UNION ALL
+SELECT 'luma', NULL, grid, x, y, v FROM ({ORACLES['luma']})""")
+def variant_steps(spark, sf_dir):
+    """Every step of a configuration by itself, and balance, gamma, equalising and normalising over the channels of a grid."""
+    single = {
+        "denoise": {"denoise": "median"}, "laplacian": {"laplacian": True}, "sobel": {"sobel": True}, "gabor": {"gabor": 31},
+        "high_boost": {"high_boost": 1.5}, "sharpen": {"sharpen": 1.0}, "gamma": {"gamma": 1.5}, "equalize": {"equalize": True},
+    }
+    coloured = {
+        "channels": {"channel_balance": True, "gamma": 1.2, "equalize": True, "normalize": "minmax"}, "luma": {"luma": True},
+    }
+    plain = run_variants(grid_view(spark, sf_dir), single)
+    return plain.unionByName(run_variants(channel_view(spark, sf_dir), coloured), allowMissingColumns=True)
