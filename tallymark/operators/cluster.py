@@ -23,12 +23,15 @@ from pyspark.sql import functions as F
 from tallymark.functions.rng import u
 from tallymark.operators.features import width_of
 from tallymark.operators.moments import few_tasks, merged
-from tallymark.session import written
+from tallymark.session import parallelism, written
 
 RESTARTS, MAX_ITER = 10, 300
 TOLERANCE = 1e-4
-# Cells of the distance matrix of one batch.
+# Cells of the distance matrix of one batch, and of a part of it that stays in a core's cache.
 CELLS = 4_000_000
+CACHED_CELLS = 32_768
+# Centres whose distances to some rows are worked out together.
+GROUP = 64
 
 
 @dataclass
@@ -43,11 +46,52 @@ class Clusters:
 
 def squares_to(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances of rows to centres, from coordinate differences, so that equal centres give equal distances."""
-    out = np.zeros((len(x), len(centres)))
-    for j in range(x.shape[1]):
-        gap = x[:, j, None] - centres[None, :, j]
-        out += gap * gap
-    return out
+    out, columns = np.zeros((len(centres), len(x))), np.ascontiguousarray(x.T)
+    step = max(1, CACHED_CELLS // max(len(centres), 1))
+    for at in range(0, len(x), step):
+        _add_squares(columns[:, at:at + step], centres, out[:, at:at + step])
+    return out.T
+
+
+def _add_squares(columns: np.ndarray, centres: np.ndarray, out: np.ndarray) -> None:
+    """Adds the squared distances of the rows in ``columns`` (width x rows) to ``out`` (centres x rows)."""
+    gap = np.empty(out.shape)
+    for j in range(len(columns)):
+        np.subtract(columns[j], centres[:, j, None], out=gap)
+        np.multiply(gap, gap, out=gap)
+        np.add(out, gap, out=out)
+
+
+def add_clusters(x: np.ndarray, flat: np.ndarray, bounds: np.ndarray, total: np.ndarray, inertia: np.ndarray) -> None:
+    """Adds the rows of ``x`` to the sums (and counts, the last column) of their clusters in every start.
+
+    Centres ``bounds[i]`` to ``bounds[i + 1]`` of ``flat`` belong to start i; a row goes to the first of its nearest.
+    """
+    group = [0]
+    for i in range(1, len(bounds) - 1):
+        if bounds[i + 1] - bounds[group[-1]] > GROUP:
+            group.append(i)
+    group.append(len(bounds) - 1)
+    columns, rows = np.ascontiguousarray(x.T), np.hstack([x, np.ones((len(x), 1))])
+    finite = bool(np.isfinite(x).all())
+    for first, end in zip(group[:-1], group[1:]):
+        low, high = bounds[first], bounds[end]
+        step = max(256, CACHED_CELLS // max(high - low, 1))
+        for at in range(0, len(x), step):
+            squares = np.zeros((high - low, len(rows[at:at + step])))
+            _add_squares(columns[:, at:at + step], flat[low:high], squares)
+            member = np.empty(squares.shape, bool)
+            for i in range(first, end):
+                part = slice(bounds[i] - low, bounds[i + 1] - low)
+                least = squares[part].min(axis=0)
+                inertia[i] += least.sum()
+                np.equal(squares[part], least, out=member[part])
+                if np.count_nonzero(member[part]) != len(least):
+                    member[part] = squares[part].argmin(axis=0) == np.arange(bounds[i + 1] - bounds[i])[:, None]
+            if finite:
+                total[low:high] += member.astype(float) @ rows[at:at + step]
+            else:  # a product would carry what is no number into every cluster
+                total[low:high] += [rows[at:at + step][m].sum(axis=0) for m in member]
 
 
 def slices(batches: Iterator[pd.DataFrame], vec: str, width: int) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
@@ -117,17 +161,11 @@ def lloyd(rows: DataFrame, starts: dict, max_iter: int = MAX_ITER) -> dict[tuple
         bounds = np.cumsum([0] + [len(active[n]) for n in names])
 
         def partial(batches, flat=flat, bounds=bounds):
-            total, inertia = np.zeros((flat.shape[1] + 1, len(flat))), np.zeros(len(bounds) - 1)
+            total, inertia = np.zeros((len(flat), flat.shape[1] + 1)), np.zeros(len(bounds) - 1)
             for batch in batches:
                 for x in matrices(batch.column("vec"), len(flat)):
-                    squares = squares_to(x, flat)
-                    for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-                        own = squares[:, a:b].argmin(axis=1)
-                        inertia[i] += squares[np.arange(len(x)), a + own].sum()
-                        for j in range(x.shape[1]):
-                            total[j, a:b] += np.bincount(own, weights=x[:, j], minlength=b - a)
-                        total[-1, a:b] += np.bincount(own, minlength=b - a)
-            yield pa.record_batch([pa.array([np.concatenate([total.T.ravel(), inertia])], pa.list_(pa.float64()))], names=["value"])
+                    add_clusters(x, flat, bounds, total, inertia)
+            yield pa.record_batch([pa.array([np.concatenate([total.ravel(), inertia])], pa.list_(pa.float64()))], names=["value"])
 
         sums = merged(vectors.mapInArrow(partial, "value array<double>"))
         if sums is None:
@@ -149,7 +187,8 @@ def lloyd(rows: DataFrame, starts: dict, max_iter: int = MAX_ITER) -> dict[tuple
 
 def kmeans(df: DataFrame, ks: list[int], restarts: int = RESTARTS, max_iter: int = MAX_ITER, key: str = "key", vec: str = "vec") -> dict[int, Clusters]:
     """For each k the start with the least inertia, the first on a tie."""
-    rows = written(df.select(F.col(key).alias("key"), F.col(vec).cast("array<double>").alias("vec")))
+    rows = df.select(F.col(key).alias("key"), F.col(vec).cast("array<double>").alias("vec"))
+    rows = written(rows.repartition(2 * parallelism(df.sparkSession)))  # each pass keeps every slot busy, however few files ``df`` has
     seeds = starting_centres(rows, max(ks), restarts)
     found = lloyd(rows, {(k, s): seeds[s, :k] for k in ks for s in range(len(seeds) if k > 1 else 1)}, max_iter)
     best = {}
