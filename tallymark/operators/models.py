@@ -25,6 +25,7 @@ from tallymark.functions.vectors import distance, times_matrix
 from tallymark.operators.features import width_of
 from tallymark.operators.neighbours import knn_classify
 from tallymark.operators.split import class_weight
+from tallymark.session import parallelism
 
 SEED = 42
 Predictor = Callable[[DataFrame], DataFrame]
@@ -43,6 +44,8 @@ USED = {
 }
 # Training rows that are worth a task of their own.
 TASK_ROWS = 20_000
+# Most training rows of a task; more are dealt anew.
+MOST_TASK_ROWS = 200_000
 # Deepest tree the engine can hold.
 MAX_DEPTH = 30
 
@@ -61,8 +64,14 @@ def as_vector(df: DataFrame) -> DataFrame:
 
 
 def compact(train: DataFrame) -> DataFrame:
-    """Training rows in tasks of some size: a fit is many short jobs, and tasks of a few rows only cost their start."""
-    return train.coalesce(max(1, math.ceil(train.count() / TASK_ROWS)))
+    """Training rows in tasks of some size: a fit is many short jobs, and tasks of a few rows only cost their start.
+
+    Many rows in few files are dealt to tasks that hold MOST_TASK_ROWS, and to every slot, so no task grows with the input.
+    """
+    n = train.count()
+    if n > MOST_TASK_ROWS * parallelism(train.sparkSession):
+        return train.repartition(math.ceil(n / MOST_TASK_ROWS))
+    return train.coalesce(max(1, math.ceil(n / TASK_ROWS)))
 
 
 def _predictor(fitted, score: Column) -> Predictor:
