@@ -34,6 +34,17 @@ MATRIX_CELLS = 2_000_000
 # Rows of the right and of the left side that decide how many pivots pay, and the numbers to choose from.
 SAMPLE_RIGHT, SAMPLE_LEFT = 1_024, 256
 PIVOTS = (16, 64, 256)
+# Cells that stay in a core's cache.
+CACHED_CELLS = 65_536
+# Vectors up to this width are compared leaf by leaf, with leaves of so many left and right rows, if there are many pairs.
+LEAF_WIDTH, LEAF_LEFT, LEAF_RIGHT, LEAF_PAIRS = 5, 32, 128, 1_000_000
+# Pairs of one bucket that pay for a matrix product of their own.
+BUCKET_PAIRS = 20_000
+# Pairs of a join that get tasks of their own for each unit of work.
+SPREAD_PAIRS = 1_000_000_000
+TASKS_A_UNIT, MOST_TASKS = 3, 4_096
+# Rows sent to buckets that get a task for each group.
+SPREAD_ROWS = 1_000_000
 # Distances that cost as much as the passes that pivots need on top.
 PIVOT_PASSES = 500_000_000
 
@@ -91,6 +102,9 @@ def _join_cells(
             return _frame(names, [[]] * len(names))
         return _frame(names, match(a["lk"].to_numpy(), np.stack(a["lv"].to_numpy()), b["rk"].to_numpy(), np.stack(b["rv"].to_numpy())))
 
+    if sum(a * b for a, b in zip(left_rows, right_rows)) > SPREAD_PAIRS:  # few units in a task, whatever their bytes
+        tasks = min(MOST_TASKS, TASKS_A_UNIT * sum(a * b for a, b in zip(left_blocks, right_blocks)))
+        lhs, rhs = (side.repartition(tasks, "c", "i", "j") for side in (lhs, rhs))
     return lhs.groupBy("c", "i", "j").cogroup(rhs.groupBy("c", "i", "j")).applyInPandas(pair, schema)
 
 
@@ -197,12 +211,51 @@ def _pivot_join(
 def distances(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
     """Minkowski distances between the rows of two blocks, accumulated coordinate by coordinate."""
     out = np.zeros((len(a), len(b)))
-    for j in range(a.shape[1]):
-        gap = np.abs(a[:, j, None] - b[None, :, j])
-        out += gap if p == 1 else gap * gap if p == 2 else gap**p
+    _add_powers(a, np.ascontiguousarray(b.T), out, lambda gap: gap if p == 1 else np.multiply(gap, gap, out=gap) if p == 2 else np.power(gap, p, out=gap))
     return out if p == 1 else np.sqrt(out) if p == 2 else out ** (1.0 / p)
 
 
+def _add_powers(a: np.ndarray, columns: np.ndarray, out: np.ndarray, power: Callable) -> None:
+    """Adds the powers of the coordinate gaps between the rows of ``a`` and of ``columns`` (width x rows) to ``out``, part by part."""
+    wide = min(out.shape[1], CACHED_CELLS)
+    tall = max(1, CACHED_CELLS // max(wide, 1))
+    if wide * tall < CACHED_CELLS // 2 or tall < 16:
+        wide, tall = min(wide, CACHED_CELLS // 16), 16
+    for top in range(0, out.shape[0], tall):
+        for at in range(0, out.shape[1], max(wide, 1)):
+            part = out[top:top + tall, at:at + wide]
+            gap = np.empty(part.shape, out.dtype)
+            for j in range(len(columns)):
+                np.subtract(a[top:top + tall, j, None], columns[j, at:at + wide], out=gap)
+                np.add(part, power(np.abs(gap, out=gap)), out=part)
+
+
+def rough_mask(a: np.ndarray, b: np.ndarray, k: int, p: int) -> np.ndarray | None:
+    """Rows of ``b`` that can be among the k neighbours for a whole ``p``, from single precision with a safe error margin.
+
+    Rounding moves a gap by a share of its coordinates, and a norm by at most the sum of these moves. None if the numbers are
+    too large or not finite.
+    """
+    width, centre = a.shape[1], b.mean(axis=0)
+    a, b = a - centre, b - centre
+    largest = max(np.abs(a).max(), np.abs(b).max())
+    if not (2.0 * largest + 1.0) ** p * width < 1e37:
+        return None
+    out = np.zeros((len(a), len(b)), np.float32)
+
+    def power(gap: np.ndarray) -> np.ndarray:
+        once = gap.copy() if p > 2 else gap
+        for _ in range(p - 1):
+            gap = np.multiply(gap, once, out=gap)
+        return gap
+
+    _add_powers(a.astype(np.float32), np.ascontiguousarray(b.T).astype(np.float32), out, power)
+    kth = np.partition(out, k - 1, axis=1)[:, k - 1].astype(float)
+    margin = (width + p + 8) * 1.2e-7 * (np.abs(a).sum(axis=1) + np.abs(b).sum(axis=1).max()) + (width * 1e-37) ** (1.0 / p)
+    limit = (kth ** (1.0 / p) + 2.0 * margin) ** p * (1 + 1e-5)
+    return out <= np.nextafter(limit.astype(np.float32), np.float32(np.inf))[:, None]
+
+
 def candidate_mask(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
     """Rows of ``b`` that can be among the k Euclidean neighbours, from one matrix product with a safe error margin."""
     aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
@@ -239,15 +292,26 @@ def best_of_rows(row: np.ndarray, dist: np.ndarray, place: np.ndarray, k: int) -
 def nearest_pairs(a: np.ndarray, b: np.ndarray, place: np.ndarray, k: int, p: float, differ: Callable | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row of a, row of b and distance of the k nearest rows of b for every row of a.
 
-    ``differ(row, col)`` tells which pairs count at all; then one more neighbour is looked for.
+    ``differ(row, col)`` tells which pairs count at all; then one more neighbour is looked for. Narrow vectors are compared leaf by leaf.
     """
+    if a.shape[1] <= LEAF_WIDTH and len(b) > 2 * LEAF_RIGHT and len(a) * len(b) > LEAF_PAIRS and np.isfinite(a).all() and np.isfinite(b).all():
+        return _nearest_in_leaves(a, b, place, k, p, differ)
+    return _nearest_of_all(a, b, place, k, p, differ)
+
+
+def _nearest_of_all(a: np.ndarray, b: np.ndarray, place: np.ndarray, k: int, p: float, differ: Callable | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     want = k + (differ is not None)
     out = []
     step = max(1, MATRIX_CELLS // len(b))
     for start in range(0, len(a), step):
         part = a[start:start + step]
-        if p == 2 and len(b) > 4 * want:
-            row, col = np.nonzero(candidate_mask(part, b, want))
+        mask = None
+        if len(b) > 4 * want and p == 2:
+            mask = candidate_mask(part, b, want)
+        elif len(b) > 4 * want and p in (1, 3, 4):
+            mask = rough_mask(part, b, want, int(p))
+        if mask is not None:
+            row, col = np.nonzero(mask)
             dist = pair_distances(part, b, row, col, p)
         else:
             whole = distances(part, b, p)
@@ -262,6 +326,55 @@ def nearest_pairs(a: np.ndarray, b: np.ndarray, place: np.ndarray, k: int, p: fl
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def leaves(x: np.ndarray, most: int) -> list[np.ndarray]:
+    """Rows in groups of at most ``most`` that lie together: halved at the median of the widest coordinate. Equal rows stay together."""
+    out, rest = [], [np.arange(len(x))]
+    while rest:
+        rows = rest.pop()
+        spread = np.ptp(x[rows], axis=0) if len(rows) > most else np.zeros(1)
+        if not spread.max() > 0:
+            out.append(rows)
+            continue
+        middle = len(rows) // 2
+        by = np.argpartition(x[rows, spread.argmax()], middle)
+        rest += [rows[by[:middle]], rows[by[middle:]]]
+    return out
+
+
+def _nearest_in_leaves(a: np.ndarray, b: np.ndarray, place: np.ndarray, k: int, p: float, differ: Callable | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A leaf of left rows meets the right leaves whose boxes are within reach: the ``want``-th distance found in the closest ones."""
+    want = k + (differ is not None)
+    right = leaves(b, LEAF_RIGHT)
+    order = np.concatenate(right)
+    sizes = np.array([len(r) for r in right])
+    begin = np.cumsum(sizes) - sizes
+    b, place = b[order], place[order]
+    low, high = np.minimum.reduceat(b, begin, axis=0), np.maximum.reduceat(b, begin, axis=0)
+
+    def rows_of(chosen: np.ndarray) -> np.ndarray:
+        chosen = np.sort(chosen)
+        return np.arange(sizes[chosen].sum()) + np.repeat(begin[chosen] - (np.cumsum(sizes[chosen]) - sizes[chosen]), sizes[chosen])
+
+    out = []
+    for rows in leaves(a, LEAF_LEFT):
+        part = a[rows]
+        gap = np.maximum(np.maximum(low - part.max(axis=0), part.min(axis=0) - high), 0.0)
+        bound = (gap**p).sum(axis=1) ** (1.0 / p)
+        by = np.argsort(bound, kind="stable")
+        enough = int(np.searchsorted(np.cumsum(sizes[by]), min(want, len(b)))) + 1
+        first = b[rows_of(by[:enough])][: 8 * LEAF_RIGHT]
+        reach = np.inf
+        if len(first) >= want:
+            some = distances(part[:MATRIX_CELLS // len(first)], first, p)
+            if len(some) == len(part):
+                reach = np.partition(some, want - 1, axis=1)[:, want - 1].max() * (1 + 1e-9)
+        cols = rows_of(np.flatnonzero(bound * (1 - 1e-9) <= reach))
+        own = (lambda row, col, rows=rows, cols=cols: differ(rows[row], order[cols[col]])) if differ is not None else None
+        row, col, dist = _nearest_of_all(part, b[cols], place[cols], k, p, own)
+        out.append((rows[row], order[cols[col]], dist))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def _sides(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_vec: str, right_vec: str, apart: str | None = None) -> tuple[DataFrame, DataFrame, str]:
     """Keys and vectors of both sides; the value of ``apart`` follows the coordinates."""
     vector = lambda c: F.col(c).cast("array<double>") if apart is None else F.concat(F.col(c).cast("array<double>"), F.array(F.col(apart).cast("double")))
@@ -399,6 +512,7 @@ def _join_hashed_cells(left: DataFrame, right: DataFrame, k: int, schema: str, b
     heavy = both.filter("nl > 1 or nr > 1").select("cell", "nl", "nr")
     moved = both.agg(F.coalesce(F.sum(F.col("al") * F.col("nr") + F.col("ar") * F.col("nl")), F.lit(0))).first()[0]
     groups = max(parallelism(left.sparkSession), math.ceil(moved / block_rows))
+    tasks = min(MOST_TASKS, TASKS_A_UNIT * groups)
 
     def cut(side: DataFrame, own: str, other: str, salt: str) -> DataFrame:
         df = attach(side, heavy, ["cell"]).withColumns({n: F.coalesce(n, F.lit(1)) for n in ("nl", "nr")})
@@ -415,8 +529,16 @@ def _join_hashed_cells(left: DataFrame, right: DataFrame, k: int, schema: str, b
         left_keys, right_keys, x, y = a["key"].to_numpy(), b["key"].to_numpy(), np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())
         place, units, begin = key_order(right_keys), b["unit"].to_numpy(), a["unit"].to_numpy()
         low, high = np.searchsorted(units, begin, "left"), np.searchsorted(units, begin, "right")
-        upto = np.cumsum(high - low)
         out = []
+        edges = np.flatnonzero(np.diff(begin, prepend=begin[0] - 1 if begin[0] > 0 else begin[0] + 1))
+        full = np.zeros(len(x), bool)
+        for at, end in zip(edges.tolist(), np.append(edges[1:], len(x)).tolist()):  # many pairs of one bucket: a matrix product
+            if (end - at) * int(high[at] - low[at]) > BUCKET_PAIRS:
+                full[at:end] = True
+                row, col, dist = nearest_pairs(x[at:end], y[low[at]:high[at]], place[low[at]:high[at]], k, 2.0)
+                out.append((left_keys[at + row], right_keys[low[at] + col], dist))
+        left_keys, x, low, high = left_keys[~full], x[~full], low[~full], high[~full]
+        upto = np.cumsum(high - low)
         start = 0
         while start < len(x):  # left rows whose pairs fit in memory together, one at least
             stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + MATRIX_CELLS, side="right")))
@@ -429,7 +551,10 @@ def _join_hashed_cells(left: DataFrame, right: DataFrame, k: int, schema: str, b
             start = stop
         return _frame(names, [np.concatenate(c) for c in zip(*out)])
 
-    return cut(left, "nl", "nr", "l").groupBy("g").cogroup(cut(right, "nr", "nl", "r").groupBy("g")).applyInPandas(compare, schema)
+    lhs, rhs = cut(left, "nl", "nr", "l"), cut(right, "nr", "nl", "r")
+    if moved > SPREAD_ROWS:
+        lhs, rhs = lhs.repartition(tasks, "g"), rhs.repartition(tasks, "g")
+    return lhs.groupBy("g").cogroup(rhs.groupBy("g")).applyInPandas(compare, schema)
 
 
 def knn_classify(
