@@ -129,3 +129,84 @@ def test_imputation_with_text_keys_and_donors_with_gaps(spark, monkeypatch, most
     got = {r["key"]: [r["a"], r["b"], r["c"]] for r in impute.impute_knn(df, "key", ["a", "b", "c"], 4).collect()}
     for key, want in imputed(rows, 4).items():
         assert got[key] == pytest.approx(want), key
+
+
+@pytest.mark.parametrize("pairs", [10**9, 0])
+def test_donors_with_gaps_are_compared_only_where_they_help(spark, monkeypatch, pairs):
+    # Rows without b and c lack what such rows want, so they are not compared with each other.
+    met = []
+    block = impute.block_join
+    monkeypatch.setattr(impute, "block_join", lambda left, right, *a: met.append((left.count(), right.count())) or block(left, right, *a))
+    monkeypatch.setattr(impute, "MANY_PAIRS", pairs)
+    rng = np.random.default_rng(4)
+    alike = {i: [float(x), None, None] if i < 60 else [float(x), float(y), float(z)] for i, (x, y, z) in enumerate(rng.normal(size=(200, 3)))}
+    mixed = {**alike, **{300 + i: [None, float(y), float(z)] if i % 2 else [float(y), float(z), None] for i, (y, z) in enumerate(rng.normal(size=(40, 2)))}}
+    for rows, blocks in ((alike, []), (mixed, [(60 + 40, 40)] if pairs else [])):
+        met.clear()
+        df = spark.createDataFrame([(k, *v) for k, v in rows.items()], "key bigint, a double, b double, c double")
+        got = {r["key"]: [r["a"], r["b"], r["c"]] for r in impute.impute_knn(df, "key", ["a", "b", "c"], 4).collect()}
+        for key, want in imputed(rows, 4).items():
+            assert got[key] == pytest.approx(want), key
+        assert met == blocks
+
+
+def cells_of(spark, monkeypatch, rows):
+    """Cells of a few rows; returns a list of the pairs that each pass compares at most."""
+    passes = []
+    join = neighbours._join_cells
+    monkeypatch.setattr(neighbours, "_join_cells", lambda *a: passes.append(sum(x * y for x, y in zip(a[2], a[3]))) or join(*a))
+    monkeypatch.setattr(neighbours, "CELL_ROWS", rows)
+    monkeypatch.setattr(neighbours, "PIVOT_PASSES", 1)
+    return passes
+
+
+@pytest.mark.parametrize("p", [1.0, 2.0, 3.0])
+@pytest.mark.parametrize("width, centres", [(2, 1), (6, 5)])
+def test_cells_find_the_exact_neighbours(spark, monkeypatch, p, width, centres):
+    passes = cells_of(spark, monkeypatch, 20)
+    left, lk, a = clustered(spark, 300, width, centres, 1)
+    right, rk, b = clustered(spark, 2_000, width, centres, 2)
+    right = right.unionByName(spark.createDataFrame([(9_000_000 + i, [0.0] * width) for i in range(300)], "key bigint, vec array<double>"))
+    left = left.unionByName(spark.createDataFrame([(8_000_000, [1e6] * width)], "key bigint, vec array<double>"))
+    got = neighbours.knn_join(left, right, 5, "key", "key", p=p, block_rows=100)
+    want = neighbours.knn_join(left, right, 5, "key", "key", p=p, pivots=0)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert len(passes) >= 2 and passes[0] < 301 * 2_300 / 10
+
+
+@pytest.mark.parametrize("width", [2, 3])
+def test_compared_pairs_of_a_left_row_stay_the_same_as_the_right_side_grows(spark, monkeypatch, width):
+    pairs = []
+    for n in (2_000, 16_000):
+        with monkeypatch.context() as patch:
+            passes = cells_of(spark, patch, 20)
+            left, _, _ = clustered(spark, 200, width, 1, 3)
+            right, _, _ = clustered(spark, n, width, 1, 4)
+            neighbours.knn_join(left, right, 5, "key", "key").count()
+            pairs.append(sum(passes[:2]))
+    assert pairs[1] < 2 * pairs[0]
+
+
+def test_cells_keep_folds_apart_and_skip_the_row_itself(spark, monkeypatch):
+    cells_of(spark, monkeypatch, 20)
+    df, _, _ = clustered(spark, 900, 3, 4, 7)
+    # One cluster lies in fold 0 alone, so its own cell has no neighbour for it.
+    lone = spark.createDataFrame([(5_000 + i, [90.0 + i / 100, 90.0, 90.0]) for i in range(120)], "key bigint, vec array<double>")
+    df = df.withColumn("fold", (F.col("key") % 3).cast("int")).unionByName(lone.withColumn("fold", F.lit(0)))
+    for options in ({"apart": "fold"}, {"exclude_self": True}, {"apart": "fold", "exclude_self": True}):
+        got = neighbours.knn_join(df, df, 4, "key", "key", **options)
+        want = neighbours.knn_join(df, df, 4, "key", "key", pivots=0, **options)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_cells_with_repeated_and_null_keys_and_odd_numbers(spark, monkeypatch):
+    cells_of(spark, monkeypatch, 20)
+    df, _, _ = clustered(spark, 500, 2, 3, 9)
+    more = df.filter("key % 50 = 0").unionByName(df.filter("key % 70 = 0").withColumn("key", F.lit(None).cast("bigint")))
+    df = df.unionByName(more)
+    nan = spark.createDataFrame([(7_000, [float("nan"), 1.0])], "key bigint, vec array<double>")
+    for left, right in ((df, df), (df, df.unionByName(nan))):
+        got = neighbours.knn_join(left, right, 3, "key", "key")
+        want = neighbours.knn_join(left, right, 3, "key", "key", pivots=0 if right is df else 16)
+        order = lambda rows: sorted(map(tuple, rows), key=str)
+        assert order(got.collect()) == order(want.collect())
