@@ -202,11 +202,14 @@ def test_cells_keep_folds_apart_and_skip_the_row_itself(spark, monkeypatch):
 def test_cells_with_repeated_and_null_keys_and_odd_numbers(spark, monkeypatch):
     cells_of(spark, monkeypatch, 20)
     df, _, _ = clustered(spark, 500, 2, 3, 9)
-    more = df.filter("key % 50 = 0").unionByName(df.filter("key % 70 = 0").withColumn("key", F.lit(None).cast("bigint")))
+    # Keys that are null lie beside other rows, not on them: no order of null among equal distances is promised.
+    lost = df.filter("key % 70 = 0").select(F.lit(None).cast("bigint").alias("key"), F.transform("vec", lambda x: x + 0.001).alias("vec"))
+    more = df.filter("key % 50 = 0").unionByName(lost)
     df = df.unionByName(more)
     nan = spark.createDataFrame([(7_000, [float("nan"), 1.0])], "key bigint, vec array<double>")
+    monkeypatch.setattr(neighbours, "pivot_count", lambda *a: 0)  # what cells leave to the other ways is compared whole
     for left, right in ((df, df), (df, df.unionByName(nan))):
         got = neighbours.knn_join(left, right, 3, "key", "key")
-        want = neighbours.knn_join(left, right, 3, "key", "key", pivots=0 if right is df else 16)
+        want = neighbours.knn_join(left, right, 3, "key", "key", pivots=0)
         order = lambda rows: sorted(map(tuple, rows), key=str)
         assert order(got.collect()) == order(want.collect())
